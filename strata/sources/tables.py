@@ -69,13 +69,15 @@ def list_tables(spark: SparkSession, namespace: str) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str],
-                      spread_by: Sequence[str] | None = None, fmt: str = "parquet") -> None:
+                      spread_by: Sequence[str] | None = None, fmt: str = "parquet",
+                      partitions: int | None = None) -> None:
     """Write ``df`` partitioned into folders by ``by``.
 
     Rows are first range-partitioned on ``by`` plus ``spread_by``: each task then
     writes a contiguous slice (few files per task), and a day holding a large share
-    of the rows is split over several tasks by the ``spread_by`` columns.
+    of the rows is split over several tasks by the ``spread_by`` columns. Without
+    ``partitions`` AQE sizes the ranges from the data.
     """
     keys = list(by) + list(spread_by or [])
-    (df.repartitionByRange(*keys).write.mode("overwrite").format(fmt)
+    (df.repartitionByRange(*([partitions] if partitions else []), *keys).write.mode("overwrite").format(fmt)
        .partitionBy(*by).save(path))
