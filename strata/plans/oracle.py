@@ -332,6 +332,10 @@ FINAL: dict[str, str] = {
         FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
     "partitioned_events_roundtrip": """
         SELECT CAST(ts AS DATE) AS event_date, count(*) AS events FROM events GROUP BY 1""",
+    "streamed_bronze_orders": """
+        SELECT count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, count(*) AS audited,
+               count(*) AS rows_first_run, CAST(0 AS BIGINT) AS rows_second_run
+        FROM orders""",
     "refreshed_orders_table": """
         SELECT 'olist_orders_dataset.csv' AS _source_file, count(*) AS table_rows,
                2 * count(*) AS log_rows, count(*) AS rows_written, 2 * count(*) AS rows_appended
