@@ -5,12 +5,15 @@ raw -> bronze (write) -> gate -> silver (write) -> gate -> dimensions, facts (wr
 
 Each layer is written as catalog tables and the next layer reads those tables, so
 a failure later restarts from the last written layer and lineage never spans more
-than one layer. Row counts come from the write jobs themselves.
+than one layer. Row counts come from the write jobs themselves. The tables of one
+layer do not depend on each other, so their write jobs are submitted together
+(``parallel_writes`` at a time) and share the cluster instead of queueing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,7 +33,8 @@ def _names(prefix: str) -> dict[str, str]:
 def refresh_all(spark: SparkSession, raw: Mapping[str, DataFrame],
                 calendar_span: tuple[str, str] = CALENDAR_SPAN, geo_box: dict | None = None,
                 gates: bool = True, namespace_prefix: str = "",
-                purchase_window: tuple[str, str] | None = None) -> dict[str, int]:
+                purchase_window: tuple[str, str] | None = None,
+                parallel_writes: int = 4) -> dict[str, int]:
     """Build every table; returns ``{"layer.table": rows_written}``.
 
     ``namespace_prefix`` puts the five namespaces under other names (e.g. for a
@@ -46,55 +50,65 @@ def refresh_all(spark: SparkSession, raw: Mapping[str, DataFrame],
         counts[f"{layer}.{name}"] = replace_table(df, full, partition_by)
         return spark.table(full)
 
+    def write_all(layer: str, jobs: Mapping[str, Callable[[], DataFrame]],
+                  partitioned: set[str] = frozenset()) -> dict[str, DataFrame]:
+        def one(name: str) -> DataFrame:
+            return write(jobs[name](), layer, name, ["_ingest_date"] if name in partitioned else None)
+        with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
+            done = dict(zip(jobs, pool.map(one, list(jobs))))
+        return {name: done[name] for name in jobs}
+
     def check(layer: str, results: DataFrame) -> None:
         if gates:
             gate(spark, layer, results, persist_to=results_table)
 
     # bronze
-    b = {name: write(df, "bronze", name,
-                     ["_ingest_date"] if name in SOURCES and SOURCES[name].partitioned else None)
-         for name, df in bronze(raw).items()}
+    staged = bronze(raw)
+    b = write_all("bronze", {name: (lambda df=df: df) for name, df in staged.items()},
+                  {n for n in staged if n in SOURCES and SOURCES[n].partitioned})
     check("bronze", bronze_suite(b, prefix=f"{ns['bronze']}."))
 
     # silver
-    s = {name: write(build(b), "silver", name) for name, build in silver.BUILDERS.items()
-         if name != "geolocation"}
+    box = {"lat_range": geo_box["lat"], "lng_range": geo_box["lng"]} if geo_box else {}
+    jobs = {name: (lambda build=build: build(b)) for name, build in silver.BUILDERS.items()
+            if name != "geolocation"}
     if "geolocation" in b:
-        box = {"lat_range": geo_box["lat"], "lng_range": geo_box["lng"]} if geo_box else {}
-        s["geolocation"] = write(silver.geolocation(b["geolocation"], **box), "silver",
-                                 "geolocation")
+        jobs["geolocation"] = lambda: silver.geolocation(b["geolocation"], **box)
+    s = write_all("silver", jobs)
     suite_args = {"purchase_window": purchase_window} if purchase_window else {}
     check("silver", silver_suite(s["orders"], s["order_items"], s["order_reviews"],
                                  prefix=f"{ns['silver']}.", **suite_args))
 
     # gold
-    g = {
-        "dim_customer": dims.dim_customer(s["customers"]),
-        "dim_product": dims.dim_product(s["products"]),
-        "dim_seller": dims.dim_seller(s["sellers"]),
-        "dim_date": dims.dim_date(spark, *calendar_span),
-        "dim_payment_type": dims.dim_payment_type(s["order_payments"]),
-        "fact_orders": facts.fact_orders(s["orders"], s["order_items"]),
-        "fact_order_items": facts.fact_order_items(s["order_items"]),
-        "fact_reviews": facts.fact_reviews(s["order_reviews"]),
-        "fact_payments": facts.fact_payments(s["order_payments"]),
+    gold_jobs = {
+        "dim_customer": lambda: dims.dim_customer(s["customers"]),
+        "dim_product": lambda: dims.dim_product(s["products"]),
+        "dim_seller": lambda: dims.dim_seller(s["sellers"]),
+        "dim_date": lambda: dims.dim_date(spark, *calendar_span),
+        "dim_payment_type": lambda: dims.dim_payment_type(s["order_payments"]),
+        "fact_orders": lambda: facts.fact_orders(s["orders"], s["order_items"]),
+        "fact_order_items": lambda: facts.fact_order_items(s["order_items"]),
+        "fact_reviews": lambda: facts.fact_reviews(s["order_reviews"]),
+        "fact_payments": lambda: facts.fact_payments(s["order_payments"]),
     }
-    g = {name: write(g[name], "gold", name) for name in DIMENSIONS + FACTS}
+    g = write_all("gold", {name: gold_jobs[name] for name in DIMENSIONS + FACTS})
     check("gold", gold_suite(g["fact_orders"], g["fact_order_items"], g["dim_customer"],
                              g["dim_product"], g["dim_seller"], s["orders"],
                              prefix=f"{ns['gold']}."))
 
     # platinum
-    built = {
-        "mart_monthly_revenue": marts.monthly_revenue(g["fact_orders"], g["dim_date"]),
-        "mart_state_performance": marts.state_performance(g["fact_orders"], g["dim_customer"]),
-        "mart_category_ranking": marts.category_ranking(g["fact_order_items"], g["dim_product"]),
-        "mart_delivery_kpi": marts.delivery_kpi(g["fact_orders"]),
-        "mart_review_by_category": marts.review_by_category(
+    mart_jobs = {
+        "mart_monthly_revenue": lambda: marts.monthly_revenue(g["fact_orders"], g["dim_date"]),
+        "mart_state_performance": lambda: marts.state_performance(g["fact_orders"],
+                                                                  g["dim_customer"]),
+        "mart_category_ranking": lambda: marts.category_ranking(g["fact_order_items"],
+                                                                g["dim_product"]),
+        "mart_delivery_kpi": lambda: marts.delivery_kpi(g["fact_orders"]),
+        "mart_review_by_category": lambda: marts.review_by_category(
             g["fact_reviews"], g["fact_order_items"], g["dim_product"]),
-        "mart_payment_distribution": marts.payment_distribution(g["fact_payments"]),
-        "mart_customer_retention": marts.customer_retention(g["fact_orders"], g["dim_customer"]),
+        "mart_payment_distribution": lambda: marts.payment_distribution(g["fact_payments"]),
+        "mart_customer_retention": lambda: marts.customer_retention(g["fact_orders"],
+                                                                    g["dim_customer"]),
     }
-    for name in MARTS:
-        write(built[name], "platinum", name)
+    write_all("platinum", {name: mart_jobs[name] for name in MARTS})
     return counts
