@@ -322,6 +322,10 @@ FINAL: dict[str, str] = {
     "orphan_documents_without_labels": """
         SELECT CAST(count(*) AS BIGINT) AS orphans FROM documents d
         WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
+    "events_with_user_total": f"""
+        SELECT e.event_id, e.user_id, e.value, t.user_total
+        FROM events e LEFT JOIN (SELECT user_id, {_money('value')} AS user_total
+                                 FROM events GROUP BY user_id) t ON e.user_id = t.user_id""",
     "csv_roundtrip_orders": """
         SELECT count(*) AS csv_records, CAST(sum(order_id) AS BIGINT) AS key_sum,
                count(order_delivered_customer_date) AS delivered

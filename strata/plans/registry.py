@@ -88,6 +88,14 @@ def documents_without_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
                          table(spark, sf_dir, "labels"), "doc_id")
 
 
+def events_with_user_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aggregate joined back to its detail rows: every event with its user's total."""
+    from strata.functions.columns import money_total
+    from strata.operators.joins import add_group_total
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    return add_group_total(events, "user_id", money_total("value"), "user_total")
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for name in SILVER_TABLES:
@@ -102,6 +110,7 @@ def queries() -> dict[str, Query]:
     out["dq_gold_suite"] = dq_gold
     out["clean_padded_segments"] = padded_customer_segments
     out["orphan_documents_without_labels"] = documents_without_labels
+    out["events_with_user_total"] = events_with_user_total
     from strata.plans import roundtrips
     out.update(roundtrips.queries())
     return out
