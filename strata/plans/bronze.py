@@ -8,6 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.config import SOURCES, SourceSpec
+from strata.plans.lazy import LazyFrames
 from strata.sources.files import read_csv, with_audit
 from strata.sources.jdbc import read_jdbc
 
@@ -26,12 +27,15 @@ def read_source(spark: SparkSession, spec: SourceSpec, kind: str = "csv",
     raise ValueError(f"unknown source kind {kind!r} (use 'csv' or 'jdbc')")
 
 
-def bronze(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def bronze(raw: Mapping[str, DataFrame]) -> Mapping[str, DataFrame]:
     """Audit columns on every raw table; the partitioned ones also get
-    ``_ingest_date`` to partition the write by ingest day."""
-    return {name: with_audit(df, SOURCES[name].file_name if name in SOURCES else name,
-                             day_column=SOURCES[name].partitioned if name in SOURCES else False)
-            for name, df in raw.items()}
+    ``_ingest_date`` to partition the write by ingest day. Each table is built
+    when first asked for, so an unused source is never opened."""
+    def audited(name: str) -> DataFrame:
+        spec = SOURCES.get(name)
+        return with_audit(raw[name], spec.file_name if spec else name,
+                          day_column=spec.partitioned if spec else False)
+    return LazyFrames({name: (lambda name=name: audited(name)) for name in raw})
 
 
 def read_sources(spark: SparkSession, kind: str = "csv", **options) -> dict[str, DataFrame]:

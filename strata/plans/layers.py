@@ -19,11 +19,11 @@ class Layers:
     def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame],
                  calendar_span: tuple[str, str] = CALENDAR_SPAN, geo_box: dict | None = None):
         self.spark = spark
-        self.raw = dict(raw)
+        self.raw = raw
         self.calendar_span = calendar_span
         self.geo_box = geo_box
         self._memo: dict[str, DataFrame] = {}
-        self._bronze: dict[str, DataFrame] | None = None
+        self._bronze: Mapping[str, DataFrame] | None = None
 
     def _get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._memo:
@@ -32,7 +32,7 @@ class Layers:
 
     # ---- bronze / silver -----------------------------------------------------------
     @property
-    def bronze(self) -> dict[str, DataFrame]:
+    def bronze(self) -> Mapping[str, DataFrame]:
         if self._bronze is None:
             self._bronze = bronze(self.raw)
         return self._bronze
