@@ -40,3 +40,17 @@ def test_refresh_twice_same_marts(spark, sf_small):
     assert spark.table("t2_meta.dq_results").where("NOT passed").count() == 0
     assert {r.namespace for r in spark.sql("SHOW SCHEMAS").collect()} >= {
         "t2_bronze", "t2_silver", "t2_gold", "t2_platinum", "t2_meta"}
+
+
+def test_resume_from_gold_reads_written_layers(spark, sf_small):
+    full = refresh_all(spark, raw_sources(spark, sf_small), TEST_CALENDAR, EMBEDDING_BOX,
+                       namespace_prefix="t3_", purchase_window=WINDOW)
+    before = snapshot(spark, "t3_")
+    resumed = refresh_all(spark, None, TEST_CALENDAR, EMBEDDING_BOX, namespace_prefix="t3_",
+                          purchase_window=WINDOW, start_at="gold")
+    # only gold and platinum are written again, with the same rows and marts
+    assert {k.split(".")[0] for k in resumed} == {"gold", "platinum"}
+    assert all(resumed[k] == full[k] for k in resumed)
+    assert snapshot(spark, "t3_") == before
+    with pytest.raises(ValueError):
+        refresh_all(spark, None, namespace_prefix="t3_")
