@@ -264,7 +264,11 @@ FINAL: dict[str, str] = {
     "dim_customer": "SELECT * FROM dim_customer",
     "dim_product": "SELECT * FROM dim_product",
     "dim_seller": "SELECT * FROM dim_seller",
-    "dim_date": "SELECT * FROM dim_date",
+    "dim_date_order_days": """
+        SELECT d.*, CAST(COALESCE(p.orders, 0) AS BIGINT) AS orders
+        FROM dim_date d LEFT JOIN (SELECT purchase_date_id AS date_id, count(*) AS orders
+                                   FROM fact_orders GROUP BY purchase_date_id) p
+          ON d.date_id = p.date_id""",
     "dim_payment_type": "SELECT * FROM dim_payment_type",
     "fact_orders": "SELECT * FROM fact_orders",
     "fact_order_items": "SELECT * FROM fact_order_items",
