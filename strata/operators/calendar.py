@@ -10,29 +10,42 @@ from pyspark.sql import functions as F
 from strata.functions.columns import calendar_parts, date_key
 
 
-def _days(spark: SparkSession, start, end) -> DataFrame:
-    one = spark.range(1)
-    return one.select(F.explode(F.sequence(start, end, F.expr("interval 1 day"))).alias("full_date"))
+# A calendar of up to this many days (about 550 years, a few MB) may be broadcast;
+# a longer one is joined by sort-merge.
+BROADCAST_DAYS = 200_000
+
+
+def _as_date(d: str | dt.date | dt.datetime) -> dt.date:
+    if isinstance(d, dt.datetime):
+        return d.date()
+    return d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)[:10])
 
 
 def date_spine(spark: SparkSession, start: str | dt.date, end: str | dt.date) -> DataFrame:
     """``full_date`` for every day from ``start`` to ``end`` inclusive.
 
-    The row count is the number of days in the span, fixed before the job runs,
-    so joining it to a fact table is a broadcast of known size.
+    The row count (days in the span) is known on the driver before any job runs.
+    Catalyst cannot estimate generated rows, so the size check is made here: a
+    span of at most ``BROADCAST_DAYS`` is left to the broadcast join, a longer one
+    carries a sort-merge join hint.
     """
-    return _days(spark, F.to_date(F.lit(str(start))), F.to_date(F.lit(str(end))))
+    lo, hi = _as_date(start), _as_date(end)
+    spine = spark.range(1).select(F.explode(F.sequence(
+        F.lit(lo), F.lit(hi), F.expr("interval 1 day"))).alias("full_date"))
+    return spine if (hi - lo).days + 1 <= BROADCAST_DAYS else spine.hint("merge")
 
 
 def date_spine_covering(df: DataFrame, column: str) -> DataFrame:
     """A spine from the earliest to the latest date found in ``df[column]``.
 
-    The bounds come from a global min/max aggregate (one row); the spine grows
-    with the date range, not with the data.
+    The bounds come from one global min/max aggregate (two values reach the
+    driver), so the spine's size is known and checked as in ``date_spine``: a
+    stray far-off date in the data cannot turn into a large broadcast.
     """
-    bounds = df.agg(F.to_date(F.min(column)).alias("lo"), F.to_date(F.max(column)).alias("hi"))
-    return bounds.where(F.col("lo").isNotNull()).select(
-        F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("full_date"))
+    lo, hi = df.agg(F.to_date(F.min(column)), F.to_date(F.max(column))).first()
+    if lo is None:
+        return df.sparkSession.range(0).select(F.lit(None).cast("date").alias("full_date"))
+    return date_spine(df.sparkSession, lo, hi)
 
 
 def with_calendar_columns(spine: DataFrame) -> DataFrame:

@@ -83,3 +83,20 @@ def test_date_spine_inclusive(spark):
     df = spark.createDataFrame([(dt.datetime(2020, 2, 27, 5),), (dt.datetime(2020, 3, 1, 23),)],
                                "t timestamp_ntz")
     assert date_spine_covering(df, "t").count() == 4  # leap day included
+
+
+def test_calendar_broadcast_only_when_span_is_bounded(spark):
+    from strata.operators.calendar import date_spine, date_spine_covering
+
+    facts = spark.range(1000).select(F.date_add(F.lit(dt.date(2000, 1, 1)),
+                                                (F.col("id") % 300).cast("int")).alias("full_date"))
+
+    def plan_of(spine):
+        return facts.join(spine, "full_date")._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" in plan_of(date_spine(spark, "2000-01-01", "2000-12-31"))
+    long_plan = plan_of(date_spine(spark, "1500-01-01", "2100-12-31"))
+    assert "BroadcastHashJoin" not in long_plan and "SortMergeJoin" in long_plan
+    covering = date_spine_covering(facts, "full_date")
+    assert covering.count() == 300
+    assert date_spine_covering(facts.where("false"), "full_date").count() == 0
