@@ -437,6 +437,33 @@ FINAL["dq_silver_suite"] = _silver_suite()
 FINAL["dq_gold_suite"] = _gold_suite()
 
 
+def _acceptance_suite() -> str:
+    return "\nUNION ALL\n".join([
+        _check_rows("silver.orders", "tests", [
+            ("order_id_not_null", _count_if("order_id IS NULL"), "0", "eq")], "s_orders"),
+        _check_rows("silver.orders", "tests", [("unique_order_id", "sum(n - 1)", "0", "eq")],
+                    "(SELECT count(*) AS n FROM s_orders GROUP BY order_id) g"),
+        _check_rows("silver.order_items", "tests", [
+            ("unique_order_id_order_item_id", "sum(n - 1)", "0", "eq")],
+            "(SELECT count(*) AS n FROM s_order_items GROUP BY order_id, order_item_id) g"),
+        _check_rows("silver.order_reviews", "tests", [
+            ("review_score_between_1_5", _count_if("review_score < 1 OR review_score > 5"), "0", "eq")],
+            "s_order_reviews"),
+        _check_rows("gold.fact_order_items", "tests", [("fk_order_id_in_order_id", "n", "0", "eq")],
+                    _orphans("fact_order_items", "order_id", "fact_orders", "order_id")),
+        _check_rows("gold.fact_orders", "tests", [
+            ("total_revenue_non_negative", _count_if("total_revenue < 0"), "0", "eq")], "fact_orders"),
+        _check_rows("gold.fact_orders", "tests", [("rowcount_matches_silver_orders", "a", "b", "eq")],
+                    "(SELECT (SELECT count(*) FROM fact_orders) AS a, "
+                    "(SELECT count(*) FROM s_orders) AS b) c"),
+        _check_rows("gold.dim_customer", "tests", [
+            ("customer_id_not_null", _count_if("customer_id IS NULL"), "0", "eq")], "dim_customer"),
+    ])
+
+
+FINAL["dq_acceptance_suite"] = _acceptance_suite()
+
+
 def _deps(text: str) -> list[str]:
     words = set(re.findall(r"[A-Za-z_][A-Za-z0-9_]*", text))
     return [n for n in CTES if n in words]

@@ -79,6 +79,14 @@ def dq_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
                       lay.gold("dim_seller"), lay.silver("orders"))
 
 
+def dq_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.plans.suites import acceptance_suite
+    lay = layers(spark, sf_dir)
+    return acceptance_suite(lay.silver("orders"), lay.silver("order_items"),
+                            lay.silver("order_reviews"), lay.gold("fact_orders"),
+                            lay.gold("fact_order_items"), lay.gold("dim_customer"))
+
+
 def padded_customer_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trim / blank -> NULL / upper-case on text with outer blanks: every tenth
     customer's segment is made all blanks, the others get padded."""
@@ -122,6 +130,7 @@ def queries() -> dict[str, Query]:
     out["dq_bronze_suite"] = dq_bronze
     out["dq_silver_suite"] = dq_silver
     out["dq_gold_suite"] = dq_gold
+    out["dq_acceptance_suite"] = dq_acceptance
     out["clean_padded_segments"] = padded_customer_segments
     out["orphan_documents_without_labels"] = documents_without_labels
     out["events_with_user_total"] = events_with_user_total

@@ -56,6 +56,32 @@ def gold_suite(fact_orders: DataFrame, fact_items: DataFrame, dim_customer: Data
     ])
 
 
+def acceptance_suite(silver_orders: DataFrame, silver_items: DataFrame,
+                     silver_reviews: DataFrame, fact_orders: DataFrame, fact_items: DataFrame,
+                     dim_customer: DataFrame, silver_prefix: str = "silver.",
+                     gold_prefix: str = "gold.") -> DataFrame:
+    """The after-run table tests: Silver keys present and unique, review score
+    1..5; Gold items without an order, negative order revenue, one fact row per
+    Silver order, customer key present. Layer ``tests``; one pass per table.
+    ``gate(spark, "tests", ...)`` turns a failure into ``DQError``."""
+    return dq.combine([
+        dq.run_checks(silver_orders, [dq.not_null("order_id"), dq.unique("order_id")],
+                      f"{silver_prefix}orders", "tests"),
+        dq.run_checks(silver_items, [dq.unique("order_id", "order_item_id")],
+                      f"{silver_prefix}order_items", "tests"),
+        dq.run_checks(silver_reviews, [dq.between("review_score", 1, 5)],
+                      f"{silver_prefix}order_reviews", "tests"),
+        dq.run_checks(fact_items, [dq.no_orphans("order_id", fact_orders, "order_id")],
+                      f"{gold_prefix}fact_order_items", "tests"),
+        dq.run_checks(fact_orders, [dq.non_negative("total_revenue"),
+                                    dq.row_count_matches(silver_orders,
+                                                         "rowcount_matches_silver_orders")],
+                      f"{gold_prefix}fact_orders", "tests"),
+        dq.run_checks(dim_customer, [dq.not_null("customer_id")],
+                      f"{gold_prefix}dim_customer", "tests"),
+    ])
+
+
 def source_reconciliation(spark, tables: Mapping[str, DataFrame], directory: str,
                           prefix: str = "bronze.") -> DataFrame | None:
     """Table rows must equal the CSV records of its source file (quoted newlines

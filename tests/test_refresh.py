@@ -38,6 +38,9 @@ def test_refresh_twice_same_marts(spark, sf_small):
     assert c1 == c2 and snapshot(spark, "t2_") == first
     assert c1["gold.fact_orders"] == c1["silver.orders"]
     assert spark.table("t2_meta.dq_results").where("NOT passed").count() == 0
+    # the table tests ran after the marts, on the written tables
+    tests = spark.table("t2_meta.dq_results").where("layer = 'tests'")
+    assert tests.where("check_name = 'total_revenue_non_negative'").count() == 2
     assert {r.namespace for r in spark.sql("SHOW SCHEMAS").collect()} >= {
         "t2_bronze", "t2_silver", "t2_gold", "t2_platinum", "t2_meta"}
 
