@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +19,7 @@ def read_source(spark: SparkSession, spec: SourceSpec, kind: str = "csv",
     """Read one raw source from CSV files (explicit schema unless ``infer``) or
     from a JDBC table of the same name."""
     if kind == "csv":
-        path = os.path.join(directory or ".", spec.file_name)
+        path = f"{(directory or '.').rstrip('/')}/{spec.file_name}"
         return read_csv(spark, path, None if infer else spec.schema, infer=infer)
     if kind == "jdbc":
         return read_jdbc(spark, url, f"{schema_prefix}{spec.table}", properties)

@@ -344,6 +344,11 @@ FINAL: dict[str, str] = {
         SELECT count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, count(*) AS audited,
                count(*) AS rows_first_run, CAST(0 AS BIGINT) AS rows_second_run
         FROM orders""",
+    "csv_reconciled_bronze_orders": """
+        SELECT 'bronze.orders' AS table_name, 'bronze' AS layer,
+               'rowcount_matches_csv' AS check_name, true AS passed,
+               CAST(count(*) AS DOUBLE) AS value, CAST(count(*) AS DOUBLE) AS threshold
+        FROM orders""",
     "refreshed_orders_table": """
         SELECT 'olist_orders_dataset.csv' AS _source_file, count(*) AS table_rows,
                2 * count(*) AS log_rows, count(*) AS rows_written, 2 * count(*) AS rows_appended

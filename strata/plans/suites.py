@@ -86,16 +86,14 @@ def source_reconciliation(spark, tables: Mapping[str, DataFrame], directory: str
                           prefix: str = "bronze.") -> DataFrame | None:
     """Table rows must equal the CSV records of its source file (quoted newlines
     respected); tables whose file is missing are skipped. ``None`` if none exist."""
-    import os
-
     from strata.config import SOURCES
-    from strata.sources.files import read_csv
+    from strata.sources.files import path_exists, read_csv
 
     results = []
     for name, df in tables.items():
         spec = SOURCES.get(name)
-        path = os.path.join(directory, spec.file_name) if spec else None
-        if path is None or not os.path.exists(path):
+        path = f"{directory.rstrip('/')}/{spec.file_name}" if spec else None
+        if path is None or not path_exists(spark, path):
             continue
         records = read_csv(spark, path, spec.schema)
         results.append(dq.run_checks(df, [dq.row_count_matches(records, "rowcount_matches_csv")],
