@@ -15,14 +15,18 @@ from strata.sources.jdbc import read_jdbc
 def read_source(spark: SparkSession, spec: SourceSpec, kind: str = "csv",
                 directory: str | None = None, url: str | None = None,
                 properties: Mapping[str, str] | None = None, schema_prefix: str = "",
-                infer: bool = False) -> DataFrame:
+                infer: bool = False, partition_column: str | None = None,
+                num_partitions: int | None = None) -> DataFrame:
     """Read one raw source from CSV files (explicit schema unless ``infer``) or
-    from a JDBC table of the same name."""
+    from a JDBC table of the same name. A JDBC read is split into ``num_partitions``
+    ranges of a numeric/date ``partition_column`` when one is given (one
+    connection and one task otherwise, as the reference reads)."""
     if kind == "csv":
         path = f"{(directory or '.').rstrip('/')}/{spec.file_name}"
         return read_csv(spark, path, None if infer else spec.schema, infer=infer)
     if kind == "jdbc":
-        return read_jdbc(spark, url, f"{schema_prefix}{spec.table}", properties)
+        return read_jdbc(spark, url, f"{schema_prefix}{spec.table}", properties,
+                         partition_column=partition_column, num_partitions=num_partitions)
     raise ValueError(f"unknown source kind {kind!r} (use 'csv' or 'jdbc')")
 
 
@@ -37,5 +41,11 @@ def bronze(raw: Mapping[str, DataFrame]) -> Mapping[str, DataFrame]:
     return LazyFrames({name: (lambda name=name: audited(name)) for name in raw})
 
 
-def read_sources(spark: SparkSession, kind: str = "csv", **options) -> dict[str, DataFrame]:
-    return {name: read_source(spark, spec, kind, **options) for name, spec in SOURCES.items()}
+def read_sources(spark: SparkSession, kind: str = "csv",
+                 partition_columns: Mapping[str, str] | None = None,
+                 **options) -> dict[str, DataFrame]:
+    """All nine sources; ``partition_columns`` names, per table, the numeric column
+    a JDBC read is split on."""
+    split = dict(partition_columns or {})
+    return {name: read_source(spark, spec, kind, partition_column=split.get(name), **options)
+            for name, spec in SOURCES.items()}

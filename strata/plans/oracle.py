@@ -334,6 +334,10 @@ FINAL: dict[str, str] = {
         SELECT count(*) AS csv_records, CAST(sum(order_id) AS BIGINT) AS key_sum,
                count(order_delivered_customer_date) AS delivered
         FROM raw_orders""",
+    "jdbc_seeded_bronze_orders": """
+        SELECT count(*) AS rows, CAST(sum(order_id) AS BIGINT) AS key_sum,
+               count(order_delivered_customer_date) AS delivered, CAST(1 AS BIGINT) AS source_files
+        FROM raw_orders""",
     "jdbc_roundtrip_customer": """
         SELECT n_name, count(*) AS customers,
                CAST(round(sum(CAST(c_acctbal AS DECIMAL(18,2))), 2) AS DOUBLE) AS acctbal_total
