@@ -6,6 +6,8 @@ Tables are Parquet managed tables. The write path goes through one function
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -27,28 +29,78 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def _split(spark: SparkSession, name: str) -> tuple[str, str]:
+    db, _, table = name.rpartition(".")
+    return db or spark.catalog.currentDatabase(), table
+
+
+def _versions_root(spark: SparkSession, name: str) -> str:
+    """Folder holding the table's data versions, next to (never inside) the path a
+    managed table of that name would own."""
+    db, table = _split(spark, name)
+    return f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/{table}__versions"
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _drop_old_versions(spark: SparkSession, root: str, keep: int) -> None:
+    path, fs = _fs(spark, root)
+    names = sorted(st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory())
+    for old in names[:-keep] if keep > 0 else names:
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{old}"), True)
+
+
+def _point_table(spark: SparkSession, name: str, location: str, fmt: str,
+                 partitioned: bool) -> None:
+    """Make ``name`` an external table over ``location`` (metadata only).
+
+    An unpartitioned table with the same schema is switched with one ``SET
+    LOCATION``: readers see the old version or the new one, never neither. A
+    partitioned table (its catalog partitions name the old folders) or a changed
+    schema is re-declared: drop (metadata only for an external table), create,
+    register the partitions.
+    """
+    if spark.catalog.tableExists(name):
+        current = spark.catalog.getTable(name)
+        same = (current.tableType == "EXTERNAL" and not partitioned
+                and not any(c.isPartition for c in spark.catalog.listColumns(name))
+                and spark.table(name).schema == spark.read.format(fmt).load(location).schema)
+        if same:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{location}'")
+    if partitioned:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
 def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
-                  fmt: str = "parquet") -> int:
+                  fmt: str = "parquet", keep_versions: int = 2) -> int:
     """Full refresh of ``name`` with ``df``; returns the number of rows written.
 
-    The rows are counted by an ``Observation`` inside the write job, so the plan
-    runs once. The data goes to a staging table first and is renamed into place,
-    which also allows ``df`` to read the table it replaces.
+    The rows go to a new version folder (one write job; rows are counted by an
+    ``Observation`` inside it, so the plan runs once), then the table is pointed
+    at that folder. No data file is moved or copied - on an object store a rename
+    is a copy of the whole table - and ``df`` may read the table it replaces. The
+    newest ``keep_versions`` folders are kept (queries still reading the previous
+    version finish), older ones are deleted.
     """
     spark = df.sparkSession
+    root = _versions_root(spark, name)
+    version = f"{root}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     obs = Observation()
-    staged = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    staging = f"{name}__staging"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    writer = staged.write.mode("overwrite").format(fmt)
+    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists") \
+        .format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(staging)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
-    if partition_by:
-        # the catalog's partition entries still name the staging folders
-        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    writer.save(version)
+    _point_table(spark, name, version, fmt, bool(partition_by))
+    _drop_old_versions(spark, root, max(1, keep_versions))
     return int(obs.get["rows"])
 
 

@@ -88,3 +88,24 @@ def test_write_partitioned_spreads_hot_day(spark):
     files = [f for f in os.listdir(os.path.join(path.replace("file:", ""), "day=2024-01-01"))
              if f.endswith(".parquet")]
     assert len(files) > 1  # the hot day was written by several tasks
+
+
+def test_replace_moves_no_data_and_keeps_two_versions(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS rv")
+    spark.sql("DROP TABLE IF EXISTS rv.t")
+    for n in [3, 4, 5]:
+        assert replace_table(spark.range(n), "rv.t") == n
+    assert spark.table("rv.t").count() == 5
+    info = spark.catalog.getTable("rv.t")
+    assert info.tableType == "EXTERNAL"
+    loc = spark.sql("DESCRIBE TABLE EXTENDED rv.t").where("col_name = 'Location'").first()[1]
+    root = loc.rsplit("/", 1)[0]
+    assert root.endswith("/t__versions")
+    kept = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
+        .load(root).select(F.regexp_extract("path", r"/(v\d+-[0-9a-f]+)/", 1).alias("v")) \
+        .distinct().count()
+    assert kept == 2
+    # a managed table of the same name is replaced without touching the new data
+    spark.sql("DROP TABLE rv.t")
+    spark.range(7).write.saveAsTable("rv.t")
+    assert replace_table(spark.range(2), "rv.t") == 2 and spark.table("rv.t").count() == 2
