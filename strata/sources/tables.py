@@ -1,7 +1,8 @@
 """Catalog tables: namespaces, full-refresh replace, append, listing.
 
-Tables are Parquet managed tables. The write path goes through one function
-(``replace_table``) so another table format can be put in later.
+Refreshed tables are Parquet external tables over version folders; appended
+tables (quality results, logs) are managed tables. The write path goes through
+one function (``replace_table``) so another table format can be put in later.
 """
 
 from __future__ import annotations
