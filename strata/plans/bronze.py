@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,14 +16,19 @@ def read_source(spark: SparkSession, spec: SourceSpec, kind: str = "csv",
                 directory: str | None = None, url: str | None = None,
                 properties: Mapping[str, str] | None = None, schema_prefix: str = "",
                 infer: bool = False, partition_column: str | None = None,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, splittable: bool = False) -> DataFrame:
     """Read one raw source from CSV files (explicit schema unless ``infer``) or
-    from a JDBC table of the same name. A JDBC read is split into ``num_partitions``
-    ranges of a numeric/date ``partition_column`` when one is given (one
-    connection and one task otherwise, as the reference reads)."""
+    from a JDBC table of the same name.
+
+    CSV records may hold quoted newlines, so by default a file is parsed whole by
+    one task; ``splittable=True`` (for files known to hold none) lets Spark split
+    large files into scan-sized pieces. A JDBC read is split into
+    ``num_partitions`` ranges of a numeric/date ``partition_column`` when one is
+    given (one connection and one task otherwise, as the reference reads)."""
     if kind == "csv":
         path = f"{(directory or '.').rstrip('/')}/{spec.file_name}"
-        return read_csv(spark, path, None if infer else spec.schema, infer=infer)
+        return read_csv(spark, path, None if infer else spec.schema,
+                        multiline=not splittable, infer=infer)
     if kind == "jdbc":
         return read_jdbc(spark, url, f"{schema_prefix}{spec.table}", properties,
                          partition_column=partition_column, num_partitions=num_partitions)
@@ -43,9 +48,13 @@ def bronze(raw: Mapping[str, DataFrame]) -> Mapping[str, DataFrame]:
 
 def read_sources(spark: SparkSession, kind: str = "csv",
                  partition_columns: Mapping[str, str] | None = None,
-                 **options) -> dict[str, DataFrame]:
+                 splittable: Iterable[str] = (), **options) -> Mapping[str, DataFrame]:
     """All nine sources; ``partition_columns`` names, per table, the numeric column
-    a JDBC read is split on."""
-    split = dict(partition_columns or {})
-    return {name: read_source(spark, spec, kind, partition_column=split.get(name), **options)
-            for name, spec in SOURCES.items()}
+    a JDBC read is split on; ``splittable`` names the CSV sources without quoted
+    newlines whose large files may be split. Each source is opened when first used."""
+    split, plain = dict(partition_columns or {}), set(splittable)
+    return LazyFrames({
+        name: (lambda name=name, spec=spec: read_source(
+            spark, spec, kind, partition_column=split.get(name), splittable=name in plain,
+            **options))
+        for name, spec in SOURCES.items()})
