@@ -13,6 +13,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.config import NAMESPACES
 
@@ -55,28 +56,40 @@ def _drop_old_versions(spark: SparkSession, root: str, keep: int) -> None:
         fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{old}"), True)
 
 
+def _columns(schema: StructType, partition_by: Sequence[str]) -> list[tuple[str, str]]:
+    """(name, type) in table order: data columns, then partition columns."""
+    fields = {f.name: f.dataType.simpleString() for f in schema.fields}
+    return [(n, t) for n, t in fields.items() if n not in partition_by] + \
+        [(n, fields[n]) for n in partition_by]
+
+
 def _point_table(spark: SparkSession, name: str, location: str, fmt: str,
-                 partitioned: bool) -> None:
+                 schema: StructType, partition_by: Sequence[str]) -> None:
     """Make ``name`` an external table over ``location`` (metadata only).
 
-    An unpartitioned table with the same schema is switched with one ``SET
+    An unpartitioned table with the same columns is switched with one ``SET
     LOCATION``: readers see the old version or the new one, never neither. A
-    partitioned table (its catalog partitions name the old folders) or a changed
-    schema is re-declared: drop (metadata only for an external table), create,
-    register the partitions.
+    partitioned table (its catalog partitions name the old folders) or changed
+    columns are re-declared: drop (metadata only for an external table), create
+    with the written schema (no inference pass over the files), register the
+    partitions.
     """
+    columns = _columns(schema, partition_by)
     if spark.catalog.tableExists(name):
         current = spark.catalog.getTable(name)
-        same = (current.tableType == "EXTERNAL" and not partitioned
-                and not any(c.isPartition for c in spark.catalog.listColumns(name))
-                and spark.table(name).schema == spark.read.format(fmt).load(location).schema)
+        listed = spark.catalog.listColumns(name)
+        same = (current.tableType == "EXTERNAL" and not partition_by
+                and not any(c.isPartition for c in listed)
+                and [(c.name, c.dataType) for c in listed] == columns)
         if same:
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
             spark.catalog.refreshTable(name)
             return
         spark.sql(f"DROP TABLE {name}")
-    spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{location}'")
-    if partitioned:
+    ddl = ", ".join(f"`{n}` {t}" for n, t in columns)
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {name} ({ddl}) USING {fmt}{parts} LOCATION '{location}'")
+    if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
@@ -100,7 +113,7 @@ def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] | None =
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(version)
-    _point_table(spark, name, version, fmt, bool(partition_by))
+    _point_table(spark, name, version, fmt, df.schema, list(partition_by or []))
     _drop_old_versions(spark, root, max(1, keep_versions))
     return int(obs.get["rows"])
 
