@@ -23,12 +23,15 @@ def build_session(app_name: str = "strata", master: str | None = None,
     ``SPARK_MASTER_URL``, then ``local[*]``.
 
     AQE stays on so shuffle partitions are coalesced and skewed join partitions
-    split at run time; the UI is off because nothing here serves pages.
+    split at run time; jobs submitted together (the refresh writes a layer's tables
+    concurrently) share executors fairly instead of queueing behind the first; the
+    UI is off because nothing here serves pages.
     """
     builder = (
         SparkSession.builder.appName(app_name)
         .master(master or os.environ.get("SPARK_MASTER_URL", "local[*]"))
         .config("spark.ui.enabled", "false")
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
