@@ -26,9 +26,13 @@ def test_query_matches_oracle(spark, sf_small, name):
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
-def test_query_reads_tables(spark, sf_small, name):
+def test_query_plan_shape(spark, sf_small, name):
     """Every query scans the driver tables (or files / checkpoints Spark wrote from
-    them), so its work grows with them; none runs on generated rows alone."""
+    them), so its work grows with them, and none runs on generated rows alone; no
+    plan has a cross / nested-loop join or evaluates Python per row."""
     plan = queries()[name](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
     assert any(s in plan for s in ("Scan parquet", "FileScan parquet", "FileScan csv",
                                    "Scan csv", "JDBCRelation", "Scan ExistingRDD")), plan[:2000]
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+                "ArrowEvalPython"):
+        assert bad not in plan, (bad, plan[:2000])
