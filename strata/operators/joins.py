@@ -27,14 +27,43 @@ def lookup(df: DataFrame, table: DataFrame, on: str | Sequence[str],
     return out
 
 
-def add_group_total(df: DataFrame, key: str, total: Column, name: str) -> DataFrame:
-    """Attach a per-key aggregate to every detail row (aggregate + left join).
+def attach_group_total(detail: DataFrame, source: DataFrame, key: str, total: Column,
+                       name: str, hot_rows: int = 1_000_000,
+                       max_hot_keys: int = 10_000) -> DataFrame:
+    """Attach to every ``detail`` row the aggregate ``total`` of its key over
+    ``source`` (a left join: a NULL or unmatched key gets NULL).
 
-    A NULL key gets a NULL total, as a join gives. The aggregate combines
-    map-side first; a hot key on the detail side is split by AQE's skew join.
+    The totals are one row per key (combined map-side), but joining them back
+    moves every detail row to its key's reducer, and AQE cannot split a hot key
+    here (the totals side is an aggregate, not a plain shuffle). So hot keys are
+    salted: a key with more than ``hot_rows`` source rows gets ceil(rows /
+    hot_rows) salts, each detail row of it one salt picked by a hash of the row
+    (the same on a retried task), and its total is repeated once per salt. The hot
+    keys are the ``max_hot_keys`` largest above the threshold - a broadcast of
+    proven size; any further hot key still joins exactly, only unsalted.
     """
-    totals = df.groupBy(key).agg(total.alias(name))
-    return df.join(totals, on=key, how="left")
+    totals = source.groupBy(key).agg(total.alias(name), F.count(F.lit(1)).alias("__n"))
+    hot = F.broadcast(
+        totals.where(F.col("__n") > F.lit(hot_rows))
+              .orderBy(F.desc("__n"), F.asc(key)).limit(max_hot_keys)
+              .select(key, F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int").alias("__parts")))
+    hashable = [c for c, t in detail.dtypes if not t.startswith(("map<", "variant"))]
+    salted = (detail.join(hot, key, "left")
+              .withColumn("__salt", F.when(F.col("__parts").isNull(), F.lit(0))
+                          .otherwise(F.pmod(F.xxhash64(*hashable), F.col("__parts")).cast("int")))
+              .drop("__parts"))
+    repeated = (totals.join(hot, key, "left")
+                .select(key, name, F.explode(F.sequence(
+                    F.lit(0), F.coalesce(F.col("__parts"), F.lit(1)) - F.lit(1))).alias("__salt")))
+    return salted.join(repeated, [key, "__salt"], "left").drop("__salt")
+
+
+def add_group_total(df: DataFrame, key: str, total: Column, name: str,
+                    **skew_options) -> DataFrame:
+    """Attach a per-key aggregate to every row of ``df`` (aggregate joined back);
+    a NULL key gets a NULL total, as a join gives. Hot keys are salted, see
+    ``attach_group_total``."""
+    return attach_group_total(df, df, key, total, name, **skew_options)
 
 
 def count_orphans(child: DataFrame, child_key: str, parent: DataFrame,

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.columns import money_total, pct, round2
+from strata.functions.columns import exact, money_total, pct, round2
 
 
 def monthly_revenue(fact_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -25,14 +25,32 @@ def monthly_revenue(fact_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
             .orderBy("year", "month"))
 
 
+def _per_customer(fact_orders: DataFrame) -> DataFrame:
+    """Orders summed per customer_id before any join with customers.
+
+    A customer holding a third of all orders is then one row on each side of the
+    join (its rows were combined map-side, and its distinct orders counted on
+    (customer, order), spread by order), where joining the orders themselves would
+    send all of them to one task. Summing these counts per state or person equals
+    counting distinct orders there, as each order has one row and so one customer
+    in ``fact_orders`` (one row per order_id: built so, checked by the gates).
+    """
+    return fact_orders.groupBy("customer_id").agg(
+        F.countDistinct("order_id").alias("__orders"),
+        F.sum(exact("total_revenue")).alias("__revenue"),
+        F.sum("delivery_days").alias("__days"),
+        F.count("delivery_days").alias("__delivered"))
+
+
 def state_performance(fact_orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Per customer state: distinct orders, revenue, average delivery days
-    (undelivered orders ignored)."""
-    return (fact_orders.join(dim_customer, "customer_id", "inner")
+    (undelivered orders ignored). Orders are aggregated per customer first."""
+    return (_per_customer(fact_orders).join(dim_customer, "customer_id", "inner")
             .groupBy("state")
-            .agg(F.countDistinct("order_id").alias("order_count"),
-                 money_total("total_revenue").alias("revenue"),
-                 round2(F.avg("delivery_days")).alias("avg_delivery_days"))
+            .agg(F.sum("__orders").alias("order_count"),
+                 F.round(F.sum("__revenue"), 2).cast("double").alias("revenue"),
+                 round2(F.try_divide(F.sum("__days").cast("double"), F.sum("__delivered")))
+                 .alias("avg_delivery_days"))
             .orderBy(F.desc("order_count"), F.asc("state")))
 
 
@@ -99,10 +117,11 @@ def payment_distribution(fact_payments: DataFrame) -> DataFrame:
 
 def customer_retention(fact_orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """One row: total_customers (people, by customer_unique_id), repeat_customers
-    (two or more distinct orders) and retention_rate_pct."""
-    per_person = (fact_orders.join(dim_customer, "customer_id", "inner")
+    (two or more distinct orders) and retention_rate_pct. Orders are aggregated per
+    customer first."""
+    per_person = (_per_customer(fact_orders).join(dim_customer, "customer_id", "inner")
                   .groupBy("customer_unique_id")
-                  .agg(F.countDistinct("order_id").alias("order_count")))
+                  .agg(F.sum("__orders").alias("order_count")))
     return (per_person.agg(
                 F.count(F.lit(1)).alias("total_customers"),
                 F.sum(F.when(F.col("order_count") >= 2, 1).otherwise(0)).alias("repeat_customers"))

@@ -13,7 +13,7 @@ from strata.functions.columns import day_diff, money_sum
 from strata.operators.cleaning import (cast_columns, clean_strings, require_keys, upper_columns,
                                        within_box)
 from strata.operators.dedupe import dedupe
-from strata.operators.joins import lookup
+from strata.operators.joins import attach_group_total, lookup
 
 ORDER_TIMESTAMPS = ["order_purchase_timestamp", "order_approved_at",
                     "order_delivered_carrier_date", "order_delivered_customer_date",
@@ -63,14 +63,14 @@ def order_payments(bronze: DataFrame) -> DataFrame:
 
     The total is taken over the rows *before* de-duplication (a repeated payment
     counts twice), as in the reference. De-duplication runs on the composite key
-    and the totals are joined afterwards: a hot order_id then never has to sit in
-    one window partition.
+    and the totals are joined afterwards (hot orders salted): a hot order_id then
+    never has to sit in one window partition or one join task.
     """
     df = cast_columns(clean_strings(bronze), {
         "payment_value": "double", "payment_sequential": "int", "payment_installments": "int"})
-    totals = df.groupBy("order_id").agg(money_sum("payment_value").alias("total_payment_value"))
     kept = dedupe(df, ["order_id", "payment_sequential"])
-    return kept.join(totals, on="order_id", how="left")
+    return attach_group_total(kept, df, "order_id", money_sum("payment_value"),
+                              "total_payment_value")
 
 
 def order_reviews(bronze: DataFrame) -> DataFrame:

@@ -114,3 +114,55 @@ def test_calendar_is_broadcast_and_single_partitions_only_get_partials(spark):
         for feeder in single_partition_inputs(plan(queries()[name](spark, SF))):
             # only global aggregates of per-task partial results (one row per task)
             assert feeder.startswith("HashAggregate"), (name, feeder)
+
+
+def test_group_total_salts_a_hot_key(spark):
+    from strata.operators import add_group_total
+
+    items = skewed(spark)                      # order 0 holds 10,000 of 30,000 rows
+    expected = {r.order_id: r.t for r in
+                items.groupBy("order_id").agg(F.sum("product_id").alias("t")).collect()}
+    keys = ["spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions"]
+    old = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set(keys[0], "false")
+    spark.conf.set(keys[1], "16")
+    try:
+        got = add_group_total(items, "order_id", F.sum("product_id"), "t", hot_rows=1000)
+        rows = got.collect()
+        assert len(rows) == 30000 and all(r.t == expected[r.order_id] for r in rows)
+        assert got.columns == items.columns + ["t"]
+        # the hot order is split over 10 salts: no join task holds most of it
+        per_task = (got.where("order_id = 0").select(F.spark_partition_id().alias("p"))
+                    .groupBy("p").count().collect())
+        assert len(per_task) > 1 and max(r["count"] for r in per_task) < 5000
+        # without a hot key nothing is salted and the result is the same
+        plain = add_group_total(items, "order_id", F.sum("product_id"), "t")
+        assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, rows))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_customer_marts_with_a_hot_customer_equal_the_join_formulation(spark):
+    n = 9000
+    fact = spark.range(n).select(
+        F.col("id").alias("order_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 400 + 2).alias("customer_id"),
+        ((F.col("id") % 1000) / 7).alias("total_revenue"),
+        F.when(F.col("id") % 11 == 0, F.lit(None)).otherwise((F.col("id") % 9).cast("int"))
+         .alias("delivery_days"))
+    dim = spark.range(1, 380).select(
+        F.col("id").alias("customer_id"), (F.col("id") % 150).cast("string").alias("customer_unique_id"),
+        (F.col("id") % 7).cast("string").alias("state"))
+    joined = fact.join(dim, "customer_id")
+    brute_state = {r.state: (r.n, r.rev, r.avg) for r in joined.groupBy("state").agg(
+        F.countDistinct("order_id").alias("n"),
+        F.round(F.sum(F.col("total_revenue").cast("decimal(18,4)")), 2).cast("double").alias("rev"),
+        F.round(F.avg("delivery_days"), 2).alias("avg")).collect()}
+    got_state = {r.state: (r.order_count, r.revenue, r.avg_delivery_days)
+                 for r in marts.state_performance(fact, dim).collect()}
+    assert got_state == brute_state
+    per_person = joined.groupBy("customer_unique_id").agg(F.countDistinct("order_id").alias("k"))
+    total, repeat = per_person.count(), per_person.where("k >= 2").count()
+    r = marts.customer_retention(fact, dim).first()
+    assert (r.total_customers, r.repeat_customers) == (total, repeat)
