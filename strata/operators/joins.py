@@ -10,18 +10,64 @@ from pyspark.sql import functions as F
 from strata.operators.dedupe import dedupe
 
 
+def _hot_keys(counts: DataFrame, keys: list[str], count: str, hot_rows: int,
+              max_hot_keys: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows and their salt count ceil(rows /
+    hot_rows): the ``max_hot_keys`` largest at most, so broadcasting it is safe."""
+    return F.broadcast(
+        counts.where(F.col(count) > F.lit(hot_rows))
+              .orderBy(F.desc(count), *[F.asc(k) for k in keys]).limit(max_hot_keys)
+              .select(*keys, F.ceil(F.col(count) / F.lit(hot_rows)).cast("int").alias("__parts")))
+
+
+def _salted_join(detail: DataFrame, keyed: DataFrame, keys: list[str], hot: DataFrame,
+                 how: str) -> DataFrame:
+    """``detail`` joined to ``keyed`` (at most one row per key) with hot keys split:
+    each detail row of a hot key takes one of its salts by a hash of the row (the
+    same when a task is retried), and the keyed row is repeated once per salt."""
+    hashable = [c for c, t in detail.dtypes if not t.startswith(("map<", "variant"))]
+    salted = (detail.join(hot, keys, "left")
+              .withColumn("__salt", F.when(F.col("__parts").isNull(), F.lit(0))
+                          .otherwise(F.pmod(F.xxhash64(*hashable), F.col("__parts")).cast("int")))
+              .drop("__parts"))
+    repeated = (keyed.join(hot, keys, "left")
+                .withColumn("__salt", F.explode(F.sequence(
+                    F.lit(0), F.coalesce(F.col("__parts"), F.lit(1)) - F.lit(1))))
+                .drop("__parts"))
+    return salted.join(repeated, keys + ["__salt"], how).drop("__salt")
+
+
+def join_keyed(detail: DataFrame, keyed: DataFrame, on: str | Sequence[str], how: str = "left",
+               hot_rows: int = 1_000_000, max_hot_keys: int = 10_000) -> DataFrame:
+    """Join many ``detail`` rows to at most one ``keyed`` row per key (``left`` or
+    ``inner``), with keys holding more than ``hot_rows`` detail rows split over
+    several tasks.
+
+    AQE's skew-join split only applies when both inputs are plain shuffles; a keyed
+    side that comes out of an aggregate or a de-duplication window is not, so a hot
+    key would stay in one task. Detail rows are counted per key (combined map-side),
+    the largest hot keys (``max_hot_keys`` at most: a broadcast of proven size) are
+    salted; any further hot key still joins exactly, only unsalted. When ``keyed``
+    is small Catalyst still broadcasts it and nothing is shuffled for the join.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    counts = detail.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    return _salted_join(detail, keyed, keys, _hot_keys(counts, keys, "__n", hot_rows,
+                                                       max_hot_keys), how)
+
+
 def lookup(df: DataFrame, table: DataFrame, on: str | Sequence[str],
-           defaults: Mapping[str, object] | None = None) -> DataFrame:
+           defaults: Mapping[str, object] | None = None, **skew_options) -> DataFrame:
     """Left lookup enrichment; a miss takes ``defaults[column]``.
 
     The lookup table is first reduced to one row per key (lowest other columns
     win), so a duplicated key in the lookup cannot multiply the detail rows. The
-    same row would survive a join followed by a keyed de-duplication. Catalyst
-    broadcasts the table when its measured size is under the broadcast threshold
-    and falls back to a shuffle join otherwise.
+    same row would survive a join followed by a keyed de-duplication. A small
+    lookup is broadcast by size; a large one is joined with hot detail keys
+    salted (``join_keyed``).
     """
     keys = [on] if isinstance(on, str) else list(on)
-    out = df.join(dedupe(table, keys), on=keys, how="left")
+    out = join_keyed(df, dedupe(table, keys), keys, "left", **skew_options)
     for c, v in (defaults or {}).items():
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v)))
     return out
@@ -36,26 +82,12 @@ def attach_group_total(detail: DataFrame, source: DataFrame, key: str, total: Co
     The totals are one row per key (combined map-side), but joining them back
     moves every detail row to its key's reducer, and AQE cannot split a hot key
     here (the totals side is an aggregate, not a plain shuffle). So hot keys are
-    salted: a key with more than ``hot_rows`` source rows gets ceil(rows /
-    hot_rows) salts, each detail row of it one salt picked by a hash of the row
-    (the same on a retried task), and its total is repeated once per salt. The hot
-    keys are the ``max_hot_keys`` largest above the threshold - a broadcast of
-    proven size; any further hot key still joins exactly, only unsalted.
+    salted as in ``join_keyed``; their row counts come with the totals (``source``
+    rows), so no extra pass over the data is needed.
     """
     totals = source.groupBy(key).agg(total.alias(name), F.count(F.lit(1)).alias("__n"))
-    hot = F.broadcast(
-        totals.where(F.col("__n") > F.lit(hot_rows))
-              .orderBy(F.desc("__n"), F.asc(key)).limit(max_hot_keys)
-              .select(key, F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int").alias("__parts")))
-    hashable = [c for c, t in detail.dtypes if not t.startswith(("map<", "variant"))]
-    salted = (detail.join(hot, key, "left")
-              .withColumn("__salt", F.when(F.col("__parts").isNull(), F.lit(0))
-                          .otherwise(F.pmod(F.xxhash64(*hashable), F.col("__parts")).cast("int")))
-              .drop("__parts"))
-    repeated = (totals.join(hot, key, "left")
-                .select(key, name, F.explode(F.sequence(
-                    F.lit(0), F.coalesce(F.col("__parts"), F.lit(1)) - F.lit(1))).alias("__salt")))
-    return salted.join(repeated, [key, "__salt"], "left").drop("__salt")
+    hot = _hot_keys(totals, [key], "__n", hot_rows, max_hot_keys)
+    return _salted_join(detail, totals.drop("__n"), [key], hot, "left")
 
 
 def add_group_total(df: DataFrame, key: str, total: Column, name: str,

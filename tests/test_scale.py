@@ -166,3 +166,21 @@ def test_customer_marts_with_a_hot_customer_equal_the_join_formulation(spark):
     total, repeat = per_person.count(), per_person.where("k >= 2").count()
     r = marts.customer_retention(fact, dim).first()
     assert (r.total_customers, r.repeat_customers) == (total, repeat)
+
+
+def test_join_keyed_and_lookup_split_a_hot_key(spark):
+    from strata.operators import join_keyed, lookup
+
+    items = skewed(spark)                      # order 0 holds 10,000 of 30,000 rows
+    keyed = spark.range(0, 1800).select(F.col("id").alias("order_id"),
+                                        (F.col("id") * 10).alias("attr"))
+    keyed = keyed.union(spark.createDataFrame([(None, -1)], "order_id long, attr long"))
+    for how in ["left", "inner"]:
+        brute = sorted(map(tuple, items.join(keyed, "order_id", how).collect()))
+        got = join_keyed(items, keyed, "order_id", how, hot_rows=500)
+        assert sorted(map(tuple, got.collect())) == brute
+    looked = lookup(items, keyed, "order_id", {"attr": 0}, hot_rows=500)
+    assert looked.where("order_id = 0 AND attr = 0").count() == 10000
+    assert looked.where("order_id >= 1800 AND attr = 0").count() == \
+        items.where("order_id >= 1800").count()
+    assert looked.count() == items.count()
