@@ -38,36 +38,46 @@ def _salted_join(detail: DataFrame, keyed: DataFrame, keys: list[str], hot: Data
 
 
 def join_keyed(detail: DataFrame, keyed: DataFrame, on: str | Sequence[str], how: str = "left",
-               hot_rows: int = 1_000_000, max_hot_keys: int = 10_000) -> DataFrame:
+               hot_rows: int = 1_000_000, max_hot_keys: int = 10_000,
+               broadcast_rows: int = 0) -> DataFrame:
     """Join many ``detail`` rows to at most one ``keyed`` row per key (``left`` or
     ``inner``), with keys holding more than ``hot_rows`` detail rows split over
     several tasks.
 
-    AQE's skew-join split only applies when both inputs are plain shuffles; a keyed
-    side that comes out of an aggregate or a de-duplication window is not, so a hot
-    key would stay in one task. Detail rows are counted per key (combined map-side),
-    the largest hot keys (``max_hot_keys`` at most: a broadcast of proven size) are
-    salted; any further hot key still joins exactly, only unsalted. When ``keyed``
-    is small Catalyst still broadcasts it and nothing is shuffled for the join.
+    With ``broadcast_rows`` > 0, ``keyed`` is first counted (stopping after
+    ``broadcast_rows + 1`` rows); if it has no more rows than that it is broadcast,
+    the detail is not shuffled at all and hot keys do not matter. Use it for code
+    tables, not for a side that grows with the data (the count is a job of its own).
+
+    Otherwise hot keys are salted. AQE's skew-join split only applies when both
+    inputs are plain shuffles; a keyed side that comes out of an aggregate or a
+    de-duplication window is not, so a hot key would stay in one task. Detail rows
+    are counted per key (combined map-side), the largest hot keys (``max_hot_keys``
+    at most: a broadcast of proven size) are salted; any further hot key still
+    joins exactly, only unsalted.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    if broadcast_rows > 0 and keyed.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return detail.join(F.broadcast(keyed), keys, how)
     counts = detail.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     return _salted_join(detail, keyed, keys, _hot_keys(counts, keys, "__n", hot_rows,
                                                        max_hot_keys), how)
 
 
 def lookup(df: DataFrame, table: DataFrame, on: str | Sequence[str],
-           defaults: Mapping[str, object] | None = None, **skew_options) -> DataFrame:
+           defaults: Mapping[str, object] | None = None, broadcast_rows: int = 100_000,
+           **skew_options) -> DataFrame:
     """Left lookup enrichment; a miss takes ``defaults[column]``.
 
     The lookup table is first reduced to one row per key (lowest other columns
     win), so a duplicated key in the lookup cannot multiply the detail rows. The
-    same row would survive a join followed by a keyed de-duplication. A small
-    lookup is broadcast by size; a large one is joined with hot detail keys
-    salted (``join_keyed``).
+    same row would survive a join followed by a keyed de-duplication. A lookup of
+    at most ``broadcast_rows`` rows (counted first) is broadcast; a larger one is
+    joined with hot detail keys salted (``join_keyed``).
     """
     keys = [on] if isinstance(on, str) else list(on)
-    out = join_keyed(df, dedupe(table, keys), keys, "left", **skew_options)
+    out = join_keyed(df, dedupe(table, keys), keys, "left", broadcast_rows=broadcast_rows,
+                     **skew_options)
     for c, v in (defaults or {}).items():
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v)))
     return out

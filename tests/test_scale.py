@@ -179,8 +179,13 @@ def test_join_keyed_and_lookup_split_a_hot_key(spark):
         brute = sorted(map(tuple, items.join(keyed, "order_id", how).collect()))
         got = join_keyed(items, keyed, "order_id", how, hot_rows=500)
         assert sorted(map(tuple, got.collect())) == brute
-    looked = lookup(items, keyed, "order_id", {"attr": 0}, hot_rows=500)
+    looked = lookup(items, keyed, "order_id", {"attr": 0}, hot_rows=500, broadcast_rows=100)
     assert looked.where("order_id = 0 AND attr = 0").count() == 10000
     assert looked.where("order_id >= 1800 AND attr = 0").count() == \
         items.where("order_id >= 1800").count()
     assert looked.count() == items.count()
+    # a lookup within the row bound is broadcast after its count: no salting at all
+    small = lookup(items, keyed, "order_id", {"attr": 0}, hot_rows=500)
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "__salt" not in plan
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, looked.collect()))
