@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +16,8 @@ def read_source(spark: SparkSession, spec: SourceSpec, kind: str = "csv",
                 directory: str | None = None, url: str | None = None,
                 properties: Mapping[str, str] | None = None, schema_prefix: str = "",
                 infer: bool = False, partition_column: str | None = None,
-                num_partitions: int | None = None, splittable: bool = False) -> DataFrame:
+                num_partitions: int | None = None, splittable: bool = False,
+                predicates: Sequence[str] | None = None) -> DataFrame:
     """Read one raw source from CSV files (explicit schema unless ``infer``) or
     from a JDBC table of the same name.
 
@@ -24,14 +25,16 @@ def read_source(spark: SparkSession, spec: SourceSpec, kind: str = "csv",
     one task; ``splittable=True`` (for files known to hold none) lets Spark split
     large files into scan-sized pieces. A JDBC read is split into
     ``num_partitions`` ranges of a numeric/date ``partition_column`` when one is
-    given (one connection and one task otherwise, as the reference reads)."""
+    given, or into one task per condition of ``predicates`` (one connection and one
+    task otherwise, as the reference reads)."""
     if kind == "csv":
         path = f"{(directory or '.').rstrip('/')}/{spec.file_name}"
         return read_csv(spark, path, None if infer else spec.schema,
                         multiline=not splittable, infer=infer)
     if kind == "jdbc":
         return read_jdbc(spark, url, f"{schema_prefix}{spec.table}", properties,
-                         partition_column=partition_column, num_partitions=num_partitions)
+                         partition_column=partition_column, num_partitions=num_partitions,
+                         predicates=predicates)
     raise ValueError(f"unknown source kind {kind!r} (use 'csv' or 'jdbc')")
 
 

@@ -109,3 +109,17 @@ def test_replace_moves_no_data_and_keeps_two_versions(spark):
     spark.sql("DROP TABLE rv.t")
     spark.range(7).write.saveAsTable("rv.t")
     assert replace_table(spark.range(2), "rv.t") == 2 and spark.table("rv.t").count() == 2
+
+
+def test_jdbc_text_key_split_by_predicates(spark):
+    url = derby_memory_url("strata_test_pred")
+    props = {"driver": DERBY_DRIVER}
+    src = spark.range(0, 500).select(F.format_string("k%04d", "id").alias("key"), F.col("id").alias("v"))
+    write_jdbc(src, url, "t", props)
+    # ranges of the text key written in the database's SQL, together covering every row once
+    k = 'CAST("key" AS VARCHAR(16))'        # Derby keeps Spark strings as CLOB
+    preds = [f"{k} < 'k0100'", f"{k} >= 'k0100' AND {k} < 'k0300'", f"{k} >= 'k0300'",
+             '"key" IS NULL']
+    back = read_jdbc(spark, url, "t", props, predicates=preds)
+    assert back.rdd.getNumPartitions() == 4
+    assert back.count() == 500 and back.agg(F.sum("v")).first()[0] == sum(range(500))
