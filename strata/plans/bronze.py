@@ -51,13 +51,15 @@ def bronze(raw: Mapping[str, DataFrame]) -> Mapping[str, DataFrame]:
 
 def read_sources(spark: SparkSession, kind: str = "csv",
                  partition_columns: Mapping[str, str] | None = None,
+                 predicates: Mapping[str, Sequence[str]] | None = None,
                  splittable: Iterable[str] = (), **options) -> Mapping[str, DataFrame]:
-    """All nine sources; ``partition_columns`` names, per table, the numeric column
-    a JDBC read is split on; ``splittable`` names the CSV sources without quoted
-    newlines whose large files may be split. Each source is opened when first used."""
-    split, plain = dict(partition_columns or {}), set(splittable)
+    """All nine sources. Per table, ``partition_columns`` names the numeric column a
+    JDBC read is split on and ``predicates`` the conditions splitting it otherwise;
+    ``splittable`` names the CSV sources without quoted newlines whose large files
+    may be split. Each source is opened when first used."""
+    split, where, plain = dict(partition_columns or {}), dict(predicates or {}), set(splittable)
     return LazyFrames({
         name: (lambda name=name, spec=spec: read_source(
-            spark, spec, kind, partition_column=split.get(name), splittable=name in plain,
-            **options))
+            spark, spec, kind, partition_column=split.get(name), predicates=where.get(name),
+            splittable=name in plain, **options))
         for name, spec in SOURCES.items()})
