@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +13,9 @@ from strata.operators.dedupe import dedupe
 
 def _hot_keys(counts: DataFrame, keys: list[str], count: str, hot_rows: int,
               max_hot_keys: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows and their salt count ceil(rows /
-    hot_rows): the ``max_hot_keys`` largest at most, so broadcasting it is safe."""
+    """Keys (a NULL key included) with more than ``hot_rows`` rows and their salt
+    count ceil(rows / hot_rows): the ``max_hot_keys`` largest at most, so
+    broadcasting it is safe."""
     return F.broadcast(
         counts.where(F.col(count) > F.lit(hot_rows))
               .orderBy(F.desc(count), *[F.asc(k) for k in keys]).limit(max_hot_keys)
@@ -24,12 +26,20 @@ def _salted_join(detail: DataFrame, keyed: DataFrame, keys: list[str], hot: Data
                  how: str) -> DataFrame:
     """``detail`` joined to ``keyed`` (at most one row per key) with hot keys split:
     each detail row of a hot key takes one of its salts by a hash of the row (the
-    same when a task is retried), and the keyed row is repeated once per salt."""
+    same when a task is retried), and the keyed row is repeated once per salt.
+
+    Hot keys are matched null-safely, so many detail rows with a NULL key (kept by
+    a left join, matched by nothing) are spread the same way instead of all going
+    to the one task that NULL hashes to."""
     hashable = [c for c, t in detail.dtypes if not t.startswith(("map<", "variant"))]
-    salted = (detail.join(hot, keys, "left")
+    marks = F.broadcast(hot.select(*[F.col(k).alias(f"__hot{i}") for i, k in enumerate(keys)],
+                                   "__parts"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__hot{i}"))
+                                       for i, k in enumerate(keys)])
+    salted = (detail.join(marks, same, "left")
               .withColumn("__salt", F.when(F.col("__parts").isNull(), F.lit(0))
                           .otherwise(F.pmod(F.xxhash64(*hashable), F.col("__parts")).cast("int")))
-              .drop("__parts"))
+              .drop("__parts", *[f"__hot{i}" for i in range(len(keys))]))
     repeated = (keyed.join(hot, keys, "left")
                 .withColumn("__salt", F.explode(F.sequence(
                     F.lit(0), F.coalesce(F.col("__parts"), F.lit(1)) - F.lit(1))))

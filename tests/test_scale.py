@@ -189,3 +189,30 @@ def test_join_keyed_and_lookup_split_a_hot_key(spark):
     plan = small._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "__salt" not in plan
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, looked.collect()))
+
+
+def test_left_joins_spread_many_null_keys(spark):
+    from strata.operators import add_group_total, join_keyed
+
+    rows = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 100).alias("k"),
+        F.col("id"))                             # a third of the keys are NULL
+    keyed = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("attr"))
+    keys = ["spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions"]
+    old = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set(keys[0], "false")
+    spark.conf.set(keys[1], "16")
+    try:
+        for got in [join_keyed(rows, keyed, "k", "left", hot_rows=1000),
+                    add_group_total(rows, "k", F.count(F.lit(1)), "attr", hot_rows=1000)]:
+            assert got.count() == 30000
+            nulls = got.where("k IS NULL")
+            assert nulls.count() == 10000 and nulls.where("attr IS NOT NULL").count() == 0
+            per_task = nulls.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+            assert len(per_task) > 1 and max(r["count"] for r in per_task) < 5000
+        brute = sorted(map(tuple, rows.join(keyed, "k", "left").collect()), key=repr)
+        assert sorted(map(tuple, join_keyed(rows, keyed, "k", "left", hot_rows=1000).collect()),
+                      key=repr) == brute
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
