@@ -52,13 +52,8 @@ MiB = 1 << 20
 
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     """Total size of the files under ``paths`` (a metadata call per path; no data read)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        total += path.getFileSystem(conf).getContentSummary(path).getLength()
-    return int(total)
+    from strata.sources import fs
+    return fs.total_bytes(spark, paths)
 
 
 def sizing_conf(data_bytes: int, total_cores: int, bytes_per_reducer: int = GiB,

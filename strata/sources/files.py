@@ -10,9 +10,8 @@ from pyspark.sql.types import StructType
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, asked of its own file system (local, HDFS, S3, ...),
     not of the driver's local disk."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    from strata.sources import fs
+    return fs.exists(spark, path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,

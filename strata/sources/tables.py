@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.config import NAMESPACES
+from strata.sources import fs
 
 
 def ensure_namespaces(spark: SparkSession, names: Iterable[str] = NAMESPACES) -> None:
@@ -43,17 +44,10 @@ def _versions_root(spark: SparkSession, name: str) -> str:
     return f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/{table}__versions"
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def _drop_old_versions(spark: SparkSession, root: str, keep: int) -> None:
-    path, fs = _fs(spark, root)
-    names = sorted(st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory())
+    names = fs.subdirectories(spark, root)
     for old in names[:-keep] if keep > 0 else names:
-        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{old}"), True)
+        fs.delete(spark, f"{root}/{old}")
 
 
 def _columns(schema: StructType, partition_by: Sequence[str]) -> list[tuple[str, str]]:

@@ -14,21 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from strata.config import SourceSpec
-
-
-def _count_files(spark: SparkSession, directory: str) -> int:
-    """Visible files under ``directory`` (file-system metadata only)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(directory)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return 0
-    files = fs.listFiles(path, True)
-    n = 0
-    while files.hasNext():
-        name = files.next().getPath().getName()
-        n += not name.startswith(("_", "."))
-    return n
+from strata.sources import fs
 
 
 def ingest_available(spark: SparkSession, spec: SourceSpec, directory: str, output_path: str,
@@ -42,7 +28,7 @@ def ingest_available(spark: SparkSession, spec: SourceSpec, directory: str, outp
     checkpoint = checkpoint or output_path.rstrip("/") + "__checkpoint"
     # Rows are summed over the query's progress reports, which a session keeps only
     # for its last N batches: run in a child session that keeps one per batch.
-    batches = -(-_count_files(spark, directory) // max_files_per_batch) + 2
+    batches = -(-fs.count_files(spark, directory) // max_files_per_batch) + 2
     spark = spark.newSession()
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(max(100, batches)))
     stream = (spark.readStream.schema(spec.schema)
