@@ -70,7 +70,15 @@ def refresh_all(spark: SparkSession, raw: Mapping[str, DataFrame] | None,
     def write_all(layer: str, jobs: Mapping[str, Callable[[], DataFrame]],
                   partitioned: set[str] = frozenset()) -> dict[str, DataFrame]:
         def one(name: str) -> DataFrame:
-            return write(jobs[name](), layer, name, ["_ingest_date"] if name in partitioned else None)
+            # one scheduler pool per table: with FAIR scheduling the concurrent writes
+            # share the executors instead of queueing behind the first job
+            sc = spark.sparkContext
+            sc.setLocalProperty("spark.scheduler.pool", f"{layer}.{name}")
+            try:
+                return write(jobs[name](), layer, name,
+                             ["_ingest_date"] if name in partitioned else None)
+            finally:
+                sc.setLocalProperty("spark.scheduler.pool", None)
         with ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
             done = dict(zip(jobs, pool.map(one, list(jobs))))
         return {name: done[name] for name in jobs}

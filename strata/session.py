@@ -23,9 +23,10 @@ def build_session(app_name: str = "strata", master: str | None = None,
     ``SPARK_MASTER_URL``, then ``local[*]``.
 
     AQE stays on so shuffle partitions are coalesced and skewed join partitions
-    split at run time; jobs submitted together (the refresh writes a layer's tables
-    concurrently) share executors fairly instead of queueing behind the first; the
-    UI is off because nothing here serves pages.
+    split at run time; FAIR scheduling lets jobs submitted together from separate
+    pools (the refresh writes a layer's tables concurrently, one pool per table)
+    share executors instead of queueing behind the first; the UI is off because
+    nothing here serves pages.
     """
     builder = (
         SparkSession.builder.appName(app_name)
