@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from strata.operators.dedupe import dedupe
 
@@ -47,6 +48,38 @@ def _salted_join(detail: DataFrame, keyed: DataFrame, keys: list[str], hot: Data
     return salted.join(repeated, keys + ["__salt"], how).drop("__salt")
 
 
+# bytes per value of fixed-width types (others count 16)
+_WIDTH = {"BooleanType": 1, "ByteType": 1, "ShortType": 2, "IntegerType": 4, "FloatType": 4,
+          "DateType": 4, "LongType": 8, "DoubleType": 8, "TimestampType": 8,
+          "TimestampNTZType": 8, "DecimalType": 16}
+
+
+def _fits(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows taking at most ``max_bytes``
+    (text and binary by their length, other values by their type's width; nested
+    values by the length of their JSON form). Reads ``max_rows + 1`` rows at most."""
+    if max_rows <= 0 or max_bytes <= 0:
+        return False
+    widths = []
+    for f in df.schema.fields:
+        c, t = F.col(f"`{f.name}`"), f.dataType
+        if isinstance(t, (StringType, BinaryType)):
+            widths.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(t, (ArrayType, MapType, StructType)):
+            widths.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)))
+        else:
+            widths.append(F.lit(_WIDTH.get(type(t).__name__, 16)))
+    row_bytes = reduce(lambda a, b: a + b, widths, F.lit(0)).cast("long")
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)),
+                                            F.coalesce(F.sum(row_bytes), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
+
+
+def _broadcast_bytes(spark) -> int:
+    """The session's broadcast threshold in bytes (-1: broadcasting disabled)."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 def join_keyed(detail: DataFrame, keyed: DataFrame, on: str | Sequence[str], how: str = "left",
                hot_rows: int = 1_000_000, max_hot_keys: int = 10_000,
                broadcast_rows: int = 0) -> DataFrame:
@@ -54,10 +87,11 @@ def join_keyed(detail: DataFrame, keyed: DataFrame, on: str | Sequence[str], how
     ``inner``), with keys holding more than ``hot_rows`` detail rows split over
     several tasks.
 
-    With ``broadcast_rows`` > 0, ``keyed`` is first counted (stopping after
-    ``broadcast_rows + 1`` rows); if it has no more rows than that it is broadcast,
-    the detail is not shuffled at all and hot keys do not matter. Use it for code
-    tables, not for a side that grows with the data (the count is a job of its own).
+    With ``broadcast_rows`` > 0, ``keyed`` is first measured (reading at most
+    ``broadcast_rows + 1`` rows): if it has no more rows than that and its bytes are
+    within the session's broadcast threshold, it is broadcast, the detail is not
+    shuffled at all and hot keys do not matter. Use it for code tables, not for a
+    side that grows with the data (the measurement is a job of its own).
 
     Otherwise hot keys are salted. AQE's skew-join split only applies when both
     inputs are plain shuffles; a keyed side that comes out of an aggregate or a
@@ -67,7 +101,7 @@ def join_keyed(detail: DataFrame, keyed: DataFrame, on: str | Sequence[str], how
     joins exactly, only unsalted.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if broadcast_rows > 0 and keyed.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if broadcast_rows > 0 and _fits(keyed, broadcast_rows, _broadcast_bytes(keyed.sparkSession)):
         return detail.join(F.broadcast(keyed), keys, how)
     counts = detail.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     return _salted_join(detail, keyed, keys, _hot_keys(counts, keys, "__n", hot_rows,

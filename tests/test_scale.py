@@ -216,3 +216,18 @@ def test_left_joins_spread_many_null_keys(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_lookup_broadcast_needs_rows_and_bytes_within_bounds(spark):
+    from strata.operators import lookup
+
+    items = skewed(spark)
+    wide = spark.range(0, 2000).select(F.col("id").alias("order_id"),
+                                       F.repeat(F.lit("x"), 10_000).alias("attr"))  # ~20 MB
+    plan = lookup(items, wide, "order_id", hot_rows=500)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "__salt" in plan          # too many bytes for the 10 MB threshold: salted, not broadcast
+    narrow = wide.select("order_id", F.lit("x").alias("attr"))
+    plan = lookup(items, narrow, "order_id", hot_rows=500)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "__salt" not in plan and "BroadcastHashJoin" in plan
