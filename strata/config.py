@@ -27,8 +27,29 @@ NAMESPACES = ["bronze", "silver", "gold", "platinum", "meta"]
 # Geolocation bounding box kept by Silver: latitude -35..6, longitude -75..-34 (inclusive).
 # Silver purchase-time window checked by the quality gate: 2016-01-01 .. 2019-12-31 (midnight).
 # Calendar dimension default span: 2016-01-01 .. 2019-12-31.
+# Audit columns added on ingest: _ingested_at (load time), _source_file (source file name).
+# English category name of a product without a translation: unknown.
+# Quality results: table meta.dq_results with fields table_name, layer, check_name, passed,
+#   value, threshold, run_timestamp.
+# Quality check names: row_count_gt_{n}, {column}_not_null, unique_{columns joined by _},
+#   {column}_between_{low}_{high}, {column}_positive, fk_{child_key}_in_{parent_key},
+#   purchase_ts_in_range (Silver purchase window), rowcount_matches_silver_orders (Gold).
 # ---------------------------------------------------------------------------------
 
+AUDIT_TIME, AUDIT_FILE = "_ingested_at", "_source_file"
+UNKNOWN_CATEGORY = "unknown"
+DQ_RESULTS_TABLE = "dq_results"
+CHECK_NAMES = {
+    "row_count_gt": "row_count_gt_{n}",
+    "not_null": "{column}_not_null",
+    "unique": "unique_{columns}",
+    "between": "{column}_between_{low}_{high}",
+    "positive": "{column}_positive",
+    "no_orphans": "fk_{child_key}_in_{parent_key}",
+    "purchase_window": "purchase_ts_in_range",
+    "silver_order_count": "rowcount_matches_silver_orders",
+}
+
 GEO_BOX = {"lat": (-35.0, 6.0), "lng": (-75.0, -34.0)}
 PURCHASE_WINDOW = ("2016-01-01 00:00:00", "2019-12-31 00:00:00")
 CALENDAR_SPAN = ("2016-01-01", "2019-12-31")

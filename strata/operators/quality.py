@@ -18,6 +18,7 @@ report, appends it with a run timestamp to a results table, and raises
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -26,8 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DoubleType, StringType, StructField, StructType,
                                TimestampType)
 
+from strata.config import CHECK_NAMES, DQ_RESULTS_TABLE
 from strata.operators.joins import count_orphans
 
+_log = logging.getLogger(__name__)
+
 RESULT_SCHEMA = StructType([
     StructField("table_name", StringType(), False),
     StructField("layer", StringType(), False),
@@ -66,7 +70,7 @@ class UniqueCheck:
 
     @property
     def name(self) -> str:
-        return f"unique_{'_'.join(self.columns)}"
+        return CHECK_NAMES["unique"].format(columns="_".join(self.columns))
 
 
 @dataclass(frozen=True)
@@ -77,7 +81,8 @@ class OrphanCheck:
 
     @property
     def name(self) -> str:
-        return f"fk_{self.child_key}_in_{self.parent_key}"
+        return CHECK_NAMES["no_orphans"].format(child_key=self.child_key,
+                                                parent_key=self.parent_key)
 
 
 @dataclass(frozen=True)
@@ -92,11 +97,11 @@ Check = RowCheck | UniqueCheck | OrphanCheck | CountMatchCheck
 # ---- expectations ------------------------------------------------------------------
 
 def row_count_gt(n: int = 0) -> RowCheck:
-    return RowCheck(f"row_count_gt_{n}", None, float(n), "gt")
+    return RowCheck(CHECK_NAMES["row_count_gt"].format(n=n), None, float(n), "gt")
 
 
 def not_null(column: str) -> RowCheck:
-    return RowCheck(f"{column}_not_null", F.col(column).isNull())
+    return RowCheck(CHECK_NAMES["not_null"].format(column=column), F.col(column).isNull())
 
 
 def unique(*columns: str) -> UniqueCheck:
@@ -107,12 +112,13 @@ def unique(*columns: str) -> UniqueCheck:
 def between(column: str, low, high) -> RowCheck:
     """Inclusive range; NULL passes."""
     c = F.col(column)
-    return RowCheck(f"{column}_between_{low}_{high}", (c < F.lit(low)) | (c > F.lit(high)))
+    return RowCheck(CHECK_NAMES["between"].format(column=column, low=low, high=high),
+                    (c < F.lit(low)) | (c > F.lit(high)))
 
 
 def positive(column: str) -> RowCheck:
     """``<= 0`` fails; NULL passes."""
-    return RowCheck(f"{column}_positive", F.col(column) <= F.lit(0))
+    return RowCheck(CHECK_NAMES["positive"].format(column=column), F.col(column) <= F.lit(0))
 
 
 def non_negative(column: str) -> RowCheck:
@@ -215,15 +221,17 @@ def combine(results: Iterable[DataFrame]) -> DataFrame:
 
 
 def _report(layer: str, rows: list) -> None:
-    print(f"\n===== Data Quality report [{layer}] =====")
-    for r in rows:
-        status = "PASS" if r["passed"] else "FAIL"
-        print(f"  [{status}] {r['table_name']}.{r['check_name']} "
-              f"(value={r['value']}, threshold={r['threshold']})")
+    """Failed checks first, then per table; one aligned line per check."""
+    failed = sum(not r["passed"] for r in rows)
+    print(f"quality gate {layer}: {len(rows)} checks, {failed} failed")
+    width = max((len(f"{r['table_name']} {r['check_name']}") for r in rows), default=0)
+    for r in sorted(rows, key=lambda r: (r["passed"], r["table_name"])):
+        label = f"{r['table_name']} {r['check_name']}".ljust(width)
+        print(f"  {'ok  ' if r['passed'] else 'FAIL'} {label}  {r['value']:g} vs {r['threshold']:g}")
 
 
 def gate(spark: SparkSession, layer: str, results: DataFrame,
-         persist_to: str | None = "meta.dq_results") -> list[dict]:
+         persist_to: str | None = f"meta.{DQ_RESULTS_TABLE}") -> list[dict]:
     """Evaluate, report, persist (append, table created if missing), then raise
     ``DQError`` listing the failed checks. A persist error is only warned about."""
     rows = [r.asDict() for r in results.collect()]
@@ -234,11 +242,9 @@ def gate(spark: SparkSession, layer: str, results: DataFrame,
             frame = spark.createDataFrame([{**r, "run_timestamp": stamp} for r in rows],
                                           PERSISTED_SCHEMA)
             frame.write.mode("append").saveAsTable(persist_to)
-        except Exception as exc:  # the gate decision must not depend on logging
-            print(f"  (warning) could not persist quality results: {exc}")
-    failed = [r for r in rows if not r["passed"]]
+        except Exception as exc:  # noqa: BLE001 - the gate decision must not depend on it
+            _log.warning("quality results of %s not stored in %s: %s", layer, persist_to, exc)
+    failed = [f"{r['table_name']}.{r['check_name']}" for r in rows if not r["passed"]]
     if failed:
-        names = ", ".join(f"{r['table_name']}.{r['check_name']}" for r in failed)
-        raise DQError(f"{len(failed)} data-quality check(s) FAILED at {layer}: {names}")
-    print(f"===== All {len(rows)} checks passed at [{layer}] =====\n")
+        raise DQError(f"quality gate {layer} stopped the run; failed: {', '.join(failed)}")
     return rows

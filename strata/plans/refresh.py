@@ -18,7 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.config import CALENDAR_SPAN, SOURCES
+from strata.config import CALENDAR_SPAN, DQ_RESULTS_TABLE, SOURCES
 from strata.operators.quality import DQError, gate
 from strata.plans import dims, facts, marts, silver
 from strata.plans.bronze import bronze
@@ -59,7 +59,7 @@ def refresh_all(spark: SparkSession, raw: Mapping[str, DataFrame] | None,
         raise ValueError("raw sources are needed to start at bronze")
     ns = _names(namespace_prefix)
     ensure_namespaces(spark, ns.values())
-    results_table = f"{ns['meta']}.dq_results"
+    results_table = f"{ns['meta']}.{DQ_RESULTS_TABLE}"
     counts: dict[str, int] = {}
 
     def write(df: DataFrame, layer: str, name: str, partition_by=None) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.config import GEO_BOX
+from strata.config import GEO_BOX, UNKNOWN_CATEGORY
 from strata.functions.columns import day_diff, money_sum
 from strata.operators.cleaning import (cast_columns, clean_strings, require_keys, upper_columns,
                                        within_box)
@@ -45,11 +45,11 @@ def customers(bronze: DataFrame) -> DataFrame:
 
 
 def products(bronze: DataFrame, translation: DataFrame) -> DataFrame:
-    """Products with their English category name (``unknown`` when missing)."""
+    """Products with their English category name (``UNKNOWN_CATEGORY`` when missing)."""
     names = clean_strings(translation).select("product_category_name",
                                               "product_category_name_english")
     df = lookup(clean_strings(bronze), names, "product_category_name",
-                {"product_category_name_english": "unknown"})
+                {"product_category_name_english": UNKNOWN_CATEGORY})
     return dedupe(df, ["product_id"])
 
 

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from strata.config import PRIMARY_KEYS, PURCHASE_WINDOW
+from strata.config import CHECK_NAMES, PRIMARY_KEYS, PURCHASE_WINDOW
 from strata.operators import quality as dq
 
 
@@ -29,7 +29,7 @@ def silver_suite(orders: DataFrame, items: DataFrame, reviews: DataFrame,
         dq.run_checks(orders, [dq.not_null("order_id"), dq.unique("order_id"),
                                dq.timestamp_in_range("order_purchase_timestamp",
                                                      *purchase_window,
-                                                     name="purchase_ts_in_range")],
+                                                     name=CHECK_NAMES["purchase_window"])],
                       f"{prefix}orders", "silver"),
         dq.run_checks(items, [dq.unique("order_id", "order_item_id"), dq.positive("price")],
                       f"{prefix}order_items", "silver"),
@@ -49,7 +49,7 @@ def gold_suite(fact_orders: DataFrame, fact_items: DataFrame, dim_customer: Data
                       f"{prefix}fact_order_items", "gold"),
         dq.run_checks(fact_orders, [dq.no_orphans("customer_id", dim_customer, "customer_id"),
                                     dq.row_count_matches(silver_orders,
-                                                         "rowcount_matches_silver_orders")],
+                                                         CHECK_NAMES["silver_order_count"])],
                       f"{prefix}fact_orders", "gold"),
         dq.run_checks(dim_customer, [dq.not_null("customer_id")], f"{prefix}dim_customer", "gold"),
         dq.run_checks(dim_product, [dq.not_null("product_id")], f"{prefix}dim_product", "gold"),
@@ -75,7 +75,7 @@ def acceptance_suite(silver_orders: DataFrame, silver_items: DataFrame,
                       f"{gold_prefix}fact_order_items", "tests"),
         dq.run_checks(fact_orders, [dq.non_negative("total_revenue"),
                                     dq.row_count_matches(silver_orders,
-                                                         "rowcount_matches_silver_orders")],
+                                                         CHECK_NAMES["silver_order_count"])],
                       f"{gold_prefix}fact_orders", "tests"),
         dq.run_checks(dim_customer, [dq.not_null("customer_id")],
                       f"{gold_prefix}dim_customer", "tests"),

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from strata.config import AUDIT_FILE, AUDIT_TIME
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, asked of its own file system (local, HDFS, S3, ...),
@@ -47,13 +49,12 @@ def with_audit(df: DataFrame, source_name: str, day_column: bool = False) -> Dat
     ``day_column`` also adds ``_ingest_date`` (the date of ``_ingested_at``) to
     partition the write by ingest day.
     """
-    out = df.withColumns({"_ingested_at": F.current_timestamp(),
-                          "_source_file": F.lit(source_name)})
+    out = df.withColumns({AUDIT_TIME: F.current_timestamp(), AUDIT_FILE: F.lit(source_name)})
     if day_column:
-        out = out.withColumn("_ingest_date", F.to_date("_ingested_at"))
+        out = out.withColumn("_ingest_date", F.to_date(AUDIT_TIME))
     return out
 
 
 def source_file_column(df: DataFrame) -> DataFrame:
     """``_source_file`` taken from the file each row was read from."""
-    return df.withColumn("_source_file", F.col("_metadata.file_name"))
+    return df.withColumn(AUDIT_FILE, F.col("_metadata.file_name"))

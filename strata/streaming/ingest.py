@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from strata.config import SourceSpec
+from strata.config import AUDIT_FILE, AUDIT_TIME, SourceSpec
 from strata.sources import fs
 
 
@@ -35,11 +35,11 @@ def ingest_available(spark: SparkSession, spec: SourceSpec, directory: str, outp
               .option("header", True).option("multiLine", True).option("escape", '"')
               .option("maxFilesPerTrigger", max_files_per_batch)
               .csv(directory))
-    df = stream.withColumns({"_ingested_at": F.current_timestamp(),
-                             "_source_file": F.col("_metadata.file_name")})
+    df = stream.withColumns({AUDIT_TIME: F.current_timestamp(),
+                             AUDIT_FILE: F.col("_metadata.file_name")})
     by_day = spec.partitioned if partition_by_day is None else partition_by_day
     if by_day:
-        df = df.withColumn("_ingest_date", F.to_date("_ingested_at"))
+        df = df.withColumn("_ingest_date", F.to_date(AUDIT_TIME))
     writer = (df.writeStream.format("parquet").option("path", output_path)
               .option("checkpointLocation", checkpoint).trigger(availableNow=True))
     if by_day:
