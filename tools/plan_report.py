@@ -46,6 +46,31 @@ def summarise(df) -> dict[str, int]:
     return {k: len(re.findall(p, text)) for k, p in COUNTS.items() if k != "codegen stages"}
 
 
+def _top_level_fields(struct: str) -> int:
+    depth, n = 0, 1
+    for ch in struct:
+        depth += ch == "<"
+        depth -= ch == ">"
+        n += ch == "," and depth == 0
+    return n
+
+
+def pruned_scans(spark, text: str) -> str:
+    """``pruned/all`` parquet scans: a scan is pruned when it reads fewer columns
+    than its files hold."""
+    scans = re.findall(r"Location: InMemoryFileIndex\(\d+ paths\)\[([^\],]+)[^\n]*?"
+                       r"ReadSchema: struct<(.*?)>(?:,|$)", text, re.M)
+    scans += [(loc, schema) for loc, schema in re.findall(
+        r"Location: InMemoryFileIndex \[([^\],]+)\][^\n]*\n(?:.*\n)*?ReadSchema: struct<(.*)>", text)]
+    pruned = total = 0
+    for loc, schema in scans:
+        if not loc.endswith(".parquet"):
+            continue
+        total += 1
+        pruned += _top_level_fields(schema) < len(spark.read.parquet(loc).columns)
+    return f"{pruned}/{total}"
+
+
 def codegen_stages(spark, build) -> int:
     """Whole-stage codegen spans, from the same query planned without AQE (an
     adaptive plan gets its codegen stages only when each stage runs)."""
@@ -66,17 +91,19 @@ def main() -> None:
     scratch = tempfile.mkdtemp(prefix="strata-plans-")
     spark = build_session("strata-plans", "local[8]", 16, {
         "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
-        "spark.checkpoint.dir": os.path.join(scratch, "checkpoints")})
+        "spark.checkpoint.dir": os.path.join(scratch, "checkpoints"),
+        "spark.sql.maxMetadataStringLength": "10000"})   # whole ReadSchema in plan text
     print(f"# Physical plans of the registered queries ({os.path.basename(sf_dir.rstrip('/'))})\n")
     print("Generated by `tools/plan_report.py`; counts are taken from the plan Spark chose "
           "before running (AQE may still coalesce partitions, split skewed ones, or turn a "
           "sort-merge join into a broadcast once sizes are measured).\n")
-    cols = list(COUNTS)
+    cols = list(COUNTS) + ["pruned source scans"]
     print("| query | " + " | ".join(cols) + " |")
     print("|" + " --- |" * (len(cols) + 1))
     for name, q in queries().items():
         s = summarise(q(spark, sf_dir))
         s["codegen stages"] = codegen_stages(spark, lambda: q(spark, sf_dir))
+        s["pruned source scans"] = pruned_scans(spark, plan_text(q(spark, sf_dir)))
         print(f"| {name} | " + " | ".join(str(s[c]) for c in cols) + " |")
 
 
