@@ -22,7 +22,7 @@ def test_query_matches_oracle(spark, sf_small, name):
     from compare_oracle import compare
     rep = compare(spark, sf_small, [name])[name]
     assert "error" not in rep, rep
-    assert rep["columns"] and rep["values"], rep
+    assert rep["columns"] and rep["types"] and rep["values"], rep
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
