@@ -12,6 +12,20 @@ from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, Struct
 from strata.operators.dedupe import dedupe
 
 
+# Session settings that override the defaults below (e.g. set per cluster)
+HOT_ROWS, MAX_HOT_KEYS, LOOKUP_ROWS = ("strata.skew.hotRows", "strata.skew.maxHotKeys",
+                                       "strata.lookup.broadcastRows")
+_DEFAULTS = {HOT_ROWS: 1_000_000, MAX_HOT_KEYS: 10_000, LOOKUP_ROWS: 100_000}
+
+
+def _setting(df: DataFrame, key: str, given: int | None) -> int:
+    """``given`` if set, else the session setting ``key``, else its default."""
+    if given is not None:
+        return given
+    value = df.sparkSession.conf.get(key, None)
+    return int(value) if value else _DEFAULTS[key]
+
+
 def _hot_keys(counts: DataFrame, keys: list[str], count: str, hot_rows: int,
               max_hot_keys: int) -> DataFrame:
     """Keys (a NULL key included) with more than ``hot_rows`` rows and their salt
@@ -81,7 +95,7 @@ def _broadcast_bytes(spark) -> int:
 
 
 def join_keyed(detail: DataFrame, keyed: DataFrame, on: str | Sequence[str], how: str = "left",
-               hot_rows: int = 1_000_000, max_hot_keys: int = 10_000,
+               hot_rows: int | None = None, max_hot_keys: int | None = None,
                broadcast_rows: int = 0) -> DataFrame:
     """Join many ``detail`` rows to at most one ``keyed`` row per key (``left`` or
     ``inner``), with keys holding more than ``hot_rows`` detail rows split over
@@ -104,12 +118,13 @@ def join_keyed(detail: DataFrame, keyed: DataFrame, on: str | Sequence[str], how
     if broadcast_rows > 0 and _fits(keyed, broadcast_rows, _broadcast_bytes(keyed.sparkSession)):
         return detail.join(F.broadcast(keyed), keys, how)
     counts = detail.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return _salted_join(detail, keyed, keys, _hot_keys(counts, keys, "__n", hot_rows,
-                                                       max_hot_keys), how)
+    hot = _hot_keys(counts, keys, "__n", _setting(detail, HOT_ROWS, hot_rows),
+                    _setting(detail, MAX_HOT_KEYS, max_hot_keys))
+    return _salted_join(detail, keyed, keys, hot, how)
 
 
 def lookup(df: DataFrame, table: DataFrame, on: str | Sequence[str],
-           defaults: Mapping[str, object] | None = None, broadcast_rows: int = 100_000,
+           defaults: Mapping[str, object] | None = None, broadcast_rows: int | None = None,
            **skew_options) -> DataFrame:
     """Left lookup enrichment; a miss takes ``defaults[column]``.
 
@@ -120,16 +135,16 @@ def lookup(df: DataFrame, table: DataFrame, on: str | Sequence[str],
     joined with hot detail keys salted (``join_keyed``).
     """
     keys = [on] if isinstance(on, str) else list(on)
-    out = join_keyed(df, dedupe(table, keys), keys, "left", broadcast_rows=broadcast_rows,
-                     **skew_options)
+    out = join_keyed(df, dedupe(table, keys), keys, "left",
+                     broadcast_rows=_setting(df, LOOKUP_ROWS, broadcast_rows), **skew_options)
     for c, v in (defaults or {}).items():
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v)))
     return out
 
 
 def attach_group_total(detail: DataFrame, source: DataFrame, key: str, total: Column,
-                       name: str, hot_rows: int = 1_000_000,
-                       max_hot_keys: int = 10_000) -> DataFrame:
+                       name: str, hot_rows: int | None = None,
+                       max_hot_keys: int | None = None) -> DataFrame:
     """Attach to every ``detail`` row the aggregate ``total`` of its key over
     ``source`` (a left join: a NULL or unmatched key gets NULL).
 
@@ -140,7 +155,8 @@ def attach_group_total(detail: DataFrame, source: DataFrame, key: str, total: Co
     rows), so no extra pass over the data is needed.
     """
     totals = source.groupBy(key).agg(total.alias(name), F.count(F.lit(1)).alias("__n"))
-    hot = _hot_keys(totals, [key], "__n", hot_rows, max_hot_keys)
+    hot = _hot_keys(totals, [key], "__n", _setting(detail, HOT_ROWS, hot_rows),
+                    _setting(detail, MAX_HOT_KEYS, max_hot_keys))
     return _salted_join(detail, totals.drop("__n"), [key], hot, "left")
 
 

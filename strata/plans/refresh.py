@@ -13,6 +13,7 @@ layer do not depend on each other, so their write jobs are submitted together
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
@@ -32,6 +33,7 @@ def _names(prefix: str) -> dict[str, str]:
 
 
 LAYERS = ["bronze", "silver", "gold", "platinum"]
+_log = logging.getLogger(__name__)
 
 
 def refresh_all(spark: SparkSession, raw: Mapping[str, DataFrame] | None,
@@ -65,6 +67,7 @@ def refresh_all(spark: SparkSession, raw: Mapping[str, DataFrame] | None,
     def write(df: DataFrame, layer: str, name: str, partition_by=None) -> DataFrame:
         full = f"{ns[layer]}.{name}"
         counts[f"{layer}.{name}"] = replace_table(df, full, partition_by)
+        _log.info("wrote %s: %d rows", full, counts[f"{layer}.{name}"])
         return spark.table(full)
 
     def write_all(layer: str, jobs: Mapping[str, Callable[[], DataFrame]],

@@ -231,3 +231,27 @@ def test_lookup_broadcast_needs_rows_and_bytes_within_bounds(spark):
     plan = lookup(items, narrow, "order_id", hot_rows=500)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "__salt" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_skew_thresholds_from_session_settings(spark):
+    from strata.operators import add_group_total
+
+    items = skewed(spark)                      # order 0 holds 10,000 of 30,000 rows
+    confs = {"strata.skew.hotRows": "1000",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false",
+             "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        got = add_group_total(items, "order_id", F.count(F.lit(1)), "n")
+        assert {r.order_id: r.n for r in got.collect()}[0] == 10000
+        per_task = (got.where("order_id = 0").select(F.spark_partition_id().alias("p"))
+                    .groupBy("p").count().collect())
+        assert len(per_task) > 1 and max(r["count"] for r in per_task) < 5000
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
