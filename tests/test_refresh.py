@@ -41,8 +41,11 @@ def test_refresh_twice_same_marts(spark, sf_small):
     # the table tests ran after the marts, on the written tables
     tests = spark.table("t2_meta.dq_results").where("layer = 'tests'")
     assert tests.where("check_name = 'total_revenue_non_negative'").count() == 2
-    assert {r.namespace for r in spark.sql("SHOW SCHEMAS").collect()} >= {
+    from strata.sources.tables import list_namespaces, list_tables
+    assert {r.namespace for r in list_namespaces(spark).collect()} >= {
         "t2_bronze", "t2_silver", "t2_gold", "t2_platinum", "t2_meta"}
+    assert {r.tableName for r in list_tables(spark, "t2_platinum").collect()} == set(MARTS)
+    assert spark.sql("SELECT count(*) FROM t2_gold.fact_orders").first()[0] == c1["gold.fact_orders"]
 
 
 def test_resume_from_gold_reads_written_layers(spark, sf_small):
