@@ -227,7 +227,8 @@ def _report(layer: str, rows: list) -> None:
     width = max((len(f"{r['table_name']} {r['check_name']}") for r in rows), default=0)
     for r in sorted(rows, key=lambda r: (r["passed"], r["table_name"])):
         label = f"{r['table_name']} {r['check_name']}".ljust(width)
-        print(f"  {'ok  ' if r['passed'] else 'FAIL'} {label}  {r['value']:g} vs {r['threshold']:g}")
+        status = "ok  " if r["passed"] else "FAIL"
+        print(f"  {status} {label}  {r['value']:g} vs {r['threshold']:g}")
 
 
 def gate(spark: SparkSession, layer: str, results: DataFrame,

@@ -139,5 +139,5 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str],
     ``partitions`` AQE sizes the ranges from the data.
     """
     keys = list(by) + list(spread_by or [])
-    (df.repartitionByRange(*([partitions] if partitions else []), *keys).write.mode("overwrite").format(fmt)
-       .partitionBy(*by).save(path))
+    ranged = df.repartitionByRange(*([partitions] if partitions else []), *keys)
+    ranged.write.mode("overwrite").format(fmt).partitionBy(*by).save(path)
