@@ -27,3 +27,27 @@ def test_salted_joins_equal_plain_joins(spark, detail, keyed_keys, hot_rows, max
     got = add_group_total(d, "k", F.sum("v"), "t", hot_rows=hot_rows, max_hot_keys=max_hot)
     plain = d.join(d.groupBy("k").agg(F.sum("v").alias("t")), "k", "left")
     assert _sorted(got) == _sorted(plain)
+
+
+def _nulls_first(v):
+    return (v is not None, v if v is not None else 0)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(data=st.lists(st.tuples(keys, st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 3)),
+                     min_size=1, max_size=40),
+       parents=st.sets(st.integers(0, 8), max_size=5))
+def test_dedupe_and_orphans_equal_brute_force(spark, data, parents):
+    from strata.operators import count_orphans, dedupe
+
+    df = spark.createDataFrame(data, "k int, a int, b int")
+    survivors = {}
+    for k, a, b in data:          # first row per key, other columns ascending, NULLs first
+        cand = (_nulls_first(a), _nulls_first(b), a, b)
+        if k not in survivors or cand < survivors[k]:
+            survivors[k] = cand
+    assert _sorted(dedupe(df, ["k"])) == sorted(((k, c[2], c[3]) for k, c in survivors.items()),
+                                                key=repr)
+    p = spark.createDataFrame([(x,) for x in sorted(parents)] or [(None,)], "k int")
+    expected = sum(1 for k, _, _ in data if k is None or k not in parents)
+    assert count_orphans(df, "k", p, "k").first().orphans == expected
