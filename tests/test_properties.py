@@ -51,3 +51,21 @@ def test_dedupe_and_orphans_equal_brute_force(spark, data, parents):
     p = spark.createDataFrame([(x,) for x in sorted(parents)] or [(None,)], "k int")
     expected = sum(1 for k, _, _ in data if k is None or k not in parents)
     assert count_orphans(df, "k", p, "k").first().orphans == expected
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(data=st.lists(st.tuples(keys, st.one_of(st.none(), st.integers(-3, 8))),
+                     min_size=0, max_size=40))
+def test_fused_checks_equal_brute_force(spark, data):
+    from strata.operators import quality as dq
+
+    df = spark.createDataFrame(data, "k int, v int")
+    res = {r.check_name: r.value for r in dq.run_checks(df, [
+        dq.row_count_gt(0), dq.not_null("v"), dq.between("v", 1, 5), dq.positive("v"),
+        dq.unique("k")], "t", "l").collect()}
+    vs = [v for _, v in data]
+    assert res["row_count_gt_0"] == len(data)
+    assert res["v_not_null"] == sum(v is None for v in vs)
+    assert res["v_between_1_5"] == sum(v is not None and (v < 1 or v > 5) for v in vs)
+    assert res["v_positive"] == sum(v is not None and v <= 0 for v in vs)
+    assert res["unique_k"] == len(data) - len({k for k, _ in data})
