@@ -16,6 +16,7 @@ from strata.operators.dedupe import dedupe
 HOT_ROWS, MAX_HOT_KEYS, LOOKUP_ROWS = ("strata.skew.hotRows", "strata.skew.maxHotKeys",
                                        "strata.lookup.broadcastRows")
 _DEFAULTS = {HOT_ROWS: 1_000_000, MAX_HOT_KEYS: 10_000, LOOKUP_ROWS: 100_000}
+MAX_SALTS = 100_000
 
 
 def _setting(df: DataFrame, key: str, given: int | None) -> int:
@@ -29,12 +30,14 @@ def _setting(df: DataFrame, key: str, given: int | None) -> int:
 def _hot_keys(counts: DataFrame, keys: list[str], count: str, hot_rows: int,
               max_hot_keys: int) -> DataFrame:
     """Keys (a NULL key included) with more than ``hot_rows`` rows and their salt
-    count ceil(rows / hot_rows): the ``max_hot_keys`` largest at most, so
-    broadcasting it is safe."""
+    count ceil(rows / hot_rows), at most ``MAX_SALTS`` (more salts than shuffle
+    partitions spread nothing further; every row still joins): the ``max_hot_keys``
+    largest at most, so broadcasting it is safe."""
     return F.broadcast(
         counts.where(F.col(count) > F.lit(hot_rows))
               .orderBy(F.desc(count), *[F.asc(k) for k in keys]).limit(max_hot_keys)
-              .select(*keys, F.ceil(F.col(count) / F.lit(hot_rows)).cast("int").alias("__parts")))
+              .select(*keys, F.least(F.ceil(F.col(count) / F.lit(hot_rows)), F.lit(MAX_SALTS))
+                      .cast("int").alias("__parts")))
 
 
 def _salted_join(detail: DataFrame, keyed: DataFrame, keys: list[str], hot: DataFrame,
