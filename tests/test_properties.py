@@ -69,3 +69,16 @@ def test_fused_checks_equal_brute_force(spark, data):
     assert res["v_between_1_5"] == sum(v is not None and (v < 1 or v > 5) for v in vs)
     assert res["v_positive"] == sum(v is not None and v <= 0 for v in vs)
     assert res["unique_k"] == len(data) - len({k for k, _ in data})
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(values=st.lists(st.one_of(st.none(), st.text(alphabet="abcdef", max_size=3)),
+                       min_size=0, max_size=50),
+       parts=st.integers(1, 6))
+def test_dense_surrogate_key_numbers_sorted_distinct_values(spark, values, parts):
+    from strata.operators import dense_surrogate_key
+
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = sorted((r.v, r.id) for r in dense_surrogate_key(df, "v", "id", partitions=parts).collect())
+    expected = [(v, i + 1) for i, v in enumerate(sorted({v for v in values if v is not None}))]
+    assert got == expected
