@@ -1,4 +1,8 @@
-"""Property tests: salted joins equal plain joins on random keys (hot, NULL, missing)."""
+"""Property tests on random inputs: salted joins equal plain joins (hot, NULL and
+missing keys), de-duplication, orphan counts, fused checks, surrogate keys and date
+keys equal brute force."""
+
+import datetime as dt
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -82,3 +86,17 @@ def test_dense_surrogate_key_numbers_sorted_distinct_values(spark, values, parts
     got = sorted((r.v, r.id) for r in dense_surrogate_key(df, "v", "id", partitions=parts).collect())
     expected = [(v, i + 1) for i, v in enumerate(sorted({v for v in values if v is not None}))]
     assert got == expected
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(stamps=st.lists(st.one_of(st.none(), st.datetimes(min_value=dt.datetime(1900, 1, 1),
+                                                        max_value=dt.datetime(2100, 12, 31))),
+                       min_size=1, max_size=30))
+def test_date_key_equals_formatted_date(spark, stamps):
+    from strata.functions.columns import date_key
+
+    df = spark.createDataFrame([(s,) for s in stamps], "ts timestamp_ntz")
+    rows = df.select(date_key("ts").alias("k"),
+                     F.date_format("ts", "yyyyMMdd").cast("int").alias("text_key"),
+                     date_key(F.to_date("ts")).alias("day_k")).collect()
+    assert all(r.k == r.text_key == r.day_k for r in rows)
