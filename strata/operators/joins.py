@@ -92,9 +92,18 @@ def _fits(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
     return rows <= max_rows and size <= max_bytes
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
 def _broadcast_bytes(spark) -> int:
     """The session's broadcast threshold in bytes (-1: broadcasting disabled)."""
-    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    try:
+        return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    except AttributeError:  # no JVM session object (e.g. a remote session): parse the text
+        text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m").strip().lower()
+        number = text.rstrip("kmgtb")
+        return int(number) * _UNITS[text[len(number):]] if number != "-1" else -1
 
 
 def join_keyed(detail: DataFrame, keyed: DataFrame, on: str | Sequence[str], how: str = "left",

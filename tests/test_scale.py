@@ -255,3 +255,21 @@ def test_skew_thresholds_from_session_settings(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_broadcast_threshold_text_forms():
+    from strata.operators.joins import _broadcast_bytes
+
+    class Conf:
+        def __init__(self, v):
+            self.v = v
+
+        def get(self, key, default=None):
+            return self.v
+
+    class Remote:                        # a session without a JVM object
+        def __init__(self, v):
+            self.conf = Conf(v)
+
+    for text, want in [("10485760b", 10 << 20), ("20MB", 20 << 20), ("-1", -1), ("1g", 1 << 30)]:
+        assert _broadcast_bytes(Remote(text)) == want
