@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.llm.common import read_table
 
@@ -14,6 +15,25 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.sharding import external_shuffle
+    placed = external_shuffle(read_table(spark, sf_dir, "documents"), shards=16)
+    return placed.select(
+        "doc_id", "size",
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        "law", "shard", "slot", "grown_shard")
+
+
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.decontamination import find_contamination
+    found = find_contamination(read_table(spark, sf_dir, "documents"),
+                               read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated")
+
+
 def op8_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.piece_bpe import encode_decode
     return encode_decode(read_table(spark, sf_dir, "documents"),
@@ -22,9 +42,44 @@ def op8_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op7_sharding": op7_sharding,
         "op8_piece_bpe": op8_piece_bpe,
+        "op9_winnowing": op9_winnowing,
     }
 
 
+OP9_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (
+  SELECT item_id, least(10, len(w)) AS n, unnest(range(0, len(w) - least(10, len(w)) + 1)) AS p, w
+  FROM i WHERE len(w) > 0),
+items AS (SELECT DISTINCT item_id, n, array_to_string(w[p + 1 : p + n], ' ') AS t FROM iw),
+dw AS (
+  SELECT doc_id, n, w, unnest(range(0, len(w) - n + 1)) AS p
+  FROM d, (SELECT DISTINCT n FROM items) WHERE len(w) >= n),
+hits AS (
+  SELECT doc_id, item_id, p, dw.n AS n FROM dw JOIN items
+  ON dw.n = items.n AND array_to_string(dw.w[p + 1 : p + dw.n], ' ') = items.t),
+covered AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit
+  FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM (SELECT DISTINCT doc_id, p, n FROM hits))
+  GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_winnowing": OP9_SQL}
