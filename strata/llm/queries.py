@@ -15,6 +15,22 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.pii import find_personal_data, span_text
+    found = find_personal_data(read_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "other")
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter("spans", _of_kind(k))).cast("bigint").alias(f"n_{k}")
+          for k in ("email", "ip", "card", "phone")],
+        F.sha2(span_text(base).cast("binary"), 256).alias("base_sha256"),
+        span_text(F.col("spans")).alias("spans"))
+
+
+def _of_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.sharding import external_shuffle
     placed = external_shuffle(read_table(spark, sf_dir, "documents"), shards=16)
@@ -42,6 +58,7 @@ def op8_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_bootstrapped_pii": op3_bootstrapped_pii,
         "op7_sharding": op7_sharding,
         "op8_piece_bpe": op8_piece_bpe,
         "op9_winnowing": op9_winnowing,
