@@ -152,3 +152,55 @@ def spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rows = np.repeat(np.arange(len(counts)), counts)
     ends = np.cumsum(counts)
     return rows, np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - counts, counts)
+
+
+# --- n-grams over symbols -----------------------------------------------------------------
+
+def earlier(symbols: np.ndarray, offsets: np.ndarray, k: int, pad: int) -> np.ndarray:
+    """The symbol k places before each, within its row; ``pad`` before a row's start."""
+    out = np.empty_like(symbols)
+    if k >= len(symbols):
+        out[:] = pad
+        return out
+    out[:k] = pad
+    out[k:] = symbols[:-k]
+    starts, stops = offsets[:-1], offsets[1:]
+    for j in range(k):
+        at = starts + j
+        out[at[at < stops]] = pad
+    return out
+
+
+def ngram_codes(symbols: np.ndarray, offsets: np.ndarray, order: int, base: int,
+                pad: int) -> np.ndarray:
+    """The n-gram that ends at each symbol, as a number in ``base`` (oldest symbol first)."""
+    symbols = symbols.astype(np.int32)
+    out = symbols.copy()
+    for k in range(1, order):
+        out += earlier(symbols, offsets, k, pad) * np.int32(base ** k)
+    return out
+
+
+def row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sum of the values of each row (0 for an empty row); values may have columns."""
+    out = np.zeros((len(offsets) - 1, *values.shape[1:]), np.float64)
+    full = np.flatnonzero(offsets[1:] > offsets[:-1])
+    if len(full):
+        out[full] = np.add.reduceat(values, offsets[:-1][full], axis=0, dtype=np.float64)
+    return out
+
+
+def summed_cells(counted: DataFrame, cells: int) -> np.ndarray:
+    """The table (cell, n), summed over the tasks that counted it, as one dense array. At most
+    ``cells`` rows reach the driver."""
+    out = np.zeros(cells, np.int64)
+    table = counted.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out[table["cell"].to_numpy()] = table["n"].to_numpy()
+    return out
+
+
+def cell_batch(counts: np.ndarray) -> pa.RecordBatch:
+    """The non-zero cells of a task's counts as rows (cell, n)."""
+    at = np.flatnonzero(counts)
+    return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()),
+                                       pa.array(counts[at].astype(np.int64))], ["cell", "n"])

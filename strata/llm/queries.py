@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import read_table
+from strata.llm.common import read_table, training_rows
 
 
 def tokenizer_path(name: str) -> str:
@@ -31,6 +31,14 @@ def _of_kind(kind: str):
     return lambda span: span["kind"] == kind
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.language_id import fit, predict
+    docs = read_table(spark, sf_dir, "documents")
+    found = predict(docs, fit(docs))
+    return found.select("doc_id", (~training_rows("doc_id", 3, 1)).alias("held_out"),
+                        "lang_pred", "score")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.sharding import external_shuffle
     placed = external_shuffle(read_table(spark, sf_dir, "documents"), shards=16)
@@ -59,6 +67,7 @@ def op8_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_bootstrapped_pii": op3_bootstrapped_pii,
+        "op6_language_id": op6_language_id,
         "op7_sharding": op7_sharding,
         "op8_piece_bpe": op8_piece_bpe,
         "op9_winnowing": op9_winnowing,
