@@ -31,6 +31,11 @@ def _of_kind(kind: str):
     return lambda span: span["kind"] == kind
 
 
+def op5_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.ngram_quality import quality
+    return quality(read_table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.language_id import fit, predict
     docs = read_table(spark, sf_dir, "documents")
@@ -67,6 +72,7 @@ def op8_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_bootstrapped_pii": op3_bootstrapped_pii,
+        "op5_ngram_quality": op5_ngram_quality,
         "op6_language_id": op6_language_id,
         "op7_sharding": op7_sharding,
         "op8_piece_bpe": op8_piece_bpe,
