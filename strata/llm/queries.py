@@ -31,6 +31,14 @@ def _of_kind(kind: str):
     return lambda span: span["kind"] == kind
 
 
+def op4_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.toxicity import fit, score
+    docs = read_table(spark, sf_dir, "documents")
+    scored = score(docs, fit(docs, read_table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (~training_rows("doc_id", 3, 1)).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op5_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.ngram_quality import quality
     return quality(read_table(spark, sf_dir, "documents"))
@@ -72,6 +80,7 @@ def op8_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_bootstrapped_pii": op3_bootstrapped_pii,
+        "op4_compression_toxicity": op4_compression_toxicity,
         "op5_ngram_quality": op5_ngram_quality,
         "op6_language_id": op6_language_id,
         "op7_sharding": op7_sharding,
