@@ -15,6 +15,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.ppm import score
+    return score(read_table(spark, sf_dir, "documents"))
+
+
 def op3_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.pii import find_personal_data, span_text
     found = find_personal_data(read_table(spark, sf_dir, "documents"))
@@ -79,6 +84,7 @@ def op8_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ppm": op1_ppm,
         "op3_bootstrapped_pii": op3_bootstrapped_pii,
         "op4_compression_toxicity": op4_compression_toxicity,
         "op5_ngram_quality": op5_ngram_quality,
