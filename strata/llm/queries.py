@@ -20,6 +20,11 @@ def op1_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(read_table(spark, sf_dir, "documents"))
 
 
+def op2_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.recompression import deduplicate
+    return deduplicate(read_table(spark, sf_dir, "documents"), full=False)
+
+
 def op3_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.pii import find_personal_data, span_text
     found = find_personal_data(read_table(spark, sf_dir, "documents"))
@@ -85,6 +90,7 @@ def op8_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ppm": op1_ppm,
+        "op2_recompression": op2_recompression,
         "op3_bootstrapped_pii": op3_bootstrapped_pii,
         "op4_compression_toxicity": op4_compression_toxicity,
         "op5_ngram_quality": op5_ngram_quality,
@@ -95,6 +101,29 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, s, array_to_string(w[s + 1 : s + 20], ' ') AS t
+  FROM (SELECT doc_id, w, unnest(range(0, len(w) - 19)) AS s FROM d WHERE len(w) >= 20)),
+later AS (
+  SELECT doc_id, s FROM (
+    SELECT doc_id, s, row_number() OVER (PARTITION BY t ORDER BY doc_id, s) AS n FROM windows)
+  WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(s + 1, s + 21)) AS p FROM later)),
+words AS (SELECT doc_id, p, w[p] AS word
+          FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
+kept AS (
+  SELECT words.doc_id, count(gone.p) AS n_removed,
+    string_agg(word, ' ' ORDER BY words.p) FILTER (WHERE gone.p IS NULL) AS t
+  FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.p = gone.p
+  GROUP BY words.doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 OP9_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(
@@ -129,4 +158,4 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_winnowing": OP9_SQL}
+    return {"op2_recompression": OP2_SQL, "op9_winnowing": OP9_SQL}
