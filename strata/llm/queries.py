@@ -87,6 +87,11 @@ def op8_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                          tokenizer_path("piece_bpe_32k.model"), full=False)
 
 
+def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.parity_join import similar_groups
+    return similar_groups(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ppm": op1_ppm,
@@ -98,6 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_sharding": op7_sharding,
         "op8_piece_bpe": op8_piece_bpe,
         "op9_winnowing": op9_winnowing,
+        "op10_parity_join": op10_parity_join,
     }
 
 
