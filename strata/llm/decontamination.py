@@ -122,7 +122,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                        item_text_col: str = "text") -> DataFrame:
     """Every row of ``docs`` with its benchmark hits.
 
-    Returns id (named ``id_col``), n_words, n_hit, n_items, items (sorted item ids as text),
+    Returns id (named ``id_col``), key (16 bytes, of the text), n_words, n_hit, n_items, items (sorted item ids as text),
     hits (array of struct<place, stop>: the word ranges of hit windows), contaminated.
     Null and empty texts have no words; null item ids are not listed, but their windows count
     as hits; equal items all count; repeated rows stay; other columns are not read.
@@ -164,8 +164,21 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     out = prints.select("id", "key", "n_words").join(hit, "key", "left")
     none = F.array().cast("array<string>")
     return out.select(
-        F.col("id").alias(id_col), "n_words",
+        F.col("id").alias(id_col), "key", "n_words",
         F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
         F.size(F.coalesce("items", none)).cast("bigint").alias("n_items"),
         F.coalesce("items", none).alias("items"), F.col("hits"),
         F.col("n_hit").isNotNull().alias("contaminated"))
+
+
+def text_key(text: Column) -> Column:
+    """The key that find_contamination gives a text."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
+                      **options) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text has no benchmark hit."""
+    found = find_contamination(docs, benchmark, text_col=text_col, **options)
+    bad = found.where("contaminated").select(F.col("key").alias("bad_key")).distinct()
+    return docs.join(bad, text_key(docs[text_col]) == bad["bad_key"], "left_anti")

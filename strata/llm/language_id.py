@@ -204,17 +204,30 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  float(grid[int(np.argmin(loss))]))
 
 
+def keep_known(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
+               text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose language is known with a score of
+    ``least`` or more."""
+    found = predict(docs, model, id_col, text_col, tuple(docs.columns), "__")
+    return found.where((F.col("__lang_pred") != UNKNOWN) & (F.col("__score") >= least)) \
+        .select(*[F.col(f"__kept{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
-            text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+            text_col: str = "text", keep: tuple[str, ...] = (),
+            prefix: str = "") -> DataFrame:
     """Every row of ``docs``: id, lang_pred, score (the calibrated probability of lang_pred),
-    and the columns ``keep``. Null texts and texts without a letter are ``und`` with score 0,
+    and the columns ``keep``; with a ``prefix``, before the names of the first three, ``keep``
+    comes as prefix + "kept0" and so on, so that no names clash. Null texts and texts without a letter are ``und`` with score 0,
     as is every text without a model. Ties go to the first language by name. Repeated rows
     stay; other columns are not read."""
     source = docs.select(docs[text_col].alias("__text"), docs[id_col].alias("__id"),
                          *[docs[c].alias(f"__keep{i}") for i, c in enumerate(keep)])
     types = [f.dataType.simpleString() for f in source.schema.fields]
-    schema = f"`{id_col}` {types[1]}, lang_pred string, score double"
-    schema += "".join(f", `{c}` {t}" for c, t in zip(keep, types[2:], strict=True))
+    names = [prefix + id_col, f"{prefix}lang_pred", f"{prefix}score",
+             *([f"{prefix}kept{i}" for i in range(len(keep))] if prefix else keep)]
+    schema = ", ".join(f"`{n}` {t}" for n, t in zip(
+        names, [types[1], "string", "double", *types[2:]], strict=True))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,6 +245,6 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays(
                 [part.column(1), pa.array(lang, pa.string()), pa.array(score),
                  *[part.column(2 + i) for i in range(len(keep))]],
-                [id_col, "lang_pred", "score", *keep])
+                names)
 
     return source.mapInArrow(run, schema)

@@ -237,16 +237,10 @@ def _forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return out
 
 
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   percent: int = PERCENT, shingle: int = SHINGLE,
-                   bucket_bytes: int = BUCKET_BYTES, tile: int = TILE) -> DataFrame:
-    """Every row of ``docs`` with its component under links of Jaccard similarity ``percent`` or more.
-
-    Returns id (named ``id_col``), n_shingles, component_id: the least id of all rows that links
-    lead to. Null and empty texts have no shingles and are linked with nothing, so their component
-    is their own id. Null ids are passed over for the least id. Repeated rows stay and share a
-    component; other columns are not read.
-    """
+def _classes(docs: DataFrame, id_col: str, text_col: str, percent: int, shingle: int,
+             bucket_bytes: int, tile: int) -> DataFrame:
+    """Every row's id, text_key, number of shingles (n) and class: equal in rows that links
+    connect, null without shingles."""
     text = F.coalesce(docs[text_col], F.lit(""))
     rows = docs.select(docs[id_col].alias("id"), text.alias("text"),
                        F.unhex(F.md5(text.cast("binary"))).alias("text_key"))
@@ -294,8 +288,21 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     links = found.groupBy("root", "x", "y").applyInArrow(linked, "a binary, b binary")
     groups = components(links)
-    every = every.join(groups, every["print"] == groups["node"], "left").select(
-        "id", "n", F.coalesce("root", "print").alias("class"))
+    return every.join(groups, every["print"] == groups["node"], "left").select(
+        "id", "text_key", "n", F.coalesce("root", "print").alias("class"))
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   percent: int = PERCENT, shingle: int = SHINGLE,
+                   bucket_bytes: int = BUCKET_BYTES, tile: int = TILE) -> DataFrame:
+    """Every row of ``docs`` with its component under links of Jaccard similarity ``percent`` or more.
+
+    Returns id (named ``id_col``), n_shingles, component_id: the least id of all rows that links
+    lead to. Null and empty texts have no shingles and are linked with nothing, so their component
+    is their own id. Null ids are passed over for the least id. Repeated rows stay and share a
+    component; other columns are not read.
+    """
+    every = _classes(docs, id_col, text_col, percent, shingle, bucket_bytes, tile)
     least = every.where("class is not null").groupBy("class").agg(F.min("id").alias("component"))
     return every.join(least, "class", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
@@ -303,6 +310,24 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .alias("component_id"))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             percent: int = PERCENT, shingle: int = SHINGLE,
+             bucket_bytes: int = BUCKET_BYTES, tile: int = TILE) -> DataFrame:
+    """The rows of ``docs``, with all their columns, without the others of their group: the row
+    with the least id stays (null last; then by text), once if it is repeated. Rows
+    without shingles stay, once each if they are repeated."""
+    key = "__text_key"
+    every = _classes(docs, id_col, text_col, percent, shingle, bucket_bytes, tile)
+    best = every.where("class is not null").groupBy("class").agg(F.min(F.struct(
+        F.col("id").isNull().alias("none"), "id", "text_key")).alias("k")) \
+        .select(F.col("k.id").alias("best_id"), F.col("k.text_key").alias("best_key"))
+    best = best.union(every.where("class is null").select("id", "text_key").distinct())
+    keyed = docs.withColumn(key, F.unhex(F.md5(F.coalesce(docs[text_col], F.lit("")).cast("binary"))))
+    kept = keyed.join(best, keyed[id_col].eqNullSafe(best["best_id"])
+                      & (keyed[key] == best["best_key"]), "left_semi")
+    return kept.dropDuplicates([id_col, key]).select(*docs.columns)
+
+
 def _first_number(column: str):
     """The first 8 bytes of a binary column as the signed little-endian number they are."""
     swapped = F.concat(*[F.substring(column, i, 1) for i in range(8, 0, -1)])

@@ -277,7 +277,7 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
                 sha.append(hashlib.sha256(joined).hexdigest())
                 dec.append(hashlib.sha256(text).hexdigest())
                 if full:
-                    ids.append(np.array(joined.split(b","), np.int32) if joined else [])
+                    ids.append(np.fromstring(joined, np.int32, sep=",") if joined else [])
                     plain.append(text.decode())
             columns = [part.column("id"), pa.array(n, pa.int64()), pa.array(sha), pa.array(dec)]
             names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]

@@ -183,3 +183,19 @@ def redact(text: Column, spans: Column) -> Column:
 
     return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(
         spans, state, step, lambda s: F.concat(s["out"], text.substr(s["at"] + 1, F.length(text)))))
+
+
+def without_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                          length_col: str | None = "n_chars") -> DataFrame:
+    """The rows of ``docs``, with all their columns; personal data is redacted, and the text's
+    length in ``length_col`` (if there is such a column) follows."""
+    found = find_personal_data(docs, id_col, text_col).where(F.size("spans") > 0) \
+        .groupBy(F.col("key").alias("__key")).agg(F.first("spans").alias("__spans"))
+    key = F.unhex(F.md5(F.coalesce(docs[text_col], F.lit("")).cast("binary")))
+    out = docs.join(found, key == found["__key"], "left").withColumn(
+        text_col, F.when(F.col("__spans").isNull(), F.col(text_col))
+        .otherwise(redact(F.col(text_col), F.col("__spans"))))
+    if length_col in docs.columns:
+        out = out.withColumn(length_col, F.when(F.col("__spans").isNull(), F.col(length_col))
+                             .otherwise(F.length(text_col).cast(docs.schema[length_col].dataType)))
+    return out.select(*docs.columns)
