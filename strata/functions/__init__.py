@@ -5,7 +5,8 @@ from strata.functions.columns import (
     calendar_parts,
     date_key,
     day_diff,
-    exact,
+    merged_parts,
+    money_parts,
     money_sum,
     money_total,
     pct,
@@ -16,6 +17,6 @@ from strata.functions.columns import (
 )
 
 __all__ = [
-    "blank_to_null", "calendar_parts", "date_key", "day_diff", "exact", "money_sum",
+    "blank_to_null", "calendar_parts", "date_key", "day_diff", "merged_parts", "money_parts", "money_sum",
     "money_total", "pct", "round2", "to_double", "to_int", "to_timestamp",
 ]

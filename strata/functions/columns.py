@@ -6,6 +6,8 @@ codegen; none needs a Python UDF.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, IntegerType, TimestampNTZType, TimestampType
@@ -38,9 +40,12 @@ def to_double(c: ColumnOrName) -> Column:
 
 
 def to_int(c: ColumnOrName) -> Column:
-    """Text or number to int; ``'5.0'`` and ``'5.7'`` give 5 (fraction dropped),
-    unparsable or out-of-range input gives NULL."""
-    return _col(c).try_cast(DoubleType()).try_cast(IntegerType())
+    """Text or number to int; ``'5.0'`` and ``'5.7'`` give 5 (fraction dropped). Text other than
+    digits with an optional sign and fraction (``'5d'``, ``'1e3'``) and out-of-range input give
+    NULL."""
+    c = _col(c)
+    plain = c.cast("string").rlike(r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)\s*$")
+    return F.when((F.typeof(c) != "string") | plain, c.try_cast(DoubleType()).try_cast(IntegerType()))
 
 
 def day_diff(end: ColumnOrName, start: ColumnOrName) -> Column:
@@ -82,21 +87,60 @@ def pct(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
     return F.round(F.try_divide(_col(numerator), _col(denominator)) * F.lit(100), 2)
 
 
-def exact(c: ColumnOrName, scale: int = 4) -> Column:
-    """A money value as ``decimal(18, scale)``, for exact sums."""
-    return _col(c).cast(DecimalType(18, scale))
+# A money value in decimal form: 20 digits before the point, 18 after.
+EXACT = DecimalType(38, 18)
+
+
+@dataclass(frozen=True)
+class MoneyParts:
+    """The partial sums that a money total is made of: the exact sum of the values that have a
+    decimal form, the plain double sum of all, and how many have no decimal form (NaN,
+    infinities, 1e20 and more, digits beyond the 18th decimal)."""
+
+    exact: Column
+    plain: Column
+    inexact: Column
+
+    def named(self, prefix: str) -> list[Column]:
+        return [self.exact.alias(f"{prefix}_exact"), self.plain.alias(f"{prefix}_plain"),
+                self.inexact.alias(f"{prefix}_inexact")]
+
+    def _value(self, exact: Column, plain: Column) -> Column:
+        # an exact sum that is too large is NULL
+        return F.when(self.inexact > 0, plain).otherwise(F.coalesce(exact, plain))
+
+    def total(self) -> Column:
+        return self._value(self.exact.cast(DoubleType()), self.plain)
+
+    def rounded(self) -> Column:
+        return self._value(F.round(self.exact, 2).cast(DoubleType()), F.round(self.plain, 2))
+
+
+def money_parts(c: ColumnOrName) -> MoneyParts:
+    value = _col(c).cast(DoubleType())
+    form = value.try_cast(EXACT)
+    is_exact = F.coalesce(form.cast(DoubleType()) == value, F.lit(False))
+    return MoneyParts(F.try_sum(F.when(is_exact, form)), F.sum(value),
+                      F.count_if(value.isNotNull() & ~is_exact))
+
+
+def merged_parts(prefix: str) -> MoneyParts:
+    """The parts of larger groups from those stored under ``prefix`` by ``MoneyParts.named``."""
+    exact, plain, inexact = (F.col(f"{prefix}_{n}") for n in ("exact", "plain", "inexact"))
+    lost = F.count_if(exact.isNull() & plain.isNotNull() & (inexact == 0))  # too large below
+    return MoneyParts(F.try_sum(exact), F.sum(plain), F.sum(inexact) + lost)
 
 
-def money_sum(c: ColumnOrName, scale: int = 4) -> Column:
-    """Sum of a double money column, exact and independent of row order.
+def money_sum(c: ColumnOrName) -> Column:
+    """Sum of a double money column.
 
-    Each value is taken as ``decimal(18, scale)`` and the decimal total is returned
-    as double. A plain double sum depends on how rows fall into partitions and so
-    can differ in the last bits between runs on a cluster; this one cannot.
+    If every value has a decimal form that gives the same double back, the sum is exact and
+    does not depend on how rows fall into partitions; otherwise (NaN, infinities, very large or
+    very long values) it is the plain double sum. No value is dropped or rounded.
     """
-    return F.sum(exact(c, scale)).cast(DoubleType())
+    return money_parts(c).total()
 
 
-def money_total(c: ColumnOrName, scale: int = 4) -> Column:
+def money_total(c: ColumnOrName) -> Column:
     """``money_sum`` rounded to 2 places (the mart form)."""
-    return F.round(F.sum(exact(c, scale)), 2).cast(DoubleType())
+    return money_parts(c).rounded()

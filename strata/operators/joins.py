@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from strata.operators.dedupe import dedupe
+from strata.session import cut_lineage
 
 
 # Session settings that override the defaults below (e.g. set per cluster)
-HOT_ROWS, MAX_HOT_KEYS, LOOKUP_ROWS = ("strata.skew.hotRows", "strata.skew.maxHotKeys",
-                                       "strata.lookup.broadcastRows")
-_DEFAULTS = {HOT_ROWS: 1_000_000, MAX_HOT_KEYS: 10_000, LOOKUP_ROWS: 100_000}
-MAX_SALTS = 100_000
+HOT_ROWS, LOOKUP_ROWS = "strata.skew.hotRows", "strata.lookup.broadcastRows"
+_DEFAULTS = {HOT_ROWS: 1_000_000, LOOKUP_ROWS: 100_000}
+# hot keys that are broadcast at most (counted before); more of them are joined by a shuffle
+BROADCAST_KEYS = 1_000_000
 
 
 def _setting(df: DataFrame, key: str, given: int | None) -> int:
@@ -27,31 +28,31 @@ def _setting(df: DataFrame, key: str, given: int | None) -> int:
     return int(value) if value else _DEFAULTS[key]
 
 
-def _hot_keys(counts: DataFrame, keys: list[str], count: str, hot_rows: int,
-              max_hot_keys: int) -> DataFrame:
-    """Keys (a NULL key included) with more than ``hot_rows`` rows and their salt
-    count ceil(rows / hot_rows), at most ``MAX_SALTS`` (more salts than shuffle
-    partitions spread nothing further; every row still joins): the ``max_hot_keys``
-    largest at most, so broadcasting it is safe."""
-    return F.broadcast(
-        counts.where(F.col(count) > F.lit(hot_rows))
-              .orderBy(F.desc(count), *[F.asc(k) for k in keys]).limit(max_hot_keys)
-              .select(*keys, F.least(F.ceil(F.col(count) / F.lit(hot_rows)), F.lit(MAX_SALTS))
-                      .cast("int").alias("__parts")))
+def _hot_keys(counts: DataFrame, keys: list[str], count: str, hot_rows: int) -> DataFrame | None:
+    """All keys (a NULL key included) with more than ``hot_rows`` rows and their salt count
+    ceil(rows / hot_rows); None if there are none. ``counts`` is a written table, one row per key.
+    There are at most rows / hot_rows hot keys; they are counted before they are broadcast."""
+    hot = counts.where(F.col(count) > F.lit(hot_rows)).select(
+        *keys, F.ceil(F.col(count) / F.lit(hot_rows)).cast("int").alias("__parts"))
+    found = hot.count()
+    if not found:
+        return None
+    return F.broadcast(hot) if found <= BROADCAST_KEYS else hot
 
 
-def _salted_join(detail: DataFrame, keyed: DataFrame, keys: list[str], hot: DataFrame,
+def _salted_join(detail: DataFrame, keyed: DataFrame, keys: list[str], hot: DataFrame | None,
                  how: str) -> DataFrame:
-    """``detail`` joined to ``keyed`` (at most one row per key) with hot keys split:
+    """A plain join without hot keys; else ``detail`` joined to ``keyed`` (at most one row per key) with hot keys split:
     each detail row of a hot key takes one of its salts by a hash of the row (the
     same when a task is retried), and the keyed row is repeated once per salt.
 
     Hot keys are matched null-safely, so many detail rows with a NULL key (kept by
     a left join, matched by nothing) are spread the same way instead of all going
     to the one task that NULL hashes to."""
+    if hot is None:
+        return detail.join(keyed, keys, how)
     hashable = [c for c, t in detail.dtypes if not t.startswith(("map<", "variant"))]
-    marks = F.broadcast(hot.select(*[F.col(k).alias(f"__hot{i}") for i, k in enumerate(keys)],
-                                   "__parts"))
+    marks = hot.select(*[F.col(k).alias(f"__hot{i}") for i, k in enumerate(keys)], "__parts")
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__hot{i}"))
                                        for i, k in enumerate(keys)])
     salted = (detail.join(marks, same, "left")
@@ -107,8 +108,7 @@ def _broadcast_bytes(spark) -> int:
 
 
 def join_keyed(detail: DataFrame, keyed: DataFrame, on: str | Sequence[str], how: str = "left",
-               hot_rows: int | None = None, max_hot_keys: int | None = None,
-               broadcast_rows: int = 0) -> DataFrame:
+               hot_rows: int | None = None, broadcast_rows: int = 0) -> DataFrame:
     """Join many ``detail`` rows to at most one ``keyed`` row per key (``left`` or
     ``inner``), with keys holding more than ``hot_rows`` detail rows split over
     several tasks.
@@ -122,16 +122,16 @@ def join_keyed(detail: DataFrame, keyed: DataFrame, on: str | Sequence[str], how
     Otherwise hot keys are salted. AQE's skew-join split only applies when both
     inputs are plain shuffles; a keyed side that comes out of an aggregate or a
     de-duplication window is not, so a hot key would stay in one task. Detail rows
-    are counted per key (combined map-side), the largest hot keys (``max_hot_keys``
-    at most: a broadcast of proven size) are salted; any further hot key still
-    joins exactly, only unsalted.
+    are counted per key (combined map-side; the counts are written to the shared
+    folder, so ``detail`` is read once for them and once for the join) and every key
+    over ``hot_rows`` is salted.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if broadcast_rows > 0 and _fits(keyed, broadcast_rows, _broadcast_bytes(keyed.sparkSession)):
         return detail.join(F.broadcast(keyed), keys, how)
+    limit = _setting(detail, HOT_ROWS, hot_rows)
     counts = detail.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = _hot_keys(counts, keys, "__n", _setting(detail, HOT_ROWS, hot_rows),
-                    _setting(detail, MAX_HOT_KEYS, max_hot_keys))
+    hot = _hot_keys(cut_lineage(counts.where(F.col("__n") > F.lit(limit))), keys, "__n", limit)
     return _salted_join(detail, keyed, keys, hot, how)
 
 
@@ -155,8 +155,7 @@ def lookup(df: DataFrame, table: DataFrame, on: str | Sequence[str],
 
 
 def attach_group_total(detail: DataFrame, source: DataFrame, key: str, total: Column,
-                       name: str, hot_rows: int | None = None,
-                       max_hot_keys: int | None = None) -> DataFrame:
+                       name: str, hot_rows: int | None = None) -> DataFrame:
     """Attach to every ``detail`` row the aggregate ``total`` of its key over
     ``source`` (a left join: a NULL or unmatched key gets NULL).
 
@@ -164,11 +163,12 @@ def attach_group_total(detail: DataFrame, source: DataFrame, key: str, total: Co
     moves every detail row to its key's reducer, and AQE cannot split a hot key
     here (the totals side is an aggregate, not a plain shuffle). So hot keys are
     salted as in ``join_keyed``; their row counts come with the totals (``source``
-    rows), so no extra pass over the data is needed.
+    rows). The totals are written once to the shared folder, and both the hot keys
+    and the join read them there: ``source`` is read once, and ``detail`` once.
     """
-    totals = source.groupBy(key).agg(total.alias(name), F.count(F.lit(1)).alias("__n"))
-    hot = _hot_keys(totals, [key], "__n", _setting(detail, HOT_ROWS, hot_rows),
-                    _setting(detail, MAX_HOT_KEYS, max_hot_keys))
+    totals = cut_lineage(source.groupBy(key).agg(total.alias(name),
+                                                 F.count(F.lit(1)).alias("__n")))
+    hot = _hot_keys(totals, [key], "__n", _setting(detail, HOT_ROWS, hot_rows))
     return _salted_join(detail, totals.drop("__n"), [key], hot, "left")
 
 

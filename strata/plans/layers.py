@@ -17,7 +17,7 @@ from strata.plans.bronze import bronze
 
 class Layers:
     def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame],
-                 calendar_span: tuple[str, str] = CALENDAR_SPAN, geo_box: dict | None = None):
+                 calendar_span: tuple[str, str] | None = CALENDAR_SPAN, geo_box: dict | None = None):
         self.spark = spark
         self.raw = raw
         self.calendar_span = calendar_span
@@ -43,19 +43,26 @@ class Layers:
                 self.bronze["geolocation"], self.geo_box["lat"], self.geo_box["lng"]))
         return self._get(f"silver.{name}", lambda: silver.BUILDERS[name](self.bronze))
 
+    @property
+    def payments(self) -> DataFrame:
+        """Silver payments without their order's total, which no Gold table uses."""
+        return self._get("silver.payments", lambda: silver.payments_without_total(
+            self.bronze["order_payments"]))
+
     # ---- gold ------------------------------------------------------------------------
     def gold(self, name: str) -> DataFrame:
         builders: dict[str, Callable[[], DataFrame]] = {
             "dim_customer": lambda: dims.dim_customer(self.silver("customers")),
             "dim_product": lambda: dims.dim_product(self.silver("products")),
             "dim_seller": lambda: dims.dim_seller(self.silver("sellers")),
-            "dim_date": lambda: dims.dim_date(self.spark, *self.calendar_span),
-            "dim_payment_type": lambda: dims.dim_payment_type(self.silver("order_payments")),
+            "dim_date": lambda: dims.calendar(self.spark, self.calendar_span,
+                                              self.silver("orders")),
+            "dim_payment_type": lambda: dims.dim_payment_type(self.payments),
             "fact_orders": lambda: facts.fact_orders(self.silver("orders"),
                                                      self.silver("order_items")),
             "fact_order_items": lambda: facts.fact_order_items(self.silver("order_items")),
             "fact_reviews": lambda: facts.fact_reviews(self.silver("order_reviews")),
-            "fact_payments": lambda: facts.fact_payments(self.silver("order_payments")),
+            "fact_payments": lambda: facts.fact_payments(self.payments),
         }
         return self._get(f"gold.{name}", builders[name])
 

@@ -1,7 +1,7 @@
 """Gold -> Platinum marts: small pre-aggregated business tables.
 
 Sorts follow the reference's order, with the group key added as a tie-break so
-the order is total. Money totals are exact decimal sums rounded to 2 places.
+the order is total. Money totals are exact sums rounded to 2 places (``money_parts``).
 """
 
 from __future__ import annotations
@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.columns import exact, money_total, pct, round2
+from strata.functions.columns import merged_parts, money_parts, money_total, pct, round2
 from strata.operators.joins import join_keyed
+from strata.session import cut_lineage
 
 
 def monthly_revenue(fact_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -38,7 +39,7 @@ def _per_customer(fact_orders: DataFrame) -> DataFrame:
     """
     return fact_orders.groupBy("customer_id").agg(
         F.countDistinct("order_id").alias("__orders"),
-        F.sum(exact("total_revenue")).alias("__revenue"),
+        *money_parts("total_revenue").named("__revenue"),
         F.sum("delivery_days").alias("__days"),
         F.count("delivery_days").alias("__delivered"))
 
@@ -49,7 +50,7 @@ def state_performance(fact_orders: DataFrame, dim_customer: DataFrame) -> DataFr
     return (_per_customer(fact_orders).join(dim_customer, "customer_id", "inner")
             .groupBy("state")
             .agg(F.sum("__orders").alias("order_count"),
-                 F.round(F.sum("__revenue"), 2).cast("double").alias("revenue"),
+                 merged_parts("__revenue").rounded().alias("revenue"),
                  round2(F.try_divide(F.sum("__days").cast("double"), F.sum("__delivered")))
                  .alias("avg_delivery_days"))
             .orderBy(F.desc("order_count"), F.asc("state")))
@@ -61,11 +62,11 @@ def category_ranking(fact_items: DataFrame, dim_product: DataFrame) -> DataFrame
     Items are summed per product before the join, so the join sees one row per
     product instead of one per item."""
     per_product = fact_items.groupBy("product_id").agg(
-        F.sum(F.col("price").cast("decimal(18,4)")).alias("__rev"),
+        *money_parts("price").named("__revenue"),
         F.count(F.lit(1)).alias("__n"))
     return (per_product.join(dim_product, "product_id", "inner")
             .groupBy("category_name_english")
-            .agg(F.round(F.sum("__rev"), 2).cast("double").alias("revenue"),
+            .agg(merged_parts("__revenue").rounded().alias("revenue"),
                  F.sum("__n").alias("items_sold"))
             .orderBy(F.desc("revenue"), F.asc("category_name_english")))
 
@@ -95,8 +96,9 @@ def review_by_category(fact_reviews: DataFrame, fact_items: DataFrame,
         F.count("review_score").alias("__scored"),
         F.count(F.lit(1)).alias("__rows"))
     per_item = fact_items.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("__k"))
-    # an order with very many products is salted, not sent to one task
-    per_product = (join_keyed(per_item, per_order, "order_id", "inner")
+    # counting the hot orders and joining both read the items: they are read once and kept.
+    # An order with very many products is salted, not sent to one task.
+    per_product = (join_keyed(cut_lineage(per_item), per_order, "order_id", "inner")
                    .groupBy("product_id")
                    .agg(F.sum(F.col("__s") * F.col("__k")).alias("__s"),
                         F.sum(F.col("__scored") * F.col("__k")).alias("__scored"),
@@ -124,7 +126,6 @@ def customer_retention(fact_orders: DataFrame, dim_customer: DataFrame) -> DataF
     per_person = (_per_customer(fact_orders).join(dim_customer, "customer_id", "inner")
                   .groupBy("customer_unique_id")
                   .agg(F.sum("__orders").alias("order_count")))
-    return (per_person.agg(
-                F.count(F.lit(1)).alias("total_customers"),
-                F.sum(F.when(F.col("order_count") >= 2, 1).otherwise(0)).alias("repeat_customers"))
-            .withColumn("retention_rate_pct", pct("repeat_customers", "total_customers")))
+    people, returning = F.count(F.lit(1)), F.count_if(F.col("order_count") >= 2)
+    return per_person.agg(people.alias("total_customers"), returning.alias("repeat_customers"),
+                          pct(returning, people).alias("retention_rate_pct"))

@@ -58,6 +58,17 @@ def sellers(bronze: DataFrame) -> DataFrame:
     return dedupe(upper_columns(clean_strings(bronze), ["seller_state"]), ["seller_id"])
 
 
+def typed_payments(bronze: DataFrame) -> DataFrame:
+    return cast_columns(clean_strings(bronze), {
+        "payment_value": "double", "payment_sequential": "int", "payment_installments": "int"})
+
+
+def payments_without_total(bronze: DataFrame) -> DataFrame:
+    """One row per (order_id, payment_sequential): what the payment fact and the payment types
+    need, without the pass over the payments that the order's total takes."""
+    return dedupe(typed_payments(bronze), ["order_id", "payment_sequential"])
+
+
 def order_payments(bronze: DataFrame) -> DataFrame:
     """Typed payments with ``total_payment_value`` per order.
 
@@ -66,8 +77,7 @@ def order_payments(bronze: DataFrame) -> DataFrame:
     and the totals are joined afterwards (hot orders salted): a hot order_id then
     never has to sit in one window partition or one join task.
     """
-    df = cast_columns(clean_strings(bronze), {
-        "payment_value": "double", "payment_sequential": "int", "payment_installments": "int"})
+    df = typed_payments(bronze)
     kept = dedupe(df, ["order_id", "payment_sequential"])
     return attach_group_total(kept, df, "order_id", money_sum("payment_value"),
                               "total_payment_value")

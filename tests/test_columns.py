@@ -63,3 +63,24 @@ def test_money_sum_is_exact(spark):
 
 def test_round2_half_up(spark):
     assert one(spark, C.round2(F.col("v")), 2.675, "v double") == 2.68
+
+
+def test_money_sum_keeps_every_value(spark):
+    import math
+
+    def total(*values):
+        return spark.createDataFrame([(v,) for v in values], "v double").agg(C.money_sum("v")).first()[0]
+    assert math.isnan(total(1.5, float("nan")))
+    assert total(1.5, float("inf")) == float("inf")
+    assert total(2e14, 1e15, 0.5) == 1.2e15 + 0.5
+    assert total(1e25, 1.0) == 1e25
+    assert total(*[0.00005] * 3, *[0.00004] * 3) == 0.00027
+    assert total(9e19, 9e19) == 1.8e20  # too large for the decimal sum
+    assert total(None, 2.5) == 2.5 and total(None) is None
+
+
+def test_to_int_takes_plain_numbers_only(spark):
+    rows = [("5d",), ("1e3",), ("5.7",), ("-3",), (" 4 ",), (None,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "v string").select(C.to_int("v")).collect()]
+    assert got == [None, None, 5, -3, 4, None]
+    assert spark.createDataFrame([(1e7,)], "v double").select(C.to_int("v")).first()[0] == 10_000_000

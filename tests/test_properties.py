@@ -20,15 +20,15 @@ def _sorted(df):
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(detail=rows, keyed_keys=st.sets(st.integers(0, 8), max_size=6),
-       hot_rows=st.integers(1, 8), max_hot=st.integers(1, 3))
-def test_salted_joins_equal_plain_joins(spark, detail, keyed_keys, hot_rows, max_hot):
+       hot_rows=st.integers(1, 8))
+def test_salted_joins_equal_plain_joins(spark, detail, keyed_keys, hot_rows):
     d = spark.createDataFrame(detail, "k int, v int")
     k = spark.createDataFrame([(x, x * 10) for x in sorted(keyed_keys)] or [(None, 0)],
                               "k int, attr int")
     for how in ["left", "inner"]:
-        assert _sorted(join_keyed(d, k, "k", how, hot_rows=hot_rows, max_hot_keys=max_hot)) == \
+        assert _sorted(join_keyed(d, k, "k", how, hot_rows=hot_rows)) == \
             _sorted(d.join(k, "k", how))
-    got = add_group_total(d, "k", F.sum("v"), "t", hot_rows=hot_rows, max_hot_keys=max_hot)
+    got = add_group_total(d, "k", F.sum("v"), "t", hot_rows=hot_rows)
     plain = d.join(d.groupBy("k").agg(F.sum("v").alias("t")), "k", "left")
     assert _sorted(got) == _sorted(plain)
 

@@ -157,7 +157,7 @@ def test_customer_marts_with_a_hot_customer_equal_the_join_formulation(spark):
     joined = fact.join(dim, "customer_id")
     brute_state = {r.state: (r.n, r.rev, r.avg) for r in joined.groupBy("state").agg(
         F.countDistinct("order_id").alias("n"),
-        F.round(F.sum(F.col("total_revenue").cast("decimal(18,4)")), 2).cast("double").alias("rev"),
+        F.round(F.sum(F.col("total_revenue").cast("decimal(38,18)")), 2).cast("double").alias("rev"),
         F.round(F.avg("delivery_days"), 2).alias("avg")).collect()}
     got_state = {r.state: (r.order_count, r.revenue, r.avg_delivery_days)
                  for r in marts.state_performance(fact, dim).collect()}
