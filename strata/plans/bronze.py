@@ -30,7 +30,7 @@ def read_source(spark: SparkSession, spec: SourceSpec, kind: str = "csv",
     if kind == "csv":
         path = f"{(directory or '.').rstrip('/')}/{spec.file_name}"
         return read_csv(spark, path, None if infer else spec.schema,
-                        multiline=not splittable, infer=infer)
+                        multiline=not splittable, infer=infer, required=spec.keys)
     if kind == "jdbc":
         return read_jdbc(spark, url, f"{schema_prefix}{spec.table}", properties,
                          partition_column=partition_column, num_partitions=num_partitions,

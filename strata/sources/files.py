@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.config import AUDIT_FILE, AUDIT_TIME
 
@@ -17,11 +19,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
-             multiline: bool = True, infer: bool = False) -> DataFrame:
-    """Read CSV with a header row.
+             multiline: bool = True, infer: bool = False,
+             required: Sequence[str] = ()) -> DataFrame:
+    """Read CSV with a header row; columns are found by their names in it.
 
     With ``schema`` there is no inference pass and text such as ZIP prefixes keeps
-    its leading zeros; ``infer=True`` asks Spark to guess types instead (one extra
+    its leading zeros: columns it names get its types (NULL where the file lacks them,
+    an error if they are ``required``) and come first, all others follow as text. The
+    header is taken from one file, and every other file's must agree with it, else
+    reading fails. ``infer=True`` asks Spark to guess types instead (one extra
     pass over the files). ``multiline`` honours quoted newlines, so a record count
     matches a CSV parser's; it makes each file one split, so many files (or a
     one-time conversion to Parquet) keep large inputs parallel.
@@ -30,11 +36,32 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
               .option("multiLine", multiline)
               .option("escape", '"')
               .option("mode", "PERMISSIVE"))
-    if schema is not None:
-        reader = reader.schema(schema)
-    elif infer:
-        reader = reader.option("inferSchema", True)
-    return reader.csv(path)
+    if schema is None:
+        return (reader.option("inferSchema", True) if infer else reader).csv(path)
+    names = reader.csv(path).columns  # reads one header, not the data
+    check_header(names, required, path)
+    read = reader.schema(file_schema(names, schema)).option("enforceSchema", False).csv(path)
+    return by_name(read, schema)
+
+
+def check_header(names: Sequence[str], required: Sequence[str], path: str) -> None:
+    missing = [c for c in required if c not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+
+
+def file_schema(names: Sequence[str], schema: StructType) -> StructType:
+    """The columns of a file in its order: declared types for known names, text for others."""
+    types = {f.name: f.dataType for f in schema.fields}
+    return StructType([StructField(n, types.get(n, StringType()), True) for n in names])
+
+
+def by_name(df: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of ``schema`` (NULL if absent), then all others of ``df``."""
+    known = [F.col(f"`{f.name}`") if f.name in df.columns
+             else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return df.select(*known, *[F.col(f"`{c}`") for c in df.columns
+                               if c not in schema.fieldNames()])
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -27,15 +27,16 @@ def total_bytes(spark: SparkSession, paths: list[str]) -> int:
     return int(total)
 
 
-def count_files(spark: SparkSession, directory: str) -> int:
-    """Visible files (not ``_``/``.`` names) under ``directory``, recursively; 0 if absent."""
+def has_files(spark: SparkSession, directory: str) -> bool:
+    """Whether any visible file (not a ``_``/``.`` name) lies under ``directory``."""
     p, fs = _resolve(spark, directory)
     if not fs.exists(p):
-        return 0
-    files, n = fs.listFiles(p, True), 0
-    while files.hasNext():
-        n += not files.next().getPath().getName().startswith(("_", "."))
-    return n
+        return False
+    files = fs.listFiles(p, True)
+    while files.hasNext():  # ends at the first visible file
+        if not files.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
 
 
 def subdirectories(spark: SparkSession, directory: str) -> list[str]:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,10 @@ from strata.config import NAMESPACES
 from strata.sources import fs
 
 
+# the folder value that Spark writes for a NULL partition
+EMPTY_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def ensure_namespaces(spark: SparkSession, names: Iterable[str] = NAMESPACES) -> None:
     for n in names:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {n}")
@@ -44,12 +49,51 @@ def _versions_root(spark: SparkSession, name: str) -> str:
     return f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/{table}__versions"
 
 
-def _drop_old_versions(spark: SparkSession, root: str, keep: int) -> None:
-    names = fs.subdirectories(spark, root)
-    for old in names[:-keep] if keep > 0 else names:
+def _drop_old_versions(spark: SparkSession, root: str, current: str, keep: int) -> None:
+    """Delete finished versions older than ``current``, but for the newest ``keep - 1``. A folder
+    without a finished write may belong to a refresh that is still running: it stays."""
+    older = [v for v in fs.subdirectories(spark, root)
+             if v < current and fs.exists(spark, f"{root}/{v}/_SUCCESS")]
+    for old in older[:len(older) - (keep - 1)]:
         fs.delete(spark, f"{root}/{old}")
 
 
+def _partition_folders(spark: SparkSession, root: str, depth: int) -> list[str]:
+    """Relative paths ``a=1/b=2`` of the partitions written under ``root``."""
+    found = [""]
+    for _ in range(depth):
+        found = [f"{at}/{name}".lstrip("/") for at in found
+                 for name in fs.subdirectories(spark, f"{root}/{at}".rstrip("/")) if "=" in name]
+    return found
+
+
+def _spec(folder: str) -> str:
+    """``PARTITION (...)`` of a partition's folder."""
+    parts = []
+    for level in folder.split("/"):
+        column, _, value = level.partition("=")
+        text = unquote(value).replace("\\", "\\\\").replace("'", "\\'")
+        parts.append(f"`{column}`=" + ("null" if value == EMPTY_PARTITION else f"'{text}'"))
+    return f"PARTITION ({', '.join(parts)})"
+
+
+def _swap_partitions(spark: SparkSession, name: str, location: str, depth: int) -> None:
+    """Point every partition of the table to its folder under ``location``; partitions without
+    one there go. The table exists throughout."""
+    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    written = _partition_folders(spark, location, depth)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+    for folder in written:
+        if folder in known:
+            spark.sql(f"ALTER TABLE {name} {_spec(folder)} SET LOCATION '{location}/{folder}'")
+        else:
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {_spec(folder)} "
+                      f"LOCATION '{location}/{folder}'")
+    for folder in known - set(written):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {_spec(folder)}")
+    spark.catalog.refreshTable(name)
+
+
 def _columns(schema: StructType, partition_by: Sequence[str]) -> list[tuple[str, str]]:
     """(name, type) in table order: data columns, then partition columns."""
     fields = {f.name: f.dataType.simpleString() for f in schema.fields}
@@ -61,20 +105,22 @@ def _point_table(spark: SparkSession, name: str, location: str, fmt: str,
                  schema: StructType, partition_by: Sequence[str]) -> None:
     """Make ``name`` an external table over ``location`` (metadata only).
 
-    An unpartitioned table with the same columns is switched with one ``SET
-    LOCATION``: readers see the old version or the new one, never neither. A
-    partitioned table (its catalog partitions name the old folders) or changed
-    columns are re-declared: drop (metadata only for an external table), create
-    with the written schema (no inference pass over the files), register the
-    partitions.
+    A table with the same columns stays: an unpartitioned one is switched with one
+    ``SET LOCATION``, so readers see the old version or the new one; of a partitioned one
+    the written partitions are switched or added one by one, then stale ones dropped.
+    Only changed columns re-declare the table: drop (metadata only for an external
+    table), create with the written schema (no inference pass over the files).
     """
     columns = _columns(schema, partition_by)
     if spark.catalog.tableExists(name):
         current = spark.catalog.getTable(name)
         listed = spark.catalog.listColumns(name)
-        same = (current.tableType == "EXTERNAL" and not partition_by
-                and not any(c.isPartition for c in listed)
+        same = (current.tableType == "EXTERNAL"
+                and [c.name for c in listed if c.isPartition] == list(partition_by)
                 and [(c.name, c.dataType) for c in listed] == columns)
+        if same and partition_by:
+            _swap_partitions(spark, name, location, len(partition_by))
+            return
         if same:
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
             spark.catalog.refreshTable(name)
@@ -84,7 +130,7 @@ def _point_table(spark: SparkSession, name: str, location: str, fmt: str,
     parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
     spark.sql(f"CREATE TABLE {name} ({ddl}) USING {fmt}{parts} LOCATION '{location}'")
     if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+        _swap_partitions(spark, name, location, len(partition_by))
 
 
 def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
@@ -95,7 +141,7 @@ def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] | None =
     ``Observation`` inside it, so the plan runs once), then the table is pointed
     at that folder. No data file is moved or copied - on an object store a rename
     is a copy of the whole table - and ``df`` may read the table it replaces. The
-    newest ``keep_versions`` folders are kept (queries still reading the previous
+    newest ``keep_versions`` finished folders are kept (queries still reading the previous
     version finish), older ones are deleted.
     """
     spark = df.sparkSession
@@ -108,7 +154,7 @@ def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] | None =
         writer = writer.partitionBy(*partition_by)
     writer.save(version)
     _point_table(spark, name, version, fmt, df.schema, list(partition_by or []))
-    _drop_old_versions(spark, root, max(1, keep_versions))
+    _drop_old_versions(spark, root, version.rsplit("/", 1)[1], max(1, keep_versions))
     return int(obs.get["rows"])
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from strata.config import AUDIT_FILE, AUDIT_TIME, SourceSpec
 from strata.sources import fs
+from strata.sources.files import by_name, check_header, file_schema
 
 
 def ingest_available(spark: SparkSession, spec: SourceSpec, directory: str, output_path: str,
@@ -26,17 +27,19 @@ def ingest_available(spark: SparkSession, spec: SourceSpec, directory: str, outp
     the output for exactly-once to hold).
     """
     checkpoint = checkpoint or output_path.rstrip("/") + "__checkpoint"
-    # Rows are summed over the query's progress reports, which a session keeps only
-    # for its last N batches: run in a child session that keeps one per batch.
-    batches = -(-fs.count_files(spark, directory) // max_files_per_batch) + 2
-    spark = spark.newSession()
-    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(max(100, batches)))
-    stream = (spark.readStream.schema(spec.schema)
+    before = _rows(spark, output_path)
+    schema = spec.schema
+    if fs.has_files(spark, directory):
+        names = spark.read.option("header", True).option("multiLine", True) \
+            .option("escape", '"').csv(directory).columns
+        check_header(names, spec.keys, directory)
+        schema = file_schema(names, spec.schema)
+    stream = (spark.readStream.schema(schema).option("enforceSchema", False)
               .option("header", True).option("multiLine", True).option("escape", '"')
               .option("maxFilesPerTrigger", max_files_per_batch)
-              .csv(directory))
-    df = stream.withColumns({AUDIT_TIME: F.current_timestamp(),
-                             AUDIT_FILE: F.col("_metadata.file_name")})
+              .csv(directory).withColumn("__file", F.col("_metadata.file_name")))
+    df = by_name(stream, spec.schema).withColumns({AUDIT_TIME: F.current_timestamp(),
+                             AUDIT_FILE: F.col("__file")}).drop("__file")
     by_day = spec.partitioned if partition_by_day is None else partition_by_day
     if by_day:
         df = df.withColumn("_ingest_date", F.to_date(AUDIT_TIME))
@@ -48,4 +51,9 @@ def ingest_available(spark: SparkSession, spec: SourceSpec, directory: str, outp
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return sum(p.get("numInputRows", 0) for p in query.recentProgress)
+    return _rows(spark, output_path) - before
+
+
+def _rows(spark: SparkSession, path: str) -> int:
+    """Rows of the ingested folder (from the files' footers); 0 before the first run."""
+    return spark.read.parquet(path).count() if fs.has_files(spark, path) else 0

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -123,3 +125,65 @@ def test_jdbc_text_key_split_by_predicates(spark):
     back = read_jdbc(spark, url, "t", props, predicates=preds)
     assert back.rdd.getNumPartitions() == 4
     assert back.count() == 500 and back.agg(F.sum("v")).first()[0] == sum(range(500))
+
+
+def test_csv_columns_follow_the_header(spark, tmp_path):
+    from pyspark.sql.types import StringType, StructField, StructType
+    schema = StructType([StructField(n, StringType()) for n in ("id", "name", "gone")])
+    (tmp_path / "a.csv").write_text("extra,name,id\nx,ann,1\n")
+    df = read_csv(spark, str(tmp_path / "a.csv"), schema, required=("id",))
+    assert df.columns == ["id", "name", "gone", "extra"]
+    assert tuple(df.first()) == ("1", "ann", None, "x")
+    with pytest.raises(ValueError, match="no column key"):
+        read_csv(spark, str(tmp_path / "a.csv"), schema, required=("key",))
+
+
+def test_csv_files_with_other_headers_fail(spark, tmp_path):
+    from pyspark.sql.types import StringType, StructField, StructType
+    schema = StructType([StructField(n, StringType()) for n in ("id", "name")])
+    (tmp_path / "a.csv").write_text("id,name\n1,ann\n")
+    (tmp_path / "b.csv").write_text("name,id\nbob,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path), schema).collect()
+
+
+def test_partitioned_replace_keeps_table_and_unfinished_folders(spark):
+    from strata.sources import fs
+    from strata.sources.tables import _versions_root, ensure_namespaces, replace_table
+    ensure_namespaces(spark, ["swap_db"])
+    name, root = "swap_db.t", None
+    first = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "x int, p string")
+    replace_table(first, name, ["p"])
+    root = _versions_root(spark, name)
+    # a slower refresh that is still writing: no _SUCCESS yet
+    unfinished = f"{root}/v00000000000000000001-slow"
+    spark.createDataFrame([(9,)], "x int").write.parquet(unfinished)
+    fs.delete(spark, f"{unfinished}/_SUCCESS")
+    for k in range(4):
+        replace_table(spark.createDataFrame([(k, "a"), (k, "c")], "x int, p string"), name, ["p"])
+        rows = sorted(tuple(r) for r in spark.table(name).collect())
+        assert rows == [(k, "a"), (k, "c")]
+    assert fs.exists(spark, unfinished)
+    finished = [v for v in fs.subdirectories(spark, root) if fs.exists(spark, f"{root}/{v}/_SUCCESS")]
+    assert len(finished) == 2
+
+
+def test_stream_keeps_the_session_zone(spark, tmp_path):
+    import datetime as dt
+
+    from strata.config import SOURCES
+    from strata.streaming import ingest_available
+    spec = SOURCES["category_translation"]
+    src, out = tmp_path / "src", str(tmp_path / "out")
+    src.mkdir()
+    (src / "a.csv").write_text("product_category_name_english,product_category_name\ntoys,brinq\n")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")
+        assert ingest_available(spark, spec, str(src), out, partition_by_day=True) == 1
+        assert ingest_available(spark, spec, str(src), out, partition_by_day=True) == 0
+        row = spark.read.parquet(out).select("product_category_name", "_ingest_date").first()
+        today = dt.datetime.now(dt.timezone(dt.timedelta(hours=14))).date()
+        assert row[0] == "brinq" and row[1] == today
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
