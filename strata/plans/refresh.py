@@ -24,7 +24,13 @@ from strata.operators.quality import DQError, gate
 from strata.plans import dims, facts, marts, silver
 from strata.plans.bronze import bronze
 from strata.plans.layers import DIMENSIONS, FACTS, MARTS, SILVER_TABLES
-from strata.plans.suites import acceptance_suite, bronze_suite, gold_suite, silver_suite
+from strata.plans.suites import (
+    acceptance_suite,
+    bronze_suite,
+    gold_suite,
+    silver_suite,
+    source_reconciliation,
+)
 from strata.sources.tables import ensure_namespaces, replace_table
 
 
@@ -37,18 +43,23 @@ _log = logging.getLogger(__name__)
 
 
 def refresh_all(spark: SparkSession, raw: Mapping[str, DataFrame] | None,
-                calendar_span: tuple[str, str] = CALENDAR_SPAN, geo_box: dict | None = None,
+                calendar_span: tuple[str, str] | None = CALENDAR_SPAN,
+                geo_box: dict | None = None,
                 gates: bool = True, namespace_prefix: str = "",
                 purchase_window: tuple[str, str] | None = None,
                 parallel_writes: int = 4, start_at: str = "bronze",
-                strict_tests: bool = False) -> dict[str, int]:
+                strict_tests: bool = False, csv_dir: str | None = None) -> dict[str, int]:
     """Build every table; returns ``{"layer.table": rows_written}``.
 
     ``namespace_prefix`` puts the five namespaces under other names (e.g. for a
     test run next to a production catalog). ``start_at`` resumes a run that stopped
     (driver lost, gate failed and data fixed): the layers before it are read from
-    their written tables, not rebuilt, and their gates are not run again; ``raw`` is
-    only needed when starting at ``bronze``.
+    their written tables, not rebuilt, and the gate of the layer before is run on them
+    first, so a failed gate stays in the way; ``raw`` is only needed when starting at
+    ``bronze``. Without a ``calendar_span`` the calendar covers all purchase days.
+
+    With ``csv_dir``, the folder of the source files, every written Bronze table must have
+    as many rows as its file has records (checked with the Bronze gate).
 
     After the marts, the table tests (``acceptance_suite``) run on the written
     tables and are stored with the gate results; as in the reference a failing test
@@ -101,7 +112,10 @@ def refresh_all(spark: SparkSession, raw: Mapping[str, DataFrame] | None,
         staged = bronze(raw)
         b = write_all("bronze", {name: (lambda name=name: staged[name]) for name in staged},
                       {n for n in staged if n in SOURCES and SOURCES[n].partitioned})
-        check("bronze", bronze_suite(b, prefix=f"{ns['bronze']}."))
+    if first <= 1:
+        results = bronze_suite(b, prefix=f"{ns['bronze']}.")
+        records = source_reconciliation(spark, b, csv_dir, f"{ns['bronze']}.") if csv_dir else None
+        check("bronze", results if records is None else results.unionByName(records))
 
     # silver
     box = {"lat_range": geo_box["lat"], "lng_range": geo_box["lng"]} if geo_box else {}
@@ -114,6 +128,7 @@ def refresh_all(spark: SparkSession, raw: Mapping[str, DataFrame] | None,
                                if spark.catalog.tableExists(f"{ns['silver']}.{n}")])
     else:
         s = write_all("silver", jobs)
+    if first <= 2:
         suite_args = {"purchase_window": purchase_window} if purchase_window else {}
         check("silver", silver_suite(s["orders"], s["order_items"], s["order_reviews"],
                                      prefix=f"{ns['silver']}.", **suite_args))
@@ -123,7 +138,7 @@ def refresh_all(spark: SparkSession, raw: Mapping[str, DataFrame] | None,
         "dim_customer": lambda: dims.dim_customer(s["customers"]),
         "dim_product": lambda: dims.dim_product(s["products"]),
         "dim_seller": lambda: dims.dim_seller(s["sellers"]),
-        "dim_date": lambda: dims.dim_date(spark, *calendar_span),
+        "dim_date": lambda: dims.calendar(spark, calendar_span, s["orders"]),
         "dim_payment_type": lambda: dims.dim_payment_type(s["order_payments"]),
         "fact_orders": lambda: facts.fact_orders(s["orders"], s["order_items"]),
         "fact_order_items": lambda: facts.fact_order_items(s["order_items"]),
@@ -134,6 +149,7 @@ def refresh_all(spark: SparkSession, raw: Mapping[str, DataFrame] | None,
         g = written("gold", DIMENSIONS + FACTS)
     else:
         g = write_all("gold", {name: gold_jobs[name] for name in DIMENSIONS + FACTS})
+    if first <= 3:
         check("gold", gold_suite(g["fact_orders"], g["fact_order_items"], g["dim_customer"],
                                  g["dim_product"], g["dim_seller"], s["orders"],
                                  prefix=f"{ns['gold']}."))

@@ -60,3 +60,26 @@ def test_resume_from_gold_reads_written_layers(spark, sf_small):
     assert snapshot(spark, "t3_") == before
     with pytest.raises(ValueError):
         refresh_all(spark, None, namespace_prefix="t3_")
+
+
+def test_resume_after_failed_gate_is_stopped(spark, sf_small):
+    with pytest.raises(DQError, match="purchase_ts_in_range"):
+        refresh_all(spark, raw_sources(spark, sf_small), TEST_CALENDAR, EMBEDDING_BOX,
+                    namespace_prefix="t4_")
+    with pytest.raises(DQError, match="purchase_ts_in_range"):
+        refresh_all(spark, None, TEST_CALENDAR, EMBEDDING_BOX, namespace_prefix="t4_",
+                    start_at="gold")
+    assert not spark.catalog.tableExists("t4_gold.fact_orders")
+
+
+def test_written_tables_are_held_against_their_files(spark, sf_small, tmp_path):
+    from strata.config import SOURCES
+    from strata.sources.files import write_csv
+    raw = raw_sources(spark, sf_small)
+    # the file has more records than the rows that are ingested
+    write_csv(raw["orders"].union(raw["orders"].limit(5)),
+              str(tmp_path / SOURCES["orders"].file_name))
+    with pytest.raises(DQError, match="rowcount_matches_csv"):
+        refresh_all(spark, raw, TEST_CALENDAR, EMBEDDING_BOX, namespace_prefix="t5_",
+                    purchase_window=WINDOW, csv_dir=str(tmp_path))
+    assert not spark.catalog.tableExists("t5_silver.orders")
