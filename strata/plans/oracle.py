@@ -42,8 +42,17 @@ def _key(c: str) -> str:
     return f"CAST(strftime({c}, '%Y%m%d') AS INTEGER)"
 
 
+def _exact(c: str) -> str:
+    """The exact sum of doubles in their shortest decimal form (all test values have one)."""
+    return f"sum(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,18)))"
+
+
+def _sum(c: str) -> str:
+    return f"CAST(CAST({_exact(c)} AS VARCHAR) AS DOUBLE)"
+
+
 def _money(c: str) -> str:
-    return f"CAST(round(sum(CAST({c} AS DECIMAL(18,4))), 2) AS DOUBLE)"
+    return f"CAST(CAST(round({_exact(c)}, 2) AS VARCHAR) AS DOUBLE)"
 
 
 def _avg2(c: str) -> str:
@@ -169,8 +178,8 @@ CTES: dict[str, str] = {
                {_int(_clean('payment_installments'))} AS payment_installments,
                {_dbl('payment_value')} AS payment_value
         FROM raw_order_payments""",
-    "payment_totals": """
-        SELECT order_id, CAST(sum(CAST(payment_value AS DECIMAL(18,4))) AS DOUBLE) AS total_payment_value
+    "payment_totals": f"""
+        SELECT order_id, {_sum('payment_value')} AS total_payment_value
         FROM typed_payments GROUP BY order_id""",
     "kept_payments": f"""
         SELECT * FROM typed_payments
@@ -207,8 +216,8 @@ CTES: dict[str, str] = {
     "dim_seller": """
         SELECT seller_id, seller_city AS city, seller_state AS state, seller_zip_code_prefix AS zip_code
         FROM s_sellers""",
-    "spine": "SELECT CAST(unnest(generate_series(DATE '1996-01-01', DATE '1999-12-31', "
-             "INTERVAL 1 DAY)) AS DATE) AS full_date",
+    "spine": "SELECT CAST(unnest(generate_series(min(CAST(o_orderdate AS DATE)), "
+             "max(CAST(o_orderdate AS DATE)), INTERVAL 1 DAY)) AS DATE) AS full_date FROM orders",
     "dim_date": """
         SELECT CAST(strftime(full_date, '%Y%m%d') AS INTEGER) AS date_id, full_date,
                CAST(year(full_date) AS INTEGER) AS year, CAST(quarter(full_date) AS INTEGER) AS quarter,
@@ -219,10 +228,9 @@ CTES: dict[str, str] = {
     "dim_payment_type": """
         SELECT CAST(row_number() OVER (ORDER BY payment_type) AS INTEGER) AS payment_type_id, payment_type
         FROM (SELECT DISTINCT payment_type FROM s_order_payments WHERE payment_type IS NOT NULL) p""",
-    "per_order": """
+    "per_order": f"""
         SELECT order_id, count(*) AS total_items,
-               CAST(sum(CAST(price AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
-               CAST(sum(CAST(freight_value AS DECIMAL(18,4))) AS DOUBLE) AS freight_total
+               {_sum('price')} AS total_revenue, {_sum('freight_value')} AS freight_total
         FROM s_order_items GROUP BY order_id""",
     "fact_orders": f"""
         SELECT o.order_id, o.customer_id, o.order_status,
@@ -353,6 +361,47 @@ FINAL: dict[str, str] = {
                'rowcount_matches_csv' AS check_name, true AS passed,
                CAST(count(*) AS DOUBLE) AS value, CAST(count(*) AS DOUBLE) AS threshold
         FROM orders""",
+    "csv_reconciliation_lost_rows": """
+        SELECT 'bronze.orders' AS table_name, 'bronze' AS layer,
+               'rowcount_matches_csv' AS check_name, false AS passed,
+               CAST(count(*) FILTER (WHERE o_custkey % 50 <> 1) AS DOUBLE) AS value,
+               CAST(count(*) AS DOUBLE) AS threshold
+        FROM orders""",
+    "csv_columns_by_name": """
+        SELECT order_id, customer_id, order_status, order_purchase_timestamp,
+               upper(order_status) AS note
+        FROM raw_orders""",
+    "orders_outside_calendar": """
+        SELECT CAST(count(*) AS BIGINT) AS orphans FROM fact_orders f
+        WHERE NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.date_id = f.purchase_date_id)""",
+    "money_sums_of_odd_values": f"""
+        SELECT part_group, count(*) AS items,
+               CASE WHEN part_group IN (1, 2, 4) THEN sum(price)
+                    ELSE {_sum('price').replace('CAST(CAST(price', 'TRY_CAST(CAST(price')} END AS total
+        FROM (SELECT l_partkey % 40 AS part_group,
+                CASE WHEN l_partkey % 40 = 1 AND l_linenumber = 1 THEN CAST('NaN' AS DOUBLE)
+                     WHEN l_partkey % 40 = 2 AND l_linenumber = 1 THEN CAST('Infinity' AS DOUBLE)
+                     WHEN l_partkey % 40 = 3 THEN CAST(1e15 AS DOUBLE)
+                     WHEN l_partkey % 40 = 4 AND l_linenumber = 1 THEN pow(CAST(2 AS DOUBLE), 84)
+                     WHEN l_partkey % 40 = 5 THEN CAST(0.00005 AS DOUBLE)
+                     ELSE l_extendedprice END AS price
+              FROM lineitem) i
+        GROUP BY part_group""",
+    "months_in_order": f"""
+        SELECT *, row_number() OVER (ORDER BY year, month) AS place FROM (
+          SELECT d.year, d.month, {_money('f.total_revenue')} AS revenue,
+                 count(DISTINCT f.order_id) AS order_count
+          FROM fact_orders f JOIN dim_date d ON f.purchase_date_id = d.date_id
+          GROUP BY d.year, d.month) m""",
+    "categories_in_order": f"""
+        SELECT *, row_number() OVER (ORDER BY revenue DESC, category_name_english) AS place FROM (
+          SELECT p.category_name_english, {_money('i.price')} AS revenue, count(*) AS items_sold
+          FROM fact_order_items i JOIN dim_product p ON i.product_id = p.product_id
+          GROUP BY p.category_name_english) m""",
+    "integers_of_odd_text": """
+        SELECT o_orderkey, CAST([5, 5, 12, -3, 8, NULL, NULL, NULL, NULL, NULL, 0, 7]
+                                [o_orderkey % 12 + 1] AS INTEGER) AS n
+        FROM orders""",
     "refreshed_orders_table": """
         SELECT 'olist_orders_dataset.csv' AS _source_file, count(*) AS table_rows,
                2 * count(*) AS log_rows, count(*) AS rows_written, 2 * count(*) AS rows_appended
@@ -395,9 +444,9 @@ def _bronze_suite() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def _silver_suite() -> str:
-    bad_ts = ("order_purchase_timestamp < TIMESTAMP '2016-01-01 00:00:00' OR "
-              "order_purchase_timestamp > TIMESTAMP '2019-12-31 00:00:00'")
+def _silver_suite(low: str = "2016-01-01", high: str = "2019-12-31") -> str:
+    bad_ts = (f"order_purchase_timestamp < TIMESTAMP '{low} 00:00:00' OR "
+              f"order_purchase_timestamp > TIMESTAMP '{high} 00:00:00'")
     return "\nUNION ALL\n".join([
         _check_rows("silver.orders", "silver", [
             ("order_id_not_null", _count_if("order_id IS NULL"), "0", "eq"),
@@ -471,6 +520,9 @@ def _acceptance_suite() -> str:
 
 
 FINAL["dq_acceptance_suite"] = _acceptance_suite()
+FINAL["gated_refresh_results"] = "\nUNION ALL\n".join([
+    _bronze_suite(), _silver_suite("1990-01-01", "2010-12-31"), _gold_suite(),
+    _acceptance_suite()])
 
 
 def _deps(text: str) -> list[str]:

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from strata.plans.bindings import EMBEDDING_BOX, raw_sources, table
 from strata.plans.layers import DIMENSIONS, FACTS, MARTS, SILVER_TABLES, Layers
 
-# Calendar span used with the test tables (orders run 1995-2001; orders outside the
-# span drop out of the monthly mart by the inner join, as in the reference).
-TEST_CALENDAR = ("1996-01-01", "1999-12-31")
+# Calendar used with the test tables: it covers all purchase days, so that no order drops out
+# of the monthly mart by the inner join.
+TEST_CALENDAR = None
 AUDIT_COLUMNS = ["_ingested_at", "_ingest_date"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,7 +49,7 @@ def dim_date_covering_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_date_order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The calendar dimension (fixed span) with the orders purchased on each day
+    """The calendar dimension with the orders purchased on each day
     (0 on days without orders). Per-day counts are combined map-side; the result
     has one row per calendar day whatever the number of orders."""
     lay = layers(spark, sf_dir)
@@ -115,6 +115,57 @@ def events_with_user_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_group_total(events, "user_id", money_total("value"), "user_total")
 
 
+def orders_outside_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose purchase day has no calendar row (the monthly mart would lose them)."""
+    from strata.operators.joins import count_orphans
+    lay = layers(spark, sf_dir)
+    return count_orphans(lay.gold("fact_orders"), "purchase_date_id", lay.gold("dim_date"),
+                         "date_id")
+
+
+def money_sums_of_odd_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices summed per order line number and part size, with NaN, infinities, very large
+    values and five decimals put in by key: nothing is dropped, rounded or thrown."""
+    from strata.functions.columns import money_sum
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber",
+                                                 "l_extendedprice")
+    k = F.col("l_partkey") % 40
+    price = (F.when((k == 1) & (F.col("l_linenumber") == 1), F.lit(float("nan")))
+             .when((k == 2) & (F.col("l_linenumber") == 1), F.lit(float("inf")))
+             .when(k == 3, F.lit(1e15)).when((k == 4) & (F.col("l_linenumber") == 1), F.lit(2.0**84))
+             .when(k == 5, F.lit(0.00005)).otherwise(F.col("l_extendedprice")))
+    return li.groupBy(k.alias("part_group")).agg(money_sum(price).alias("total"),
+                                                 F.count(F.lit(1)).alias("items"))
+
+
+def months_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly mart with the place of each row in its final order."""
+    return _placed(layers(spark, sf_dir).mart("mart_monthly_revenue"))
+
+
+def categories_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The category ranking with the place of each row in its final order."""
+    return _placed(layers(spark, sf_dir).mart("mart_category_ranking"))
+
+
+def _placed(mart: DataFrame) -> DataFrame:
+    """``place`` counts rows as the sorted mart returns them: ids grow with partitions, which a
+    sort leaves in order, and within them; a mart has a few rows, so numbering them is cheap."""
+    from pyspark.sql import Window
+    marked = mart.withColumn("__id", F.monotonically_increasing_id())
+    return marked.withColumn("place", F.row_number().over(Window.orderBy("__id")).cast("bigint")) \
+        .drop("__id")
+
+
+def integers_of_odd_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``to_int`` on numbers written in many ways, by order key."""
+    from strata.functions.columns import to_int
+    forms = ["5", "5.7", " 12 ", "-3.9", "+8", "5d", "1e3", "", "abc", "99999999999", ".5", "7."]
+    text = F.array(*[F.lit(f) for f in forms])[
+        (F.col("o_orderkey") % len(forms)).cast("int")]
+    return table(spark, sf_dir, "orders").select("o_orderkey", to_int(text).alias("n"))
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for name in SILVER_TABLES:
@@ -131,6 +182,11 @@ def queries() -> dict[str, Query]:
     out["dq_silver_suite"] = dq_silver
     out["dq_gold_suite"] = dq_gold
     out["dq_acceptance_suite"] = dq_acceptance
+    out["orders_outside_calendar"] = orders_outside_calendar
+    out["money_sums_of_odd_values"] = money_sums_of_odd_values
+    out["months_in_order"] = months_in_order
+    out["categories_in_order"] = categories_in_order
+    out["integers_of_odd_text"] = integers_of_odd_text
     out["clean_padded_segments"] = padded_customer_segments
     out["orphan_documents_without_labels"] = documents_without_labels
     out["events_with_user_total"] = events_with_user_total

@@ -1,8 +1,11 @@
-"""Every registered query against its DuckDB oracle on the smallest driver tables."""
+"""Every query of the library against its DuckDB oracle on the smallest driver tables (the
+queries of the llm subpackage have their own tests)."""
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from strata.plans.oracle import oracle_sql
+from strata.plans.registry import queries
 
 
 def test_every_query_has_an_oracle():
