@@ -9,33 +9,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-# --- fixed values (must equal the reference's data model) -------------------------
+# --- fixed values: names, keys and bounds of the data model, down to the end of SOURCES ----
 # Layer namespaces, in pipeline order, plus the one holding quality results.
 NAMESPACES = ["bronze", "silver", "gold", "platinum", "meta"]
 
-# Source file -> table, key columns, and whether Bronze partitions it by ingest day.
-#   olist_orders_dataset.csv               orders                order_id
-#   olist_order_items_dataset.csv          order_items           order_id, order_item_id   (partitioned)
-#   olist_customers_dataset.csv            customers             customer_id
-#   olist_products_dataset.csv             products              product_id
-#   olist_sellers_dataset.csv              sellers               seller_id
-#   olist_order_payments_dataset.csv       order_payments        order_id, payment_sequential (partitioned)
-#   olist_order_reviews_dataset.csv        order_reviews         review_id                  (partitioned)
-#   olist_geolocation_dataset.csv          geolocation           geolocation_zip_code_prefix
-#   product_category_name_translation.csv  category_translation  product_category_name
-# orders is partitioned as well.
-# Geolocation bounding box kept by Silver: latitude -35..6, longitude -75..-34 (inclusive).
-# Silver purchase-time window checked by the quality gate: 2016-01-01 .. 2019-12-31 (midnight).
-# Calendar dimension default span: 2016-01-01 .. 2019-12-31.
-# Audit columns added on ingest: _ingested_at (load time), _source_file (source file name).
-# English category name of a product without a translation: unknown.
-# Quality results: table meta.dq_results with fields table_name, layer, check_name, passed,
-#   value, threshold, run_timestamp.
-# Quality check names: row_count_gt_{n}, {column}_not_null, unique_{columns joined by _},
-#   {column}_between_{low}_{high}, {column}_positive, fk_{child_key}_in_{parent_key},
-#   purchase_ts_in_range (Silver purchase window), rowcount_matches_silver_orders (Gold).
-# ---------------------------------------------------------------------------------
-
 AUDIT_TIME, AUDIT_FILE = "_ingested_at", "_source_file"
 UNKNOWN_CATEGORY = "unknown"
 DQ_RESULTS_TABLE = "dq_results"

@@ -49,40 +49,51 @@ class Layers:
         return self._get("silver.payments", lambda: silver.payments_without_total(
             self.bronze["order_payments"]))
 
-    # ---- gold ------------------------------------------------------------------------
+    # ---- gold / platinum -------------------------------------------------------------
     def gold(self, name: str) -> DataFrame:
-        builders: dict[str, Callable[[], DataFrame]] = {
-            "dim_customer": lambda: dims.dim_customer(self.silver("customers")),
-            "dim_product": lambda: dims.dim_product(self.silver("products")),
-            "dim_seller": lambda: dims.dim_seller(self.silver("sellers")),
-            "dim_date": lambda: dims.calendar(self.spark, self.calendar_span,
-                                              self.silver("orders")),
-            "dim_payment_type": lambda: dims.dim_payment_type(self.payments),
-            "fact_orders": lambda: facts.fact_orders(self.silver("orders"),
-                                                     self.silver("order_items")),
-            "fact_order_items": lambda: facts.fact_order_items(self.silver("order_items")),
-            "fact_reviews": lambda: facts.fact_reviews(self.silver("order_reviews")),
-            "fact_payments": lambda: facts.fact_payments(self.payments),
-        }
+        builders = gold_builders(self.spark, self.silver, lambda: self.payments,
+                                 self.calendar_span)
         return self._get(f"gold.{name}", builders[name])
 
-    # ---- platinum --------------------------------------------------------------------
     def mart(self, name: str) -> DataFrame:
-        g = self.gold
-        builders: dict[str, Callable[[], DataFrame]] = {
-            "mart_monthly_revenue": lambda: marts.monthly_revenue(g("fact_orders"), g("dim_date")),
-            "mart_state_performance": lambda: marts.state_performance(g("fact_orders"),
-                                                                      g("dim_customer")),
-            "mart_category_ranking": lambda: marts.category_ranking(g("fact_order_items"),
-                                                                    g("dim_product")),
-            "mart_delivery_kpi": lambda: marts.delivery_kpi(g("fact_orders")),
-            "mart_review_by_category": lambda: marts.review_by_category(
-                g("fact_reviews"), g("fact_order_items"), g("dim_product")),
-            "mart_payment_distribution": lambda: marts.payment_distribution(g("fact_payments")),
-            "mart_customer_retention": lambda: marts.customer_retention(g("fact_orders"),
-                                                                        g("dim_customer")),
-        }
-        return self._get(f"platinum.{name}", builders[name])
+        return self._get(f"platinum.{name}", mart_builders(self.gold)[name])
+
+
+Table = Callable[[str], DataFrame]
+
+
+def gold_builders(spark: SparkSession, silver: Table, payments: Callable[[], DataFrame],
+                  span: tuple[str, str] | None) -> dict[str, Callable[[], DataFrame]]:
+    """How each Gold table is built from Silver tables (found by name)."""
+    return {
+        "dim_customer": lambda: dims.dim_customer(silver("customers")),
+        "dim_product": lambda: dims.dim_product(silver("products")),
+        "dim_seller": lambda: dims.dim_seller(silver("sellers")),
+        "dim_date": lambda: dims.calendar(spark, span, silver("orders")),
+        "dim_payment_type": lambda: dims.dim_payment_type(payments()),
+        "fact_orders": lambda: facts.fact_orders(silver("orders"), silver("order_items")),
+        "fact_order_items": lambda: facts.fact_order_items(silver("order_items")),
+        "fact_reviews": lambda: facts.fact_reviews(silver("order_reviews")),
+        "fact_payments": lambda: facts.fact_payments(payments()),
+    }
+
+
+def mart_builders(gold: Table) -> dict[str, Callable[[], DataFrame]]:
+    """How each mart is built from Gold tables (found by name)."""
+    return {
+        "mart_monthly_revenue": lambda: marts.monthly_revenue(gold("fact_orders"),
+                                                              gold("dim_date")),
+        "mart_state_performance": lambda: marts.state_performance(gold("fact_orders"),
+                                                                  gold("dim_customer")),
+        "mart_category_ranking": lambda: marts.category_ranking(gold("fact_order_items"),
+                                                                gold("dim_product")),
+        "mart_delivery_kpi": lambda: marts.delivery_kpi(gold("fact_orders")),
+        "mart_review_by_category": lambda: marts.review_by_category(
+            gold("fact_reviews"), gold("fact_order_items"), gold("dim_product")),
+        "mart_payment_distribution": lambda: marts.payment_distribution(gold("fact_payments")),
+        "mart_customer_retention": lambda: marts.customer_retention(gold("fact_orders"),
+                                                                    gold("dim_customer")),
+    }
 
 
 SILVER_TABLES = ["orders", "order_items", "customers", "products", "sellers", "order_payments",

@@ -21,9 +21,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.config import CALENDAR_SPAN, DQ_RESULTS_TABLE, SOURCES
 from strata.operators.quality import DQError, gate
-from strata.plans import dims, facts, marts, silver
+from strata.plans import silver
 from strata.plans.bronze import bronze
-from strata.plans.layers import DIMENSIONS, FACTS, MARTS, SILVER_TABLES
+from strata.plans.layers import (
+    DIMENSIONS,
+    FACTS,
+    MARTS,
+    SILVER_TABLES,
+    gold_builders,
+    mart_builders,
+)
 from strata.plans.suites import (
     acceptance_suite,
     bronze_suite,
@@ -48,7 +55,8 @@ def refresh_all(spark: SparkSession, raw: Mapping[str, DataFrame] | None,
                 gates: bool = True, namespace_prefix: str = "",
                 purchase_window: tuple[str, str] | None = None,
                 parallel_writes: int = 4, start_at: str = "bronze",
-                strict_tests: bool = False, csv_dir: str | None = None) -> dict[str, int]:
+                strict_tests: bool = False, csv_dir: str | None = None,
+                stop_after: str = "platinum") -> dict[str, int]:
     """Build every table; returns ``{"layer.table": rows_written}``.
 
     ``namespace_prefix`` puts the five namespaces under other names (e.g. for a
@@ -58,7 +66,8 @@ def refresh_all(spark: SparkSession, raw: Mapping[str, DataFrame] | None,
     first, so a failed gate stays in the way; ``raw`` is only needed when starting at
     ``bronze``. Without a ``calendar_span`` the calendar covers all purchase days.
 
-    With ``csv_dir``, the folder of the source files, every written Bronze table must have
+    ``stop_after`` names the last layer to build (its gate included), so that a scheduler can
+    run a layer at a time. With ``csv_dir``, the folder of the source files, every written Bronze table must have
     as many rows as its file has records (checked with the Bronze gate).
 
     After the marts, the table tests (``acceptance_suite``) run on the written
@@ -67,7 +76,9 @@ def refresh_all(spark: SparkSession, raw: Mapping[str, DataFrame] | None,
     """
     if start_at not in LAYERS:
         raise ValueError(f"start_at must be one of {LAYERS}")
-    first = LAYERS.index(start_at)
+    if stop_after not in LAYERS[LAYERS.index(start_at):]:
+        raise ValueError(f"stop_after must be one of {LAYERS}, not before start_at")
+    first, last = LAYERS.index(start_at), LAYERS.index(stop_after)
     if first == 0 and raw is None:
         raise ValueError("raw sources are needed to start at bronze")
     ns = _names(namespace_prefix)
@@ -116,6 +127,8 @@ def refresh_all(spark: SparkSession, raw: Mapping[str, DataFrame] | None,
         results = bronze_suite(b, prefix=f"{ns['bronze']}.")
         records = source_reconciliation(spark, b, csv_dir, f"{ns['bronze']}.") if csv_dir else None
         check("bronze", results if records is None else results.unionByName(records))
+    if last == 0:
+        return counts
 
     # silver
     box = {"lat_range": geo_box["lat"], "lng_range": geo_box["lng"]} if geo_box else {}
@@ -132,19 +145,12 @@ def refresh_all(spark: SparkSession, raw: Mapping[str, DataFrame] | None,
         suite_args = {"purchase_window": purchase_window} if purchase_window else {}
         check("silver", silver_suite(s["orders"], s["order_items"], s["order_reviews"],
                                      prefix=f"{ns['silver']}.", **suite_args))
+    if last == 1:
+        return counts
 
     # gold
-    gold_jobs = {
-        "dim_customer": lambda: dims.dim_customer(s["customers"]),
-        "dim_product": lambda: dims.dim_product(s["products"]),
-        "dim_seller": lambda: dims.dim_seller(s["sellers"]),
-        "dim_date": lambda: dims.calendar(spark, calendar_span, s["orders"]),
-        "dim_payment_type": lambda: dims.dim_payment_type(s["order_payments"]),
-        "fact_orders": lambda: facts.fact_orders(s["orders"], s["order_items"]),
-        "fact_order_items": lambda: facts.fact_order_items(s["order_items"]),
-        "fact_reviews": lambda: facts.fact_reviews(s["order_reviews"]),
-        "fact_payments": lambda: facts.fact_payments(s["order_payments"]),
-    }
+    gold_jobs = gold_builders(spark, lambda name: s[name], lambda: s["order_payments"],
+                              calendar_span)
     if first > 2:
         g = written("gold", DIMENSIONS + FACTS)
     else:
@@ -153,21 +159,11 @@ def refresh_all(spark: SparkSession, raw: Mapping[str, DataFrame] | None,
         check("gold", gold_suite(g["fact_orders"], g["fact_order_items"], g["dim_customer"],
                                  g["dim_product"], g["dim_seller"], s["orders"],
                                  prefix=f"{ns['gold']}."))
+    if last == 2:
+        return counts
 
     # platinum
-    mart_jobs = {
-        "mart_monthly_revenue": lambda: marts.monthly_revenue(g["fact_orders"], g["dim_date"]),
-        "mart_state_performance": lambda: marts.state_performance(g["fact_orders"],
-                                                                  g["dim_customer"]),
-        "mart_category_ranking": lambda: marts.category_ranking(g["fact_order_items"],
-                                                                g["dim_product"]),
-        "mart_delivery_kpi": lambda: marts.delivery_kpi(g["fact_orders"]),
-        "mart_review_by_category": lambda: marts.review_by_category(
-            g["fact_reviews"], g["fact_order_items"], g["dim_product"]),
-        "mart_payment_distribution": lambda: marts.payment_distribution(g["fact_payments"]),
-        "mart_customer_retention": lambda: marts.customer_retention(g["fact_orders"],
-                                                                    g["dim_customer"]),
-    }
+    mart_jobs = mart_builders(lambda name: g[name])
     write_all("platinum", {name: mart_jobs[name] for name in MARTS})
 
     if gates:
