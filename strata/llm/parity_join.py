@@ -7,25 +7,31 @@ shingles are in one of them only.
 * Sketch: each shingle flips one bit of a long bit vector, so the Hamming distance of two
   sketches is at most the number of shingles in one set only.
 * Size bands: sets that can be linked lie in the same band or in neighbouring ones. For a band
-  and the next, D is the largest difference a linked pair can have; the vector is cut into D + 1
-  segments, so a linked pair has an equal segment (pigeonhole). A segment of 2**20 bits is sent
-  as the XOR of a random number for each bit set, which equal segments share.
-* Join: equal segments make candidates. A task links the sets that it has of a segment to the
-  least of them and sends only that one on; so a segment of a great many near copies has one
-  entry a task, and candidates are stars, not all pairs.
+  and the next, D is the largest difference a linked pair can have; the vector is cut into
+  D + 1 + E segments, so a linked pair has E + 1 equal segments (pigeonhole), and one with shingles
+  in it unless both sets have more than E empty segments. Empty segments are therefore sent only
+  for sets with more than E of them. A segment of 2**20 bits is sent as the XOR of a random
+  number for each bit set, which equal segments share.
+* Join: the sets of an equal segment are all put beside the least of them (its centre), one row a
+  set and centre, however many segments they share. Sets that meet at a centre are compared by
+  sketches of a few bits a shingle, folded to the same length; those whose Hamming distance is too
+  large are no candidates. A spanning forest of the others goes on. (If one task holds over ``HOT``
+  sets of a segment, it sends on only the least; the others go to the next step unfiltered.)
 * Verify: sets of a candidate component meet in tiles of bounded size (every pair in some tile) and
   are compared exactly; a tile returns a spanning forest of the links it has found. Components of
-  these forests are those of all links.
+  these forests are those of all links. Centres with many sets are cut into tiles, too.
 
 Equal sets count once: copies of a text are one set throughout.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
@@ -39,8 +45,13 @@ PERCENT = 90
 BUCKET_BYTES = 16 << 20
 SEGMENT_BITS = 20
 TILE = 4096
-# keys gathered by a task before it links and sends them
+# keys gathered by a task before it sends them, and sets of one key that it sends one by one
 FLUSH = 2_000_000
+HOT = 50_000
+# bits of a set's own sketch for each shingle, at least, and its least length
+SKETCH_BITS, SKETCH_LEAST = 4, 256
+# bits of the filter that keeps other rows out of exact joins (8 MB)
+FILTER_BITS = 1 << 26
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -71,22 +82,32 @@ def shingle_sets(column, size: int) -> list[np.ndarray]:
 
 
 @lru_cache(maxsize=4)
-def bands(percent: int) -> tuple[list[int], list[int]]:
-    """First size of each band; segments for a band together with the next."""
+def bands(percent: int) -> tuple[list[int], list[int], list[int]]:
+    """First size of each band; segments for a band together with the next, and how many of them
+    may be empty in a set (E; more are rare in sets of these sizes)."""
     first = [1]
     while first[-1] < 1 << 31:
         first.append(first[-1] * 100 // percent + 1)
-    segments = []
-    for after in first[1:]:
+    segments, empty = [], []
+    for least, after in zip(first[:-1], first[1:], strict=True):
         small = after - 1
         large = small * 100 // percent
-        segments.append((small + large) * (100 - percent) // (100 + percent) + 1)
-    return first, segments
+        need = (small + large) * (100 - percent) // (100 + percent) + 1
+        spare = 0
+        for _ in range(30 if need > 1 else 0):
+            some = (need + spare) * math.exp(-least / (need + spare))
+            wanted = math.ceil(some + 3 * math.sqrt(some))
+            if wanted <= spare or wanted > need:
+                break
+            spare = wanted
+        segments.append(need + spare)
+        empty.append(spare)
+    return first, segments, empty
 
 
 def segment_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
     """A key for each segment of the sketches of a set: for its band and for the band before."""
-    first, segments = bands(percent)
+    first, segments, empty = bands(percent)
     band = int(np.searchsorted(first, len(shingles), "right")) - 1
     bit = mix(shingles ^ _B) & np.uint64((1 << SEGMENT_BITS) - 1)
     number = mix(bit + _A)
@@ -99,10 +120,35 @@ def segment_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
         begins = np.flatnonzero(np.append(True, segment[1:] != segment[:-1]))
         parity[segment[begins].astype(np.int64)] = np.bitwise_xor.reduceat(number, begins)
         place = np.arange(count, dtype=np.uint64) + np.uint64(b << 32)
-        out.append(mix(parity + mix(place + _A)))
+        keys = mix(parity + mix(place + _A))
+        full = np.zeros(count, bool)
+        full[segment[begins].astype(np.int64)] = True
+        out.append(keys[full])
+        if count - full.sum() > empty[b]:
+            out.append(mix(place[~full] + _B))
     return np.concatenate(out)
 
 
+def own_sketch(shingles: np.ndarray) -> bytes:
+    """The parity sketch of a set for comparing it with others: a power of two of bits."""
+    bits = SKETCH_LEAST
+    while bits < SKETCH_BITS * len(shingles):
+        bits *= 2
+    at = (mix(shingles + _B) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words, longer ones folded (XOR of halves, which is the sketch
+    with half the bits) to the length of the shortest."""
+    length = min(map(len, sketches))
+    out = np.empty((len(sketches), length // 8), np.uint64)
+    for i, s in enumerate(sketches):
+        row = np.frombuffer(s, np.uint64)
+        out[i] = np.bitwise_xor.reduce(row.reshape(-1, length // 8), axis=0)
+    return out
+
+
 def _print(shingles: np.ndarray) -> bytes:
     """A 128-bit fingerprint of a set."""
     return np.array([mix(shingles).sum(dtype=np.uint64),
@@ -120,12 +166,12 @@ def _stars(keys: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return keys[begins], sets[begins], links
 
 
-_FIELDS = ["id", "text_key", "n", "print", "bucket", "payload"]
+_FIELDS = ["id", "text_key", "n", "print", "sketch", "bucket", "payload"]
 
 
 def _mapped(id_type: pa.DataType, rows: dict) -> pa.RecordBatch:
     n = max(len(v) for v in rows.values())
-    types = [id_type, pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.binary()]
+    types = [id_type, pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
     return pa.RecordBatch.from_arrays(
         [pa.nulls(n, t) if f not in rows else
          rows[f].cast(t) if isinstance(rows[f], pa.Array) else pa.array(rows[f], t)
@@ -133,15 +179,16 @@ def _mapped(id_type: pa.DataType, rows: dict) -> pa.RecordBatch:
 
 
 def _sketched(batches, buckets: int, percent: int, size: int) -> Iterator[pa.RecordBatch]:
-    """A row for each document; for each bucket the keys, with the least set of each; links."""
+    """A row for each document; for each bucket the keys and their sets."""
     keys, sets, held, seen = [], [], 0, 0
     id_type = None
     for part in chunks(batches, "text"):
         id_type = part.column("id").type
-        numbers, prints = [], []
+        numbers, prints, sketches = [], [], []
         for s in shingle_sets(part.column("text"), size):
             numbers.append(len(s))
             prints.append(_print(s) if len(s) else None)
+            sketches.append(own_sketch(s) if len(s) else None)
             if len(s):
                 k = segment_keys(s, percent)
                 keys.append(k)
@@ -150,7 +197,7 @@ def _sketched(batches, buckets: int, percent: int, size: int) -> Iterator[pa.Rec
         where = (np.arange(part.num_rows) + seen) % buckets
         seen += part.num_rows
         yield _mapped(id_type, {"id": part.column("id"), "text_key": part.column("text_key"),
-                                "n": numbers, "print": prints, "bucket": where})
+                                "n": numbers, "print": prints, "sketch": sketches, "bucket": where})
         if held >= FLUSH:
             yield _sent(id_type, keys, sets, buckets)
             keys, sets, held = [], [], 0
@@ -159,7 +206,19 @@ def _sketched(batches, buckets: int, percent: int, size: int) -> Iterator[pa.Rec
 
 
 def _sent(id_type, keys, sets, buckets: int) -> pa.RecordBatch:
-    key, least, links = _stars(np.concatenate(keys), np.concatenate(sets))
+    key, least = np.concatenate(keys), np.concatenate(sets)
+    order = np.lexsort((least, key))
+    key, least = key[order], least[order]
+    new = np.append(True, (key[1:] != key[:-1]) | (least[1:] != least[:-1]))
+    key, least = key[new], least[new]  # a copy of a set adds nothing
+    begins = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    size = np.diff(np.append(begins, len(key)))
+    hot = np.repeat(size > HOT, size)
+    hot[begins] = False
+    links = _stars(key[np.repeat(size > HOT, size)], least[np.repeat(size > HOT, size)])[2] \
+        if hot.any() else np.zeros((0, 2), np.int64)
+    hot_keys = np.unique(key[hot])
+    key, least = key[~hot], least[~hot]
     bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     cuts = np.searchsorted(bucket, np.arange(buckets + 1))  # keys are sorted
     numbers, payload = [], []
@@ -167,6 +226,10 @@ def _sent(id_type, keys, sets, buckets: int) -> pa.RecordBatch:
         if j > i:
             numbers.append(b)
             payload.append(b"K" + key[i:j].tobytes() + least[i:j].tobytes())
+            mine = hot_keys[np.isin(hot_keys, key[i:j])]
+            if len(mine):
+                numbers.append(b)
+                payload.append(b"H" + mine.tobytes())
     if len(links):
         numbers.append(int(key[0] % np.uint64(buckets)))
         payload.append(b"L" + links.tobytes())
@@ -174,31 +237,97 @@ def _sent(id_type, keys, sets, buckets: int) -> pa.RecordBatch:
 
 
 def _met(table: pa.Table) -> pa.Table:
-    """Of one bucket: its documents as they came, and the links of its keys."""
+    """Of one bucket: its documents as they came; each set with the centre of a key (a, b);
+    links that are not to be filtered (kept)."""
     payload = table["payload"]
-    docs = table.filter(pa.compute.is_null(payload)).select(["id", "text_key", "n", "print"])
-    links, keys, sets = [np.zeros((0, 2), np.int64)], [], []
+    docs = table.filter(pa.compute.is_null(payload)).select(["id", "text_key", "n", "print", "sketch"])
+    links, kept, keys, sets, hot = np.zeros((0, 2), np.int64), [], [], [], []
     for p in payload.drop_null().to_pylist():
         if p[:1] == b"L":
-            links.append(np.frombuffer(p, np.int64, offset=1).reshape(-1, 2))
+            kept.append(np.frombuffer(p, np.int64, offset=1).reshape(-1, 2))
+        elif p[:1] == b"H":
+            hot.append(np.frombuffer(p, np.uint64, offset=1))
         else:
             n = (len(p) - 1) // 16
             keys.append(np.frombuffer(p, np.uint64, n, 1))
             sets.append(np.frombuffer(p, np.int64, n, 1 + 8 * n))
     if keys:
-        links.append(_stars(np.concatenate(keys), np.concatenate(sets))[2])
-    links = np.unique(np.concatenate(links), axis=0)
+        key, least = np.concatenate(keys), np.concatenate(sets)
+        if hot:  # its other sets are not here to be compared: all of them stay linked
+            among = np.isin(key, np.concatenate(hot))
+            kept.append(_stars(key[among], least[among])[2])
+            key, least = key[~among], least[~among]
+        links = _stars(key, least)[2] if len(key) else links
+    plain = len(links)
+    links = np.concatenate([links, *kept])
     none = docs.num_rows
     out = {"id": pa.chunked_array([*docs["id"].chunks, pa.nulls(len(links), docs["id"].type)],
                                   docs["id"].type),
            "text_key": pa.array([*docs["text_key"].to_pylist(), *[None] * len(links)], pa.binary()),
            "n": pa.array([*docs["n"].to_pylist(), *[None] * len(links)], pa.int64()),
            "print": pa.array([*docs["print"].to_pylist(), *[None] * len(links)], pa.binary()),
+           "sketch": pa.array([*docs["sketch"].to_pylist(), *[None] * len(links)], pa.binary()),
+           "kept": pa.array([*[None] * none, *[False] * plain,
+                             *[True] * (len(links) - plain)], pa.bool_()),
            "a": pa.array([*[None] * none, *links[:, 0].tolist()], pa.int64()),
            "b": pa.array([*[None] * none, *links[:, 1].tolist()], pa.int64())}
     return pa.table(out)
 
 
+def _near(table: pa.Table, percent: int) -> pa.Table:
+    """Of one tile or several centres: a spanning forest, for each centre, of the pairs whose
+    sketches are near enough for a link."""
+    centre = table["centre"].to_numpy()
+    order = np.argsort(centre, kind="stable")
+    node, size = table["node"].to_numpy()[order], table["n"].to_numpy()[order]
+    sketches = table["sketch"].to_pylist()
+    cuts = np.flatnonzero(np.append(True, centre[order][1:] != centre[order][:-1]))
+    found: list[tuple[int, int]] = []
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)], strict=True):
+        words = folded([sketches[i] for i in order[a:b].tolist()])
+        names, n = node[a:b], size[a:b]
+        left = np.arange(b - a)
+        while len(left) > 1:
+            queue, left = [left[0]], left[1:]
+            while queue and len(left):
+                x = queue.pop()
+                apart = np.bitwise_count(words[left] ^ words[x]).sum(axis=1, dtype=np.int64)
+                near = apart * (100 + percent) <= (n[left] + n[x]) * (100 - percent)
+                queue.extend(left[near].tolist())
+                found.extend((int(names[x]), y) for y in names[left[near]].tolist())
+                left = left[~near]
+    return pa.table({"a": pa.array([x for x, _ in found], pa.int64()),
+                     "b": pa.array([y for _, y in found], pa.int64())})
+
+
+def _candidates(met: DataFrame, percent: int, tile: int, buckets: int) -> DataFrame:
+    """Edges (a, b) between sets that may be linked, such that every linked pair is connected."""
+    edges = met.where("not kept").select("a", "b").distinct()
+    members = edges.select(F.col("b").alias("centre"), F.col("a").alias("node")) \
+        .union(edges.select("b", "b").distinct())
+    sets = met.where("print is not null").withColumn("node", _first_number("print")) \
+        .groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    tiles = members.groupBy("centre").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("tiles"))
+    members = members.join(tiles, "centre").join(sets, "node")
+    mine = F.pmod(F.xxhash64("node"), F.col("tiles"))
+    members = members.withColumn("mine", mine).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    large = F.col("tiles") > 1
+    members = members.select(
+        "centre", "node", "n", "sketch", large.alias("large"),
+        # small centres are worked on many at a time
+        F.when(large, F.col("centre")).otherwise(
+            F.pmod(F.xxhash64("centre"), F.lit(4 * buckets))).alias("place"),
+        F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"))
+
+    def near(table: pa.Table) -> pa.Table:
+        return _near(table, percent)
+
+    return members.groupBy("large", "place", "x", "y").applyInArrow(near, "a bigint, b bigint") \
+        .union(met.where("kept").select("a", "b"))
+
+
 def _forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the links between the sets: breadth first, comparing a set with all
     that are not reached yet by counting its shingles in theirs."""
@@ -251,19 +380,20 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, percent: int, shingle:
     def sketched(batches):
         return _sketched(batches, buckets, percent, shingle)
 
-    shape = f"id {id_type}, text_key binary, n bigint, print binary"
+    shape = f"id {id_type}, text_key binary, n bigint, print binary, sketch binary"
     met = rows.mapInArrow(sketched, shape + ", bucket bigint, payload binary") \
-        .groupBy("bucket").applyInArrow(_met, shape + ", a bigint, b bigint")
+        .groupBy("bucket").applyInArrow(_met, shape + ", kept boolean, a bigint, b bigint")
     met = materialise(met, "parity-join")
     every = met.where("n is not null").select("id", "text_key", "n", "print")
-    near = components(met.where("n is null").select("a", "b"))
+    near = components(_candidates(met, percent, tile, buckets))
 
     # one text of each set in a candidate component of two sets or more
     sets = every.where("print is not null").groupBy("print").agg(F.min("text_key").alias("text_key"))
     sets = sets.withColumn("node", _first_number("print")).join(near, "node")
     tiles = sets.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("tiles"))
     sets = sets.join(tiles, "root").select("text_key", "root", "tiles", "print")
-    found = rows.groupBy("text_key").agg(F.first("text").alias("text")).join(sets, "text_key")
+    found = _probably_in(rows, sets, ["text_key"])[0].groupBy("text_key") \
+        .agg(F.first("text").alias("text")).join(sets, "text_key")
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text"):
@@ -310,6 +440,28 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .alias("component_id"))
 
 
+def _probably_in(rows: DataFrame, wanted: DataFrame,
+                 keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two parts: those whose keys may be among the ``wanted`` (all that are, and few
+    others), and those whose keys are not. The filter is a bit for each hash of a wanted key, of
+    ``FILTER_BITS`` bits however many keys there are; what it lets through is joined exactly."""
+    place = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
+    words = wanted.select(place.alias("place")).groupBy(
+        F.floor(F.col("place") / 64).cast("int").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(place % 64 as int))")).alias("bits")).toArrow()
+    bits = np.zeros(FILTER_BITS // 64, np.uint64)
+    bits[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def among(place: pd.Series) -> pd.Series:
+        at = place.to_numpy().astype(np.uint64)
+        word = shared.value[(at // np.uint64(64)).astype(np.int64)]
+        return pd.Series((word >> (at % np.uint64(64))) & np.uint64(1) == 1)
+
+    return rows.where(among(place)), rows.where(~among(place))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              percent: int = PERCENT, shingle: int = SHINGLE,
              bucket_bytes: int = BUCKET_BYTES, tile: int = TILE) -> DataFrame:
@@ -323,9 +475,18 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select(F.col("k.id").alias("best_id"), F.col("k.text_key").alias("best_key"))
     best = best.union(every.where("class is null").select("id", "text_key").distinct())
     keyed = docs.withColumn(key, F.unhex(F.md5(F.coalesce(docs[text_col], F.lit("")).cast("binary"))))
-    kept = keyed.join(best, keyed[id_col].eqNullSafe(best["best_id"])
-                      & (keyed[key] == best["best_key"]), "left_semi")
-    return kept.dropDuplicates([id_col, key]).select(*docs.columns)
+    # most rows are alone in their group and not repeated: only the others are shuffled
+    each = every.groupBy("class", "id", "text_key").agg(F.count(F.lit(1)).alias("rows"))
+    grouped = each.where("class is not null").groupBy("class").agg(
+        F.sum("rows").alias("members")).where("members > 1")
+    others = each.join(grouped, "class").select("id", "text_key").union(
+        each.where("class is null and rows > 1").select("id", "text_key"))
+    maybe, alone = _probably_in(
+        keyed, others.select(F.col("id").alias(id_col), F.col("text_key").alias(key)), [id_col, key])
+    kept = maybe.join(best, maybe[id_col].eqNullSafe(best["best_id"])
+                      & (maybe[key] == best["best_key"]), "left_semi")
+    return kept.dropDuplicates([id_col, key]).select(*docs.columns) \
+        .unionByName(alone.select(*docs.columns))
 
 
 def _first_number(column: str):
