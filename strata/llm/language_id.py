@@ -97,7 +97,8 @@ def _sample(rows: DataFrame, size: int) -> DataFrame:
     n = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     draw = F.xxhash64(F.lit(11), "id", "text")
     share = (draw.cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
-    thin = rows.join(n, "lang").where(share * F.col("n") <= 2.0 * size) \
+    # one row a language: the model itself holds weights for each of them on the driver
+    thin = rows.join(F.broadcast(n), "lang").where(share * F.col("n") <= 2.0 * size) \
         .withColumn("draw", draw)
     return thin.selectExpr("*", "row_number() over (partition by lang order by draw) as place") \
         .where(F.col("place") <= size).select("lang", "text", "draw")
