@@ -46,7 +46,7 @@ BUCKET_BYTES = 16 << 20
 SEGMENT_BITS = 20
 TILE = 4096
 # keys gathered by a task before it sends them, and sets of one key that it sends one by one
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 HOT = 50_000
 # bits of a set's own sketch for each shingle, at least, and its least length
 SKETCH_BITS, SKETCH_LEAST = 4, 256

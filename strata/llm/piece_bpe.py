@@ -37,7 +37,7 @@ MARK = "▁"
 NONE = np.int32(2**31 - 1)
 ROUNDS = 200
 # distinct units kept by a task; beyond it the store starts anew (the result is the same)
-STORE = 200_000
+STORE = 100_000
 _UNITS = re.compile(rb" *[^ ]+| +")
 
 
