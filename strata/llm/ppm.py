@@ -1,18 +1,21 @@
 """Language-model scoring by prediction by partial matching (operator 1).
 
-The model is a trie of byte contexts, pretrained on the whole training part of the corpus. A
-context of up to ``DEPTH`` bytes is a node if it makes up at least ``SHARE`` of the training
-bytes (contexts of one byte always are), so a depth has at most 1 / SHARE nodes, whatever the
-corpus. The trie grows a depth a pass: tasks count, for every node, the symbols after it and
-the bytes before it, Spark sums the counts, and the frequent extensions become nodes.
+The model is every context of up to ``DEPTH`` bytes that the training part of the corpus holds, with
+the symbols seen after it, so it grows with the corpus; no context is left out. Contexts of up to
+``LOW`` bytes (at most 257 + 257**2) are a trie that every task holds. The longer ones are a
+Spark table: a block of documents sends each different gram (a context of DEPTH bytes and the
+symbol after it) once, with its count in training rows, to the part that owns the LOW + 1 bytes
+next to the symbol. All longer contexts that end in these bytes meet there, so the part sums the
+counts, works out the cost of every gram, and sends each block the costs of its own grams. No task
+holds the model.
 
 A symbol is a byte of the lower-cased (A-Z) text, or the end of the text. Its probability is that
 of PPM with escape method C and symbol exclusion: in the longest context of the trie, a symbol
 seen n times in N, among T different ones, has n / (N + T); the escape, T / (N + T), leads to the
 context one byte shorter, in which symbols of the longer one are left out of N and T; below the
-empty context all remaining symbols are alike. As the model does not change while it scores,
-these sums are done once, into a table of costs by node and symbol; scoring a text is one table
-look-up per depth and symbol, and its code length is the sum of the costs.
+empty context all remaining symbols are alike. The symbols of a context are among those of each
+shorter one, so the cost needs, of each context, only N, T, and E: the count its symbols have
+after the context one byte shorter.
 
 The base counts of words travel by blocks of documents: a block sends each different word once,
 and gets back the words' counts in the training part; no task holds the vocabulary.
@@ -20,12 +23,12 @@ and gets back the words' counts in the training part; no task holds the vocabula
 
 from __future__ import annotations
 
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +38,7 @@ from strata.llm.common import (
     chunks,
     earlier,
     materialise,
+    mix,
     row_sums,
     summed_cells,
     text_buffers,
@@ -42,8 +46,9 @@ from strata.llm.common import (
     training_rows,
 )
 
-DEPTH = 4
-SHARE = 2.0**-17
+DEPTH = 5
+LOW = 2
+BITS = 9  # of a symbol in a gram's number; DEPTH + 1 symbols have at most 63 bits
 SYMBOLS = 257  # 256 bytes and the end
 END = 256
 BLOCK_BYTES = 16 << 20
@@ -172,8 +177,9 @@ def learn(trie: Trie, depth: int, counted: np.ndarray, last: bool, share: float)
         trie.grow(at + trie.first[depth], added)
 
 
-def fit(rows: DataFrame, depth: int = DEPTH, share: float = SHARE) -> Trie:
-    """The trie of all texts of ``rows`` (column text), of ``depth`` bytes at least 1."""
+def fit(rows: DataFrame, depth: int = LOW, share: float = 0.0) -> Trie:
+    """The trie of all texts of ``rows`` (column text), of ``depth`` bytes at least 1; a context
+    is a node if it makes up at least ``share`` of the symbols (0: if it occurs)."""
     trie = Trie()
     trie.grow(np.full(SYMBOLS, ROOT), np.arange(SYMBOLS))
     for d in range(1, depth + 1):
@@ -193,6 +199,158 @@ def _counted(rows: DataFrame, trie: Trie, depth: int) -> DataFrame:
     return rows.select("text").mapInArrow(run, "cell bigint, n bigint")
 
 
+def grams_of(symbols: np.ndarray, offsets: np.ndarray, depth: int) -> np.ndarray:
+    """For each symbol the number of its gram: the ``depth`` symbols before it, the nearest first,
+    and the symbol."""
+    out = np.zeros(len(symbols), np.int64)
+    for k in range(1, depth + 1):
+        out = (out << BITS) | earlier(symbols, offsets, k, END)
+    return (out << BITS) | symbols
+
+
+def summed(grams: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different grams in order, and the sum of the counts of each."""
+    order = np.argsort(grams, kind="stable")
+    grams = grams[order]
+    first = np.flatnonzero(np.diff(grams, prepend=-1))
+    return grams[first], np.add.reduceat(n[order], first) if len(first) else n[:0]
+
+
+class GramCounts:
+    """The different grams of a block with their occurrences in training rows."""
+
+    def __init__(self):
+        self.pieces, self.waiting, self.most = [], 0, 4 << 20
+
+    def add(self, grams: np.ndarray, train: np.ndarray) -> None:
+        known, n = np.unique(grams[train], return_counts=True)
+        asked = np.unique(grams[~train])
+        self.pieces += [(known, n), (asked, np.zeros(len(asked), np.int64))]
+        self.waiting += len(known) + len(asked)
+        if self.waiting > self.most:
+            self.pieces = [self.result()]
+            self.waiting = len(self.pieces[0][0])
+            self.most = 2 * self.waiting + (4 << 20)
+
+    def result(self) -> tuple[np.ndarray, np.ndarray]:
+        return summed(*(np.concatenate(x) for x in zip(*self.pieces, strict=True)))
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """64-bit numbers with their bytes of equal weight side by side, which Spark's compression
+    shortens."""
+    return numbers.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8).reshape(8, -1).T.copy().view(np.int64).ravel()
+
+
+def _pack_grams(grams: np.ndarray) -> bytes:
+    return _packed(np.diff(grams, prepend=0))
+
+
+def _unpack_grams(raw: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(raw))
+
+
+def _block_grams(depth: int, parts: int):
+    """(block, part, grams, n): the different grams of each block, by the parts that own them."""
+    rest = BITS * (depth - min(depth, LOW + 1) + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, GramCounts] = {}
+        for piece in chunks(batches, "text"):
+            symbols, offsets = symbols_of(piece.column("text"))
+            grams = grams_of(symbols, offsets, depth)
+            train = piece.column("train").to_numpy(zero_copy_only=False).astype(bool)
+            block = piece.column("block").to_numpy(zero_copy_only=False)
+            lengths = np.diff(offsets)
+            for b in np.unique(block).tolist():
+                here = np.repeat(block == b, lengths)
+                seen.setdefault(b, GramCounts()).add(grams[here], np.repeat(train, lengths)[here])
+        for b in list(seen):
+            grams, n = seen.pop(b).result()
+            part = (mix((grams >> rest).astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            cut = np.flatnonzero(np.diff(part[order], prepend=-1)).tolist()
+            for i, j in zip(cut, [*cut[1:], len(order)], strict=True):
+                at = order[i:j]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b], pa.int64()), pa.array([int(part[at[0]])], pa.int64()),
+                     pa.array([_pack_grams(grams[at])], pa.binary()),
+                     pa.array([_packed(n[at])], pa.binary())], ["block", "part", "grams", "n"])
+
+    return run
+
+
+class Low:
+    """The trie's counts as the costs of grams need them."""
+
+    def __init__(self, trie: Trie):
+        self.child, self.first, self.counts = trie.child, trie.first, trie.counts
+        self.total = [c.sum(axis=1) for c in trie.counts]
+        self.kinds = [(c > 0).sum(axis=1) for c in trie.counts]
+        self.shorter = [np.zeros(1, np.int64)]
+        for d in range(1, len(trie.counts)):
+            above = trie.counts[d - 1][trie.parent[d] - trie.first[d - 1]]
+            self.shorter.append(np.where(trie.counts[d] > 0, above, 0).sum(axis=1))
+
+    def depth(self, d: int, grams: np.ndarray, depth: int) -> list[np.ndarray]:
+        """Of the contexts of ``d`` bytes: n of the symbol, N, T and E."""
+        if d >= len(self.counts):
+            return [np.zeros(len(grams), np.int64)] * 4
+        node = np.full(len(grams), ROOT, np.int64)
+        for k in range(d):
+            node = self.child[node, (grams >> (BITS * (depth - k))) & (2**BITS - 1)]
+        at = node - self.first[d]
+        known, at = node != DEAD, np.maximum(at, 0)
+        return [np.where(known, x, 0) for x in
+                (self.counts[d][at, grams & (2**BITS - 1)], self.total[d][at], self.kinds[d][at],
+                 self.shorter[d][at])]
+
+
+def gram_costs(low: Low, grams: np.ndarray, n: np.ndarray, depth: int) -> np.ndarray:
+    """log10 probability of each of the different ``grams`` seen ``n`` times; with any of them
+    there must be all others whose context has the same LOW + 1 nearest bytes."""
+    symbol = grams & (2**BITS - 1)
+    found = [low.depth(d, grams, depth) for d in range(min(depth, LOW) + 1)]
+    for d in range(len(found), depth + 1):
+        key, first, of = np.unique(grams >> (BITS * (depth - d + 1)) << BITS | symbol,
+                                   return_index=True, return_inverse=True)
+        count = np.bincount(of, n, len(key)).astype(np.int64)
+        context = np.cumsum(np.diff(key >> BITS, prepend=-1) != 0) - 1
+        above = np.where(count > 0, found[d - 1][0][first], 0)
+        total, kinds, shorter = (np.bincount(context, x).astype(np.int64)
+                                 for x in (count, count > 0, above))
+        at = context[of]
+        found.append([count[of], total[at], kinds[at], shorter[at]])
+    cost = np.zeros(len(grams))
+    searching = np.ones(len(grams), bool)
+    left_out, spent = 0, 0  # of the context one byte longer: its T and E
+    for own, total, kinds, shorter in reversed(found):
+        more = kinds - left_out
+        norm = np.log10(np.maximum(total - spent + more, 1))
+        here = searching & (own > 0)
+        cost[here] += (np.log10(np.maximum(own, 1)) - norm)[here]
+        searching &= ~here
+        escape = searching & (more > 0)
+        cost[escape] += (np.log10(np.maximum(more, 1)) - norm)[escape]
+        left_out, spent = kinds, shorter
+    return np.where(searching, cost - np.log10(np.maximum(SYMBOLS - left_out, 1)), cost)
+
+
+def _answer(low: Low, depth: int, asked: pa.Table) -> pa.Table:
+    """The costs of the grams that the blocks sent to a part."""
+    sent = [_unpack_grams(g) for g in asked["grams"].to_pylist()]
+    grams, n = summed(np.concatenate(sent),
+                      np.concatenate([_unpacked(x) for x in asked["n"].to_pylist()]))
+    cost = gram_costs(low, grams, n, depth).astype(np.float32)
+    return pa.table({
+        "block": asked["block"], "grams": asked["grams"],
+        "costs": pa.array([cost[np.searchsorted(grams, g)].tobytes() for g in sent], pa.binary())})
+
+
 def _tokens(text: bytes) -> list[bytes]:
     """Words, and the end, which no word equals."""
     return [*text.lower().split(), b""]
@@ -220,7 +378,8 @@ def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Scorer:
-    """Scores the rows of a block, given the counts of its words."""
+    """Scores texts under a trie alone, by its table of costs: the same model where the trie holds
+    every context."""
 
     def __init__(self, child: np.ndarray, first: list[int], costs: np.ndarray):
         self.trie = Trie()
@@ -235,7 +394,27 @@ class Scorer:
             out.append(row_sums(self.costs[node * np.int32(SYMBOLS) + symbols], offsets))
         return np.concatenate(out) if out else np.zeros(0)
 
-    def block(self, docs: pa.Table, words: pa.Table) -> pa.Table:
+
+def gram_scores(docs: pa.Table, costs: pa.Table, depth: int) -> np.ndarray:
+    """The score of every row, given the costs of the block's grams."""
+    if docs.num_rows == 0:
+        return np.zeros(0)
+    grams = np.concatenate([_unpack_grams(g) for g in costs["grams"].to_pylist()])
+    cost = np.concatenate([np.frombuffer(c, np.float32) for c in costs["costs"].to_pylist()])
+    order = np.argsort(grams)
+    grams, cost, out = grams[order], cost[order], []
+    for part in chunks(iter(docs.to_batches()), "text"):
+        symbols, offsets = symbols_of(part.column("text"))
+        asked, of = np.unique(grams_of(symbols, offsets, depth), return_inverse=True)
+        out.append(row_sums(cost[np.searchsorted(grams, asked)][of], offsets))
+    return np.concatenate(out)
+
+
+def block_scores(depth: int):
+    """Scores the rows of a block, given the counts of its words and the costs of its grams."""
+    def run(docs: pa.Table, facts: pa.Table) -> pa.Table:
+        is_word = pc.is_valid(facts["word"])
+        words, costs = facts.filter(is_word), facts.filter(pc.invert(is_word))
         count = dict(zip(words["word"].to_pylist(), words["total"].to_pylist(), strict=True))
         split = [_tokens(t) for t in texts(docs["text"])]
         n_tokens = np.array([len(w) for w in split], np.int64)
@@ -251,27 +430,18 @@ class Scorer:
             "id": docs["id"], "train": docs["train"], "n_tokens": n_tokens,
             "n_known": row_sums(c > 0, offsets).astype(np.int64),
             "log_counts": row_sums(np.log10(c + 1.0), offsets),
-            "score": self.text_scores(docs), "block_tokens": tokens, "block_kinds": kinds})
-
-
-_SCORERS: dict = {}
-
+            "score": gram_scores(docs, costs, depth), "block_tokens": tokens, "block_kinds": kinds})
 
-def _worker_scorer(name: str, shared) -> Scorer:
-    """The model, unpacked once in a worker process."""
-    if name not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[name] = Scorer(*shared.value)
-    return _SCORERS[name]
+    return run
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
-          share: float = SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+          block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Every row of ``docs`` with its scores, learned from the rows whose id is not held out
     (crc32 of the id as text, 2 modulo 7).
 
     Returns id (named ``id_col``), held_out, n_tokens, n_known, train_tokens, base_score, score
-    (log10 probability of the text under the trie). Null
+    (log10 probability of the text under the contexts of up to ``depth`` bytes, 1 to 6). Null
     and empty texts are one end token; null ids count as the empty text; repeated rows stay and
     count; without training rows all symbols are alike; other columns are not read.
     """
@@ -279,10 +449,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
     rows = docs.select(docs[id_col].alias("id"),
                        F.coalesce(docs[text_col], F.lit("")).alias("text"),
                        training_rows(id_col, 7, 2).alias("train"))
-    trie = fit(rows.where("train"), depth, share)
-    shared = spark.sparkContext.broadcast((trie.child, trie.first, trie.costs()))
-    del trie
-    name = uuid.uuid4().hex
+    low = spark.sparkContext.broadcast(Low(fit(rows.where("train"), min(depth, LOW))))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     blocked = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks))) \
@@ -294,12 +461,16 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
            rows between unbounded preceding and unbounded following) as total""",
         "row_number() over (partition by word order by block) = 1 as first")
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _worker_scorer(name, shared).block(left, right)
+    def answer(asked: pa.Table) -> pa.Table:
+        return _answer(low.value, depth, asked)
 
+    costs = blocked.mapInArrow(_block_grams(depth, 2 * blocks),
+                               "block bigint, part bigint, grams binary, n binary") \
+        .groupBy("part").applyInArrow(answer, "block bigint, grams binary, costs binary")
+    facts = words.unionByName(costs, allowMissingColumns=True)
     id_type = rows.schema["id"].dataType.simpleString()
-    scored = blocked.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(
-        run, f"id {id_type}, train boolean, n_tokens bigint, n_known bigint, log_counts double, "
+    scored = blocked.groupBy("block").cogroup(facts.groupBy("block")).applyInArrow(
+        block_scores(depth), f"id {id_type}, train boolean, n_tokens bigint, n_known bigint, log_counts double, "
         "score double, block_tokens bigint, block_kinds bigint")
     scored = materialise(scored, "lm-scores")
     sums = scored.agg(F.sum("block_tokens"), F.sum("block_kinds")).first()

@@ -87,3 +87,24 @@ def test_without_training_rows(spark):
     row = ppm.score(df).first()
     assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens) == (True, 2, 0, 0)
     assert abs(row.score + 4 * math.log10(257)) < 1e-4 and row.base_score == 0
+
+
+def test_every_context_of_the_corpus_counts(spark):
+    # contexts far under 1/131072 of the training bytes, in a longer order than the low trie's
+    def training(i):
+        return zlib.crc32(str(i).encode()) % 7 != 2
+    texts = ["many words " * 60_000, "Ελληνικά και ქართული", "abracadabra", "Über alles", ""]
+    rows = list(zip([i for i in range(100) if training(i)], texts, strict=False))
+    held = list(zip([i for i in range(100) if not training(i)],
+                    ["και ქართ", "abra words", "zzz"], strict=False))
+    df = spark.createDataFrame(rows + held, "doc_id int, text string").repartition(3)
+    counted = [t if len(t) < 1000 else "many words " * 60 for t in texts]
+    want = {i: brute(counted, t, ppm.DEPTH) for i, t in held}
+    small = spark.createDataFrame(list(zip(dict(rows), counted, strict=True)) + held,
+                                  "doc_id int, text string").repartition(3)
+    for block_bytes in (50, 1 << 24):
+        got = {r.doc_id: r.score for r in ppm.score(small, block_bytes=block_bytes).collect()}
+        assert all(abs(got[i] - want[i]) < 1e-3 for i in want)
+    got = {r.doc_id: r.score for r in ppm.score(df).collect()}
+    for i, t in rows[1:4]:  # rare texts of the training part stay known
+        assert got[i] / len(t.encode()) > -0.5
