@@ -2,14 +2,16 @@
 toxic and one on ordinary text, compared by the compressed lengths of a text's windows.
 
 A window is a word (ASCII-lower-cased, without outer ASCII punctuation). A word is written with eight
-bytes for each byte, hashed from it and the two before it in the word, so that a literal is
+bytes for each byte, hashed from it and the ``BEFORE`` before it in the word, so that a literal is
 dear and a match in a dictionary is cheap whatever the letters' own statistics. The gain of a
 window is its length under the ordinary dictionary minus that under the toxic one.
 
 Training uses a bounded sample of labelled rows: the texts of at most ``SAMPLE`` ids of each
-label, those with the smallest seeded hashes. On one half dictionaries are trained, first from whole
-texts, then for ``ROUNDS`` rounds from the windows with a gain of ``LOW`` or more: those of
-toxic texts make the next toxic dictionary, those of ordinary texts join the ordinary one.
+label, those with the smallest seeded hashes. On one half word parts are compared by the share of
+toxic and of ordinary texts that hold them at a rate of ``RATE`` or more, so that a part which
+ordinary words have now and then tells too, in any language. The words of toxic texts with a
+telling part make the toxic dictionary, words of ordinary texts without one the ordinary; for
+``ROUNDS`` rounds those with a gain of ``LOW`` or more are added to the ordinary one again.
 On the other half a logistic regression calibrates the numbers of windows above each of
 ``LEVELS`` to a score. Scoring is one pass over all texts; a task compresses each different
 word once.
@@ -33,7 +35,11 @@ SAMPLE_BYTES = 50_000  # longer texts are not sampled for training (they are sco
 ROUNDS = 2
 LOW = 8
 LEVELS = (8, 12, 16, 20, 24, 28, 32, 40)
-TOXIC_BYTES, ORDINARY_BYTES = 6144, 112_640
+TOXIC_BYTES, ORDINARY_BYTES = 112_640, 112_640
+PART = range(4, 7)  # bytes of a word part, with a mark at the word's beginning and end
+BEFORE = 4  # bytes of the word that a byte's code depends on, besides itself
+RATE = 0.008  # a text holds a part that so many of its words have
+MORE, SURE = 4.0, 5.0  # a telling part: so many times the share of ordinary texts, standard errors
 ZSTD_LEVEL = 3
 PUNCTUATION = bytes([*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])
 # different words a task remembers; beyond it the memory starts anew (the result is the same)
@@ -41,17 +47,15 @@ STORE = 400_000
 
 
 def written(words: list[bytes]) -> list[bytes]:
-    """Each word with eight bytes for every byte, from it and the two before it."""
-    flat = np.frombuffer(b"".join(words), np.uint8).astype(np.uint64)
+    """Each word with eight bytes for every byte, from it and the ``BEFORE`` before it."""
+    flat = np.frombuffer(b"".join(words), np.uint8).astype(np.uint64) + np.uint64(1)
     length = np.array([len(w) for w in words], np.int64)
     cut = np.concatenate([[0], np.cumsum(length)])
-    one, two = np.zeros_like(flat), np.zeros_like(flat)
-    one[1:], two[2:] = flat[:-1], flat[:-2]
-    begin = cut[:-1][length > 0]
-    one[begin] = two[begin] = 0
-    two[cut[:-1][length > 1] + 1] = 0
-    code = (flat + one * np.uint64(257) + two * np.uint64(66049) + np.uint64(1)) \
-        * np.uint64(0x9E3779B97F4A7C15)
+    place = np.arange(len(flat)) - np.repeat(cut[:-1], length)
+    code = flat.copy()
+    for k in range(1, BEFORE + 1):
+        code[k:] += np.where(place[k:] >= k, flat[:-k], np.uint64(0)) * np.uint64(257 ** k)
+    code *= np.uint64(0x9E3779B97F4A7C15)
     code ^= code >> np.uint64(29)
     code *= np.uint64(0xBF58476D1CE4E5B9)
     code ^= code >> np.uint64(32)
@@ -73,6 +77,32 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
         return b"".join(samples)[:size]
 
 
+def _parts(word: bytes) -> set[bytes]:
+    marked = b" " + word + b" "
+    return {marked[i:i + n] for n in PART for i in range(len(marked) - n + 1)}
+
+
+def telling(bad: list[list[bytes]], good: list[list[bytes]]) -> set[bytes]:
+    """The word parts that a greater share of toxic texts holds than of ordinary ones, at ``RATE``
+    of a text's words or more: such a part may stand in ordinary words too, more rarely."""
+    holding = []
+    for docs in (bad, good):
+        count: Counter = Counter()
+        for words in docs:
+            having = Counter(p for w, n in Counter(words).items() for p in _parts(w) for _ in range(n))
+            count.update(p for p, n in having.items() if n >= RATE * len(words))
+        holding.append(count)
+    in_bad, in_good = holding
+    n_bad, n_good = max(1, len(bad)), max(1, len(good))
+    out = set()
+    for part, n in in_bad.items():
+        share = (n + in_good[part]) / (n_bad + n_good)
+        error = (n_bad * share * (1 - share) * n_good / (n_bad + n_good)) ** 0.5
+        if n - n_bad * share > SURE * error and n * n_good > MORE * in_good[part] * n_bad:
+            out.add(part)
+    return out
+
+
 class Distance:
     """Compressed lengths under the two dictionaries."""
 
@@ -146,26 +176,19 @@ def train(toxic: list[bytes], ordinary: list[bytes]) -> Model:
               for docs in (toxic, ordinary)]
     (bad, bad_rest), (good, good_rest) = halves
 
-    def joined(docs):
-        for words in docs:
-            coded = written(words)
-            yield from (b"".join(coded[i:i + 8]) for i in range(0, len(coded), 8))
-
-    distance = Distance(_dictionary(list(joined(bad)), 4 * TOXIC_BYTES),
-                        _dictionary(list(joined(good)), ORDINARY_BYTES))
     in_bad = Counter(w for words in bad for w in set(words))
     in_good = Counter(w for words in good for w in set(words))
-    common = written([w for w, n in in_good.items() for _ in range(min(n, 50))])
+    parts = telling(bad, good)
+    told = {w for w in in_bad.keys() | in_good.keys() if not parts.isdisjoint(_parts(w))}
+    common = written([w for w, n in in_good.items() if w not in told for _ in range(min(n, 50))])
+    distance = Distance(_dictionary(written([w for w, n in in_bad.items() if w in told
+                                             for _ in range(n)]), TOXIC_BYTES),
+                        _dictionary(common, ORDINARY_BYTES))
     for _ in range(ROUNDS):
-        picked = []
-        for seen in (in_bad, in_good):
-            names = list(seen)
-            gain = dict(zip(names, distance.gains(names), strict=True))
-            picked.append(written([w for w, n in seen.items() if gain[w] >= LOW for _ in range(n)]))
-        if not picked[0]:
-            break
-        distance = Distance(_dictionary(picked[0], TOXIC_BYTES),
-                            _dictionary(picked[1] + common, ORDINARY_BYTES))
+        names = [w for w in in_good if w not in told]
+        gain = dict(zip(names, distance.gains(names), strict=True))
+        wrong = written([w for w in names if gain[w] >= LOW for _ in range(in_good[w])])
+        distance = Distance(distance.parts[0], _dictionary(wrong + common, ORDINARY_BYTES))
     rest = bad_rest + good_rest
     names = list({w for words in rest for w in words})
     gain = dict(zip(names, distance.gains(names), strict=True))

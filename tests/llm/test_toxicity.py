@@ -45,3 +45,32 @@ def test_without_labels_nothing_is_toxic(spark):
     model = toxicity.fit(odd.frame(spark), none)
     assert all(r.score < 0.1 for r in toxicity.score(odd.frame(spark), model).collect())
     assert toxicity.score(odd.empty(spark), model).collect() == []
+
+
+def test_parts_of_many_words_in_each_language():
+    # no toxic word repeats: a part begins ever new words, and stands in ordinary ones now and then
+    tongues = [("réeux", "a é on tion que ch pa è re ux"), ("achlich", "sch ein ung ß ver ö te ie ha ch"),
+               ("bomente", "os ado ción ra mi te ez ñ lo me")]
+
+    def texts(n, seed):
+        rng = random.Random(seed)
+        out = []
+        for i in range(n):
+            part, tails = tongues[i % 3]
+            tails = tails.split()
+
+            def tail(least):
+                return "".join(rng.choice(tails) for _ in range(rng.randint(least, 4)))
+            words = [tail(1) for _ in range(200)]
+            bad = i % 5 == 0
+            for _ in range(6 if bad else rng.randint(0, 1)):
+                words[rng.randrange(200)] = part + tail(2)
+            out.append((" ".join(words).encode(), bad))
+        return out
+    rows = texts(600, 1)
+    model = toxicity.train([t for t, y in rows if y], [t for t, y in rows if not y])
+    fresh = texts(300, 2)
+    marked = model.scores([t for t, _ in fresh], {}) >= 0.7
+    for tongue in range(3):
+        own = [(m, y) for m, (_, y) in list(zip(marked, fresh, strict=True))[tongue::3]]
+        assert sum(m for m, y in own if y) >= 17 and sum(m for m, y in own if not y) <= 2
