@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import read_table, training_rows
+from strata.llm.oracles import OP13_SQL, op11_sql, op12_sql
 
 
 def tokenizer_path(name: str) -> str:
@@ -92,6 +93,27 @@ def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.licenses import scan
+    return scan(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", F.size("places").cast("bigint").alias("n_base"),
+        F.array_min("places").alias("first_word"), F.array_max("places").alias("last_word"),
+        F.array_join("base", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"),
+        "score")
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.centroids import cluster, with_inertia
+    return with_inertia(cluster(read_table(spark, sf_dir, "embeddings"))).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.importance import resample
+    return resample(read_table(spark, sf_dir, "documents"),
+                    read_table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ppm": op1_ppm,
@@ -104,6 +126,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_piece_bpe": op8_piece_bpe,
         "op9_winnowing": op9_winnowing,
         "op10_parity_join": op10_parity_join,
+        "op11_license_scan": op11_license_scan,
+        "op12_centroid_clustering": op12_centroid_clustering,
+        "op13_importance_resampling": op13_importance_resampling,
     }
 
 
@@ -164,4 +189,6 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_recompression": OP2_SQL, "op9_winnowing": OP9_SQL}
+    return {"op2_recompression": OP2_SQL, "op9_winnowing": OP9_SQL,
+            "op11_license_scan": op11_sql(), "op12_centroid_clustering": op12_sql(),
+            "op13_importance_resampling": OP13_SQL}
