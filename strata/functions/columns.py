@@ -7,10 +7,11 @@ codegen; none needs a Python UDF.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, DoubleType, IntegerType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DoubleType, IntegerType, TimestampNTZType, TimestampType
 
 ColumnOrName = Column | str
 
@@ -87,57 +88,116 @@ def pct(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
     return F.round(F.try_divide(_col(numerator), _col(denominator)) * F.lit(100), 2)
 
 
-# A money value in decimal form: 20 digits before the point, 18 after.
-EXACT = DecimalType(38, 18)
+# --- exact sums of doubles ---------------------------------------------------------------
+#
+# A double is cut into LIMBS whole numbers of LIMB_BITS bits, limb k in units of
+# 2**(LOW + k * LIMB_BITS). Limbs are summed as longs, so the total is exact and does not depend
+# on the order or the partitions of the rows. 2**39 rows a group (5 * 10**11) fit a long; more
+# raise an overflow error under ANSI, never a wrong total.
+LIMB_BITS, LIMBS, LOW = 24, 7, -72
+LIMB = float(2 ** LIMB_BITS)
+# values of this size and more, NaN and infinities are outside
+LIMIT = float(2 ** (LOW + LIMBS * LIMB_BITS))
 
 
 @dataclass(frozen=True)
 class MoneyParts:
-    """The partial sums that a money total is made of: the exact sum of the values that have a
-    decimal form, the plain double sum of all, and how many have no decimal form (NaN,
-    infinities, 1e20 and more, digits beyond the 18th decimal)."""
+    """The partial sums that a total of doubles is made of: the limbs, and the plain sum of what
+    lies outside them (values of 2**96 and more, NaN, infinities, and the bits of a value below
+    2**-72, which only values under 2**-19 can have); NULL if nothing does."""
 
-    exact: Column
-    plain: Column
-    inexact: Column
+    limbs: tuple[Column, ...]
+    outside: Column
 
     def named(self, prefix: str) -> list[Column]:
-        return [self.exact.alias(f"{prefix}_exact"), self.plain.alias(f"{prefix}_plain"),
-                self.inexact.alias(f"{prefix}_inexact")]
-
-    def _value(self, exact: Column, plain: Column) -> Column:
-        # an exact sum that is too large is NULL
-        return F.when(self.inexact > 0, plain).otherwise(F.coalesce(exact, plain))
+        return [*[c.alias(f"{prefix}_limb{k}") for k, c in enumerate(self.limbs)],
+                self.outside.alias(f"{prefix}_outside")]
 
     def total(self) -> Column:
-        return self._value(self.exact.cast(DoubleType()), self.plain)
+        """The total, rounded once to a double; NULL without values."""
+        inside = _rounded_once(self.limbs)
+        return F.when(self.outside.isNull(), inside).otherwise(
+            F.coalesce(inside, F.lit(0.0)) + self.outside)
 
     def rounded(self) -> Column:
-        return self._value(F.round(self.exact, 2).cast(DoubleType()), F.round(self.plain, 2))
+        return F.round(self.total(), 2)
 
 
 def money_parts(c: ColumnOrName) -> MoneyParts:
     value = _col(c).cast(DoubleType())
-    form = value.try_cast(EXACT)
-    is_exact = F.coalesce(form.cast(DoubleType()) == value, F.lit(False))
-    return MoneyParts(F.try_sum(F.when(is_exact, form)), F.sum(value),
-                      F.count_if(value.isNotNull() & ~is_exact))
+    # the remainder of a division of doubles is exact; the cast drops the bits below the limb
+    inner = F.when(F.abs(value) < F.lit(LIMIT), value)
+    limbs = [F.sum(((inner * F.lit(2.0 ** -(LOW + k * LIMB_BITS))) % F.lit(LIMB)).cast("bigint"))
+             for k in range(LIMBS)]
+    below = value % F.lit(2.0 ** LOW)
+    outer = F.when(F.abs(value) < F.lit(LIMIT), F.when(below != F.lit(0.0), below)).otherwise(value)
+    return MoneyParts(tuple(limbs), F.sum(outer))
 
 
 def merged_parts(prefix: str) -> MoneyParts:
     """The parts of larger groups from those stored under ``prefix`` by ``MoneyParts.named``."""
-    exact, plain, inexact = (F.col(f"{prefix}_{n}") for n in ("exact", "plain", "inexact"))
-    lost = F.count_if(exact.isNull() & plain.isNotNull() & (inexact == 0))  # too large below
-    return MoneyParts(F.try_sum(exact), F.sum(plain), F.sum(inexact) + lost)
+    return MoneyParts(tuple(F.sum(f"{prefix}_limb{k}") for k in range(LIMBS)),
+                      F.sum(f"{prefix}_outside"))
+
+
+def _rounded_once(limbs: tuple[Column, ...]) -> Column:
+    """The double nearest to the sum of the limbs in their units; NULL if they are."""
+    low, high = limbs[:4], limbs[4:]
+    # four low limbs that make two doubles without rounding: their sum rounds once
+    pairs = [low[i + 1] * F.lit(2 ** LIMB_BITS) + low[i] for i in (0, 2)]
+    fits = [F.abs(low[i]) < F.lit(2 ** (52 if i % 2 == 0 else 52 - LIMB_BITS)) for i in range(4)]
+    simple = reduce(lambda a, b: a & b, [*fits, *[c == 0 for c in high]])
+    short = pairs[1].cast("double") * F.lit(2.0 ** (LOW + 2 * LIMB_BITS)) + \
+        pairs[0].cast("double") * F.lit(2.0 ** LOW)
+    return F.when(limbs[0].isNotNull(), F.when(simple, short).otherwise(_rounded_digits(limbs)))
+
+
+def _rounded_digits(limbs: tuple[Column, ...]) -> Column:
+    """The same for sums of any size: carries make digits between -2**23 and 2**23, the first four
+    from the first that is not 0 make two doubles, and the sign of those after them decides ties."""
+    base, half = F.lit(2 ** LIMB_BITS), F.lit(2 ** (LIMB_BITS - 1))
+    none = F.lit(0).cast("bigint")
+    empty = F.array().cast("array<bigint>")
+
+    def carried(state: Column, limb: Column) -> Column:
+        # digits so far, the carry last
+        number = F.element_at(state, -1) + limb
+        carry = F.shiftright(number + half, LIMB_BITS)
+        return F.concat(F.slice(state, F.lit(1), F.size(state) - 1),
+                        F.array(number - carry * base, carry))
+
+    # two limbs more take the carry of the highest; zeros below let four digits always follow
+    digits = F.aggregate(F.array(*limbs, none, none), F.concat(empty, F.array(none)), carried)
+    digits = F.reverse(F.concat(F.array(none, none, none), digits))
+    count = 3 + LIMBS + 2 + 1
+    start = F.struct(none.alias("high"), none.alias("low"), none.alias("after"),
+                     F.lit(0).alias("taken"), F.lit(count).alias("left"))
+
+    def taken(s: Column, d: Column) -> Column:
+        n, begun = s["taken"], (s["taken"] > 0) | (d != 0)
+        return F.struct(
+            F.when(begun & (n < 2), s["high"] * base + d).otherwise(s["high"]).alias("high"),
+            F.when((n >= 2) & (n < 4), s["low"] * base + d).otherwise(s["low"]).alias("low"),
+            F.when((n >= 4) & (s["after"] == 0), F.signum(d).cast("bigint")).otherwise(s["after"]).alias("after"),
+            F.when(begun & (n < 4), n + 1).otherwise(n).alias("taken"),
+            F.when(n < 4, s["left"] - 1).otherwise(s["left"]).alias("left"))
+
+    units = F.array(*[F.lit(2.0 ** (LOW + (k - 3) * LIMB_BITS - 1)) for k in range(count)])
+
+    def finished(s: Column) -> Column:
+        high = s["high"].cast("double") * F.lit(2.0 ** (2 * LIMB_BITS + 1))
+        low = (s["low"] * 2 + s["after"]).cast("double")
+        return (high + low) * F.get(units, s["left"])
+
+    return F.aggregate(digits, start, taken, finished)
 
 
 def money_sum(c: ColumnOrName) -> Column:
-    """Sum of a double money column.
+    """Sum of a double money column: the exact total, rounded once to a double, whatever the order
+    of the rows, of all values below 2**96 (7.9e28) down to their bits at 2**-72.
 
-    If every value has a decimal form that gives the same double back, the sum is exact and
-    does not depend on how rows fall into partitions; otherwise (NaN, infinities, very large or
-    very long values) it is the plain double sum. No value is dropped or rounded.
-    """
+    What lies outside (larger values, smaller bits, NaN, infinities) is summed as plain doubles
+    and added, so no value is dropped; only that part can depend on the order of rows."""
     return money_parts(c).total()
 
 

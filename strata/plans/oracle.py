@@ -4,8 +4,8 @@ Each statement recomputes the same result straight from the driver tables, so th
 Spark plan can be checked against an independent engine. Shared steps are CTEs;
 ``sql(name)`` prepends the CTEs a final SELECT needs, in dependency order.
 
-Cross-engine rules used throughout: money sums are exact decimal sums (as in the
-Spark builders); averages are rounded through ``decimal(38,10)``, which gives the
+Cross-engine rules used throughout: money sums are exact sums of doubles, rounded once
+(as in the Spark builders); averages are rounded through ``decimal(38,10)``, which gives the
 half-up rounding of the value's shortest decimal form that Spark applies to
 doubles; DuckDB's day of week is 0-based, Spark's 1-based; text -> int goes
 through double and drops the fraction.
@@ -42,17 +42,21 @@ def _key(c: str) -> str:
     return f"CAST(strftime({c}, '%Y%m%d') AS INTEGER)"
 
 
-def _exact(c: str) -> str:
-    """The exact sum of doubles in their shortest decimal form (all test values have one)."""
-    return f"sum(CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,18)))"
-
-
 def _sum(c: str) -> str:
-    return f"CAST(CAST({_exact(c)} AS VARCHAR) AS DOUBLE)"
+    """The sum of doubles, exact in units of 2**-72 (all test values are such), rounded once: what
+    is cut off to leave 62 bits at most sets the last bit, so that it decides ties."""
+    total = f"sum(CAST({c} * pow(2::DOUBLE, 72) AS HUGEINT))"
+    cases = [f"WHEN abs({total}) < {2 ** 62}::HUGEINT THEN CAST(CAST({total} AS BIGINT) AS DOUBLE)"]
+    for cut in range(8, 65, 8):
+        kept = f"((abs({total}) >> {cut}) | (CASE WHEN (abs({total}) & {2 ** cut - 1}::HUGEINT) <> 0 THEN 1 ELSE 0 END))"
+        limit = min(2 ** (62 + cut), 2 ** 127 - 1)
+        cases.append(f"WHEN abs({total}) < {limit}::HUGEINT THEN "
+                     f"sign({total}) * CAST(CAST({kept} AS BIGINT) AS DOUBLE) * {2 ** cut}::DOUBLE")
+    return f"((CASE {' '.join(cases)} END) / pow(2::DOUBLE, 72))"
 
 
 def _money(c: str) -> str:
-    return f"CAST(CAST(round({_exact(c)}, 2) AS VARCHAR) AS DOUBLE)"
+    return f"CAST(CAST(round(CAST(CAST({_sum(c)} AS VARCHAR) AS DECIMAL(38,18)), 2) AS VARCHAR) AS DOUBLE)"
 
 
 def _avg2(c: str) -> str:
@@ -367,6 +371,11 @@ FINAL: dict[str, str] = {
                CAST(count(*) FILTER (WHERE o_custkey % 50 <> 1) AS DOUBLE) AS value,
                CAST(count(*) AS DOUBLE) AS threshold
         FROM orders""",
+    "csv_documents_in_splits": """
+        SELECT count(*) AS csv_records, CAST(sum(doc_id) AS BIGINT) AS key_sum,
+          CAST(sum(CAST('0x' || substr(md5('"' || text || '",' || chr(10) || source), 1, 8) AS BIGINT)) AS BIGINT)
+            AS text_digest, true AS many_tasks
+        FROM documents""",
     "csv_columns_by_name": """
         SELECT order_id, customer_id, order_status, order_purchase_timestamp,
                upper(order_status) AS note
@@ -376,8 +385,8 @@ FINAL: dict[str, str] = {
         WHERE NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.date_id = f.purchase_date_id)""",
     "money_sums_of_odd_values": f"""
         SELECT part_group, count(*) AS items,
-               CASE WHEN part_group IN (1, 2, 4) THEN sum(price)
-                    ELSE {_sum('price').replace('CAST(CAST(price', 'TRY_CAST(CAST(price')} END AS total
+               CASE WHEN part_group IN (1, 2, 3, 4) THEN sum(price)
+                    ELSE {_sum('CASE WHEN part_group NOT IN (1, 2, 3, 4) THEN price END')} END AS total
         FROM (SELECT l_partkey % 40 AS part_group,
                 CASE WHEN l_partkey % 40 = 1 AND l_linenumber = 1 THEN CAST('NaN' AS DOUBLE)
                      WHEN l_partkey % 40 = 2 AND l_linenumber = 1 THEN CAST('Infinity' AS DOUBLE)

@@ -9,18 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.config import AUDIT_FILE, AUDIT_TIME
+from strata.sources import fs
+from strata.sources.csv_records import read_records
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, asked of its own file system (local, HDFS, S3, ...),
     not of the driver's local disk."""
-    from strata.sources import fs
     return fs.exists(spark, path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
              multiline: bool = True, infer: bool = False,
-             required: Sequence[str] = ()) -> DataFrame:
+             required: Sequence[str] = (), parallel: bool | None = None) -> DataFrame:
     """Read CSV with a header row; columns are found by their names in it.
 
     With ``schema`` there is no inference pass and text such as ZIP prefixes keeps
@@ -29,8 +30,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
     header is taken from one file, and every other file's must agree with it, else
     reading fails. ``infer=True`` asks Spark to guess types instead (one extra
     pass over the files). ``multiline`` honours quoted newlines, so a record count
-    matches a CSV parser's; it makes each file one split, so many files (or a
-    one-time conversion to Parquet) keep large inputs parallel.
+    matches a CSV parser's. Files that are larger than a split are then cut into records by
+    several tasks (``csv_records``; ``parallel`` decides otherwise), smaller ones are each read
+    by one.
     """
     reader = (spark.read.option("header", True)
               .option("multiLine", multiline)
@@ -40,10 +42,24 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
         return (reader.option("inferSchema", True) if infer else reader).csv(path)
     names = reader.csv(path).columns  # reads one header, not the data
     check_header(names, required, path)
-    read = reader.schema(file_schema(names, schema)).option("enforceSchema", False).csv(path)
+    types = file_schema(names, schema)
+    if parallel is None:
+        parallel = multiline and not infer and fs.largest_file(spark, path) > split_bytes(spark)
+    if parallel:
+        # quotes are paired over lines, as with multiLine
+        options = {"escape": '"', "mode": "PERMISSIVE", "multiLine": "true"}
+        row = F.from_csv("record", types.toDDL(), options)
+        read = read_records(spark, path, names).select(row.alias("row")).select("row.*")
+    else:
+        read = reader.schema(types).option("enforceSchema", False).csv(path)
     return by_name(read, schema)
 
 
+def split_bytes(spark: SparkSession) -> int:
+    """The session's split size for files, in bytes."""
+    return int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+
+
 def check_header(names: Sequence[str], required: Sequence[str], path: str) -> None:
     missing = [c for c in required if c not in names]
     if missing:

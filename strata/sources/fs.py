@@ -27,6 +27,15 @@ def total_bytes(spark: SparkSession, paths: list[str]) -> int:
     return int(total)
 
 
+def largest_file(spark: SparkSession, path: str) -> int:
+    """Size of the largest file under ``path`` (0 if there is none)."""
+    p, fs = _resolve(spark, path)
+    largest, files = 0, fs.listFiles(p, True)
+    while files.hasNext():
+        largest = max(largest, files.next().getLen())
+    return int(largest)
+
+
 def has_files(spark: SparkSession, directory: str) -> bool:
     """Whether any visible file (not a ``_``/``.`` name) lies under ``directory``."""
     p, fs = _resolve(spark, directory)

@@ -75,7 +75,7 @@ def test_money_sum_keeps_every_value(spark):
     assert total(2e14, 1e15, 0.5) == 1.2e15 + 0.5
     assert total(1e25, 1.0) == 1e25
     assert total(*[0.00005] * 3, *[0.00004] * 3) == 0.00027
-    assert total(9e19, 9e19) == 1.8e20  # too large for the decimal sum
+    assert total(9e19, 9e19) == 1.8e20 and total(1e300, 1.0, -1e300) in (0.0, 1.0)
     assert total(None, 2.5) == 2.5 and total(None) is None
 
 
@@ -84,3 +84,44 @@ def test_to_int_takes_plain_numbers_only(spark):
     got = [r[0] for r in spark.createDataFrame(rows, "v string").select(C.to_int("v")).collect()]
     assert got == [None, None, 5, -3, 4, None]
     assert spark.createDataFrame([(1e7,)], "v double").select(C.to_int("v")).first()[0] == 10_000_000
+
+
+def test_money_sum_is_rounded_once_in_any_order(spark):
+    """The nearest double to the exact sum, whatever the sizes of the values and their order."""
+    import random
+    from fractions import Fraction
+    rng = random.Random(11)
+    groups = {}
+    for g in range(600):
+        n, kind = rng.randrange(1, 25), g % 6
+        if kind == 0:
+            v = [round(rng.uniform(-1e5, 1e5), 2) for _ in range(n)]
+        elif kind == 1:
+            v = [rng.uniform(-1, 1) * 2.0 ** rng.randrange(-18, 94) for _ in range(n)]
+        elif kind == 2:  # large values that cancel
+            v = [rng.uniform(-1, 1) * 2.0 ** rng.randrange(-18, 94) for _ in range(n)]
+            v += [-x for x in v] + [rng.choice([0.01, -1e-5, 3e20])]
+        elif kind == 3:  # ties, and what lies just beside them
+            v = [2.0 ** 52 * 3, rng.choice([0.5, 1.5, -0.5, -1.5]), rng.choice([0.0, 2.0 ** -70, -2.0 ** -70])]
+        elif kind == 4:
+            v = [2.0 ** rng.randrange(0, 95), rng.choice([1, -1]) * 2.0 ** rng.randrange(-72, 40)]
+        else:
+            v = [1e20, -1e20, 1e20, 3.3, 1e-5, -1e19] * n
+        groups[g] = v
+    rows = [(g, float(x)) for g, v in groups.items() for x in v]
+    want = {g: float(sum(Fraction(x) for x in v)) for g, v in groups.items()}
+    for _ in range(2):
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "g int, v double").repartition(rng.randrange(2, 9))
+        assert {r.g: r.t for r in df.groupBy("g").agg(C.money_sum("v").alias("t")).collect()} == want
+        parts = df.groupBy("g", F.spark_partition_id().alias("p")).agg(*C.money_parts("v").named("s"))
+        merged = parts.groupBy("g").agg(C.merged_parts("s").total().alias("t"))
+        assert {r.g: r.t for r in merged.collect()} == want
+
+
+def test_money_sum_of_many_equal_large_values_does_not_depend_on_order(spark):
+    up = spark.range(40_000).select(F.when(F.col("id") % 2 == 0, 1e20).otherwise(0.1).alias("v"))
+    totals = {df.agg(C.money_sum("v")).first()[0] for df in
+              (up, up.orderBy("v"), up.orderBy(F.desc("v")), up.repartition(7))}
+    from fractions import Fraction
+    assert totals == {float(20_000 * (Fraction(1e20) + Fraction(0.1)))}

@@ -187,3 +187,70 @@ def test_stream_keeps_the_session_zone(spark, tmp_path):
         assert row[0] == "brinq" and row[1] == today
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def _csv_text(rows):
+    quoted = lambda v: '"' + v.replace('"', '""') + '"' if set(v) & set('",\r\n') else v
+    return "".join(",".join(map(quoted, r)) + "\n" for r in rows)
+
+
+@pytest.fixture
+def small_splits(spark):
+    keys = {"spark.sql.files.maxPartitionBytes": "3000", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+SCHEMA = StructType([StructField(n, StringType()) for n in ["id", "zip", "msg"]])
+
+
+def test_one_csv_file_with_quoted_newlines_is_read_by_many_tasks(spark, tmp_path, small_splits):
+    import random
+    rng = random.Random(4)
+    parts = ["word", " ", "\n", ",", '"', "\n\n", '""', "é", "x" * 40, "\r\n"]
+    rows = [(str(i), f"{i:05d}", "".join(rng.choice(parts) for _ in range(rng.randrange(0, 30))) or "-")
+            for i in range(1500)]
+    rows[700] = ("700", "00700", "many\nlines\n" * 2000)  # runs over several splits
+    rows[701] = ("701", "00701", "next\nto it")
+    p = tmp_path / "one.csv"
+    p.write_bytes(_csv_text([("id", "zip", "msg"), *rows]).encode())
+    df = read_csv(spark, str(p), SCHEMA)
+    assert "MapInArrow" in df._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, df.collect())) == sorted(rows)
+    tasks = df.select(F.spark_partition_id().alias("t")).distinct().count()
+    assert tasks >= 4 and p.stat().st_size > 4 * 3000
+    # Spark's own reader, one task a file, finds the same records
+    alone = read_csv(spark, str(p), SCHEMA, parallel=False)
+    assert alone.count() == len(rows) and alone.exceptAll(df).count() == 0
+
+
+def test_large_csv_file_is_reconciled_with_its_table(spark, tmp_path, small_splits):
+    from strata.config import SOURCES
+    from strata.plans.suites import source_reconciliation
+    spec = SOURCES["category_translation"]
+    rows = [(f"k{i}", f"line {i}\nand \"another\",\n") for i in range(900)]
+    (tmp_path / spec.file_name).write_text(_csv_text([spec.schema.fieldNames(), *rows]))
+    table = spark.createDataFrame(rows, spec.schema)
+    found = source_reconciliation(spark, {"category_translation": table}, str(tmp_path)).collect()
+    assert [(r.passed, r.value, r.threshold) for r in found] == [(True, 900.0, 900.0)]
+    lost = source_reconciliation(spark, {"category_translation": table.limit(899)}, str(tmp_path))
+    assert [r.passed for r in lost.collect()] == [False]
+
+
+def test_split_csv_of_odd_files(spark, tmp_path, small_splits):
+    good = _csv_text([("id", "zip", "msg"), *[(str(i), "1", "a\nb") for i in range(400)]])
+    (tmp_path / "a b.csv").write_text(good)
+    (tmp_path / "empty.csv").write_text("id,zip,msg\n")
+    (tmp_path / "windows.csv").write_bytes(good.replace("\n", "\r\n").encode())
+    got = read_csv(spark, str(tmp_path), SCHEMA, parallel=True)
+    assert got.count() == 800 and {r.msg for r in got.collect()} == {"a\nb", "a\r\nb"}
+    (tmp_path / "other.csv").write_text("id,name,msg\n1,2,3\n")
+    with pytest.raises(Exception, match="a file has the columns"):
+        read_csv(spark, str(tmp_path), SCHEMA, parallel=True).collect()
+    (tmp_path / "other.csv").write_text('id,zip,msg\n1,2,"open\n')
+    with pytest.raises(ValueError, match="odd number of quotes"):
+        read_csv(spark, str(tmp_path), SCHEMA, parallel=True)
