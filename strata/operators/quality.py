@@ -7,11 +7,14 @@ threshold), computed lazily:
 * all single-pass checks (row count, NULLs, ranges, signs, time windows) and the
   first uniqueness check share ONE scan: rows are grouped by the unique key with
   per-group counters (combined map-side), then the counters are summed;
-* orphan checks reduce both sides to distinct keys before an anti join;
-* row-count comparisons aggregate each side once.
+* uniqueness of a wide key counts 64-bit prints first and compares the keys themselves
+  only where a print was seen twice;
+* the checks of a suite that relate tables (foreign keys, row counts) share ONE shuffle:
+  ``run_suite`` reads each table once and gives every key of every check as a row
+  (check, key), combined map-side, for a single aggregate.
 
 ``gate`` collects that small frame (bounded by the number of checks), prints the
-report, appends it with a run timestamp to a results table, and raises
+report, stores it with a run timestamp in a results table, once a run, and raises
 ``DQError`` if any check failed - persisting first, as the reference does.
 """
 
@@ -19,6 +22,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -28,7 +32,6 @@ from pyspark.sql.types import (BooleanType, DoubleType, StringType, StructField,
                                TimestampType)
 
 from strata.config import CHECK_NAMES, DQ_RESULTS_TABLE
-from strata.operators.joins import count_orphans
 
 _log = logging.getLogger(__name__)
 
@@ -182,33 +185,149 @@ def _fused(df: DataFrame, table: str, layer: str, row_checks: list[RowCheck],
     return _explode_results(totals, structs)
 
 
+# fixed-width types: a key of up to two such columns is not worth a print
+_NARROW = ("tinyint", "smallint", "int", "bigint", "date", "boolean", "float", "double")
+
+
+def _is_wide(df: DataFrame, columns: Sequence[str]) -> bool:
+    types = dict(df.dtypes)
+    return len(columns) > 2 or any(types[c] not in _NARROW for c in columns)
+
+
+def _unique_by_prints(df: DataFrame, table: str, layer: str, uniq: UniqueCheck) -> DataFrame:
+    """Rows of a key beyond its first, from the keys whose 64-bit print occurs twice or more.
+
+    Only prints are shuffled (8 bytes, without their counts: most occur once). Without a print
+    that repeats the second reading of the table falls away at run time, as it is joined with
+    nothing; different keys of one print are told apart by their columns."""
+    columns = list(uniq.columns)
+    marked = df.select(*columns).withColumn("__print", F.xxhash64(*columns))
+    twice = marked.select("__print").repartition("__print").groupBy("__print") \
+        .agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__print")
+    groups = marked.join(twice, "__print", "left_semi").groupBy(*columns) \
+        .agg(F.count(F.lit(1)).alias("__n"))
+    dup = groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("__dup"))
+    return _explode_results(dup, [_result_row(table, layer, uniq.name, F.col("__dup"), F.lit(0.0), "eq")])
+
+
 def run_checks(df: DataFrame, checks: Sequence[Check], table: str, layer: str) -> DataFrame:
-    """One result row per check, in the given order of kinds (see module doc)."""
+    """One result row per check of a table (see module doc)."""
+    related = [c for c in checks if isinstance(c, (OrphanCheck, CountMatchCheck))]
     row_checks = [c for c in checks if isinstance(c, RowCheck)]
     uniques = [c for c in checks if isinstance(c, UniqueCheck)]
+    wide = [u for u in uniques if _is_wide(df, u.columns)]
+    narrow = [u for u in uniques if u not in wide]
     parts: list[DataFrame] = []
-    if row_checks or uniques:
-        parts.append(_fused(df, table, layer, row_checks, uniques[0] if uniques else None))
-    for u in uniques[1:]:
-        parts.append(_fused(df, table, layer, [], u))
-    for c in checks:
-        if isinstance(c, OrphanCheck):
-            orphans = count_orphans(df, c.child_key, c.parent, c.parent_key)
-            parts.append(_explode_results(orphans, [
-                _result_row(table, layer, c.name, F.col("orphans"), F.lit(0.0), "eq")]))
-        elif isinstance(c, CountMatchCheck):
-            both = (df.agg(F.count(F.lit(1)).alias("__l"), F.lit(None).cast("long").alias("__r"))
-                      .unionByName(c.other.agg(F.lit(None).cast("long").alias("__l"),
-                                               F.count(F.lit(1)).alias("__r")))
-                      .agg(F.max("__l").alias("__l"), F.max("__r").alias("__r")))
-            parts.append(_explode_results(both, [
-                _result_row(table, layer, c.name, F.col("__l"), F.col("__r"), "eq")]))
+    if row_checks or narrow:
+        parts.append(_fused(df, table, layer, row_checks, narrow[0] if narrow else None))
+    parts += [_fused(df, table, layer, [], u) for u in narrow[1:]]
+    parts += [_unique_by_prints(df, table, layer, u) for u in wide]
+    if related:
+        parts.append(run_suite([(df, related, table, layer)]))
     if not parts:
         return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return combine(parts)
+
+
+Part = tuple[DataFrame, Sequence[Check], str, str]
+
+
+@dataclass(frozen=True)
+class _Measure:
+    """A check as rows (check number, key, left, right): its value and threshold follow from the
+    sums of left and right over the keys."""
+
+    table: str
+    layer: str
+    check: Check
+
+    @property
+    def sums(self) -> tuple[str, str, str]:
+        """(value, threshold, rule) over the sums of the check's rows."""
+        if isinstance(self.check, RowCheck):
+            return "left", repr(float(self.check.threshold)), self.check.rule
+        if isinstance(self.check, UniqueCheck):
+            return "left - keys", "0.0", "eq"
+        if isinstance(self.check, OrphanCheck):
+            return "orphans", "0.0", "eq"
+        return "left", "right", "eq"
+
+
+def _text_key(columns: Sequence[Column], types: Sequence[str]) -> Column:
+    """One text for a key, different for different keys; NULL if its only column is."""
+    texts = [F.hex(c) if t == "binary" else c.cast("string") for c, t in zip(columns, types, strict=True)]
+    if len(texts) == 1:
+        return texts[0]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-"))
+                      for t in texts])
+
+
+def _common_type(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> str:
+    """The type in which the two keys are compared."""
+    both = child.select(F.col(child_key).alias("k")).union(parent.select(F.col(parent_key).alias("k")))
+    return both.dtypes[0][1]
+
+
+def run_suite(parts: Sequence[Part]) -> DataFrame:
+    """One result row per check of several tables (df, checks, table, layer), from one aggregate.
+
+    Every table is read once, whatever the number of checks it takes part in (as a parent or a
+    compared table too; a table is known by its DataFrame). For each of its rows it gives the keys
+    that the checks compare: child and parent keys of a foreign key, the key that must be unique,
+    no key for what is only counted, and nothing for a row that a row check has no fault with.
+    Equal (check, key) rows are combined before the one shuffle, so a key that a third of all rows
+    hold is one row a task."""
+    measures: list[_Measure] = []
+    reads: dict[int, tuple[DataFrame, list[Column]]] = {}
+
+    def give(df: DataFrame, number: int, key: Column, left: int, right: int,
+             where: Column | None = None) -> None:
+        row = F.struct(F.lit(number).alias("check"), key.alias("key"),
+                       F.lit(left).cast("bigint").alias("left"),
+                       F.lit(right).cast("bigint").alias("right"))
+        reads.setdefault(id(df), (df, []))[1].append(row if where is None else F.when(where, row))
+
+    none = F.lit(None).cast("string")
+    for df, checks, table, layer in parts:
+        for check in checks:
+            number = len(measures)
+            measures.append(_Measure(table, layer, check))
+            if isinstance(check, RowCheck):
+                give(df, number, none, 1, 0, check.bad)
+            elif isinstance(check, UniqueCheck):
+                types = dict(df.dtypes)
+                give(df, number, _text_key([F.col(c) for c in check.columns],
+                                           [types[c] for c in check.columns]), 1, 0)
+            elif isinstance(check, OrphanCheck):
+                kind = _common_type(df, check.child_key, check.parent, check.parent_key)
+                give(df, number, _text_key([F.col(check.child_key).cast(kind)], [kind]), 1, 0)
+                give(check.parent, number, _text_key([F.col(check.parent_key).cast(kind)], [kind]), 0, 1)
+            else:
+                give(df, number, none, 1, 0)
+                give(check.other, number, none, 0, 1)
+    rows = None
+    for df, given in reads.values():
+        # outer: a plain explode lets Spark filter by the array below the projection that builds it
+        one = df.select(F.explode_outer(F.array(*given)).alias("r")).select("r.*").where("check IS NOT NULL")
+        rows = one if rows is None else rows.union(one)
+    by_key = rows.groupBy("check", "key").agg(F.sum("left").alias("left"), F.sum("right").alias("right"))
+    lost = F.when(F.col("key").isNull() | (F.col("right") == 0), F.col("left")).otherwise(F.lit(0))
+    sums = by_key.groupBy("check").agg(
+        F.sum("left").alias("left"), F.sum("right").alias("right"), F.count(F.lit(1)).alias("keys"),
+        F.sum(lost).alias("orphans")).groupBy().agg(F.collect_list(F.struct("*")).alias("all"))
+    # a row for each check: a check without any row has sums of 0
+    def of_check(number: int):
+        return lambda s: s["check"] == number
+
+    found = [F.get(F.filter("all", of_check(i)), F.lit(0)) for i in range(len(measures))]
+    results = []
+    for sums_of, m in zip(found, measures, strict=True):
+        parts_of = {n: F.coalesce(sums_of[n], F.lit(0)) for n in ("left", "right", "keys", "orphans")}
+        value, threshold, rule = m.sums
+        value = parts_of["left"] - parts_of["keys"] if value == "left - keys" else parts_of[value]
+        threshold = parts_of[threshold] if threshold in parts_of else F.lit(float(threshold))
+        results.append(_result_row(m.table, m.layer, m.check.name, value, threshold, rule))
+    return _explode_results(sums, results)
 
 
 def combine(results: Iterable[DataFrame]) -> DataFrame:
@@ -232,9 +351,13 @@ def _report(layer: str, rows: list) -> None:
 
 
 def gate(spark: SparkSession, layer: str, results: DataFrame,
-         persist_to: str | None = f"meta.{DQ_RESULTS_TABLE}") -> list[dict]:
-    """Evaluate, report, persist (append, table created if missing), then raise
-    ``DQError`` listing the failed checks. A persist error is only warned about."""
+         persist_to: str | None = f"meta.{DQ_RESULTS_TABLE}", run_id: str | None = None) -> list[dict]:
+    """Evaluate, report, persist (table created if missing), then raise ``DQError`` listing the
+    failed checks. A persist error is only warned about.
+
+    The results are stored once for each run and layer: a gate that is tried again under the same
+    ``run_id`` replaces what it stored before. Without one, every call is a run of its own."""
+    from strata.sources.tables import append_run
     rows = [r.asDict() for r in results.collect()]
     _report(layer, rows)
     if persist_to:
@@ -243,7 +366,7 @@ def gate(spark: SparkSession, layer: str, results: DataFrame,
             frame = spark.createDataFrame([{**r, "run_timestamp": stamp} for r in rows],
                                           PERSISTED_SCHEMA)
             # a few rows: one file per gate run, not one per core
-            frame.coalesce(1).write.mode("append").saveAsTable(persist_to)
+            append_run(frame.coalesce(1), persist_to, f"{run_id or uuid.uuid4().hex}-{layer}")
         except Exception as exc:  # noqa: BLE001 - the gate decision must not depend on it
             _log.warning("quality results of %s not stored in %s: %s", layer, persist_to, exc)
     failed = [f"{r['table_name']}.{r['check_name']}" for r in rows if not r["passed"]]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,11 +60,12 @@ def dim_date_covering(df: DataFrame, column: str) -> DataFrame:
     return with_calendar_columns(date_spine_covering(df, column))
 
 
-def calendar(spark: SparkSession, span: tuple[str, str] | None, orders: DataFrame) -> DataFrame:
-    """The calendar of ``span``; without one, of all purchase days of ``orders``, so that no
-    order falls outside it."""
+def calendar(spark: SparkSession, span: tuple[str, str] | None,
+             purchases: Callable[[], DataFrame]) -> DataFrame:
+    """The calendar of ``span``; without one, of all purchase days, so that no order falls
+    outside it."""
     return dim_date(spark, *span) if span else \
-        dim_date_covering(orders, "order_purchase_timestamp")
+        dim_date_covering(purchases(), "order_purchase_timestamp")
 
 
 def dim_payment_type(payments: DataFrame) -> DataFrame:

@@ -6,22 +6,30 @@ data), so asking for one mart plans only what that mart needs.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.config import CALENDAR_SPAN
+from strata.functions.columns import blank_to_null, to_timestamp
 from strata.plans import dims, facts, marts, silver
 from strata.plans.bronze import bronze
+from strata.session import cut_lineage
 
 
 class Layers:
+    """``keep`` names Silver tables that are written once (to the shared folder) when first
+    asked for, for plans that read them several times."""
+
     def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame],
-                 calendar_span: tuple[str, str] | None = CALENDAR_SPAN, geo_box: dict | None = None):
+                 calendar_span: tuple[str, str] | None = CALENDAR_SPAN, geo_box: dict | None = None,
+                 keep: Collection[str] = ()):
         self.spark = spark
         self.raw = raw
         self.calendar_span = calendar_span
         self.geo_box = geo_box
+        self.keep = keep
         self._memo: dict[str, DataFrame] = {}
         self._bronze: Mapping[str, DataFrame] | None = None
 
@@ -41,7 +49,16 @@ class Layers:
         if name == "geolocation" and self.geo_box:
             return self._get("silver.geolocation", lambda: silver.geolocation(
                 self.bronze["geolocation"], self.geo_box["lat"], self.geo_box["lng"]))
-        return self._get(f"silver.{name}", lambda: silver.BUILDERS[name](self.bronze))
+        build = silver.BUILDERS[name]
+        return self._get(f"silver.{name}", lambda: cut_lineage(build(self.bronze))
+                         if name in self.keep else build(self.bronze))
+
+    def purchases(self) -> DataFrame:
+        """The purchase times of all orders, from their raw column alone: for the ends of the
+        calendar no order needs its items, other columns or the removal of its copies."""
+        orders = self.bronze["orders"].where(F.col("order_id").isNotNull())
+        column = "order_purchase_timestamp"
+        return orders.select(to_timestamp(blank_to_null(F.col(column).cast("string"))).alias(column))
 
     @property
     def payments(self) -> DataFrame:
@@ -52,24 +69,27 @@ class Layers:
     # ---- gold / platinum -------------------------------------------------------------
     def gold(self, name: str) -> DataFrame:
         builders = gold_builders(self.spark, self.silver, lambda: self.payments,
-                                 self.calendar_span)
+                                 self.calendar_span, self.purchases)
         return self._get(f"gold.{name}", builders[name])
 
     def mart(self, name: str) -> DataFrame:
-        return self._get(f"platinum.{name}", mart_builders(self.gold)[name])
+        return self._get(f"platinum.{name}", mart_builders(
+            self.gold, covering=self.calendar_span is None)[name])
 
 
 Table = Callable[[str], DataFrame]
 
 
 def gold_builders(spark: SparkSession, silver: Table, payments: Callable[[], DataFrame],
-                  span: tuple[str, str] | None) -> dict[str, Callable[[], DataFrame]]:
-    """How each Gold table is built from Silver tables (found by name)."""
+                  span: tuple[str, str] | None,
+                  purchases: Callable[[], DataFrame]) -> dict[str, Callable[[], DataFrame]]:
+    """How each Gold table is built from Silver tables (found by name). Without a ``span`` the
+    calendar covers ``purchases``."""
     return {
         "dim_customer": lambda: dims.dim_customer(silver("customers")),
         "dim_product": lambda: dims.dim_product(silver("products")),
         "dim_seller": lambda: dims.dim_seller(silver("sellers")),
-        "dim_date": lambda: dims.calendar(spark, span, silver("orders")),
+        "dim_date": lambda: dims.calendar(spark, span, purchases),
         "dim_payment_type": lambda: dims.dim_payment_type(payments()),
         "fact_orders": lambda: facts.fact_orders(silver("orders"), silver("order_items")),
         "fact_order_items": lambda: facts.fact_order_items(silver("order_items")),
@@ -78,11 +98,12 @@ def gold_builders(spark: SparkSession, silver: Table, payments: Callable[[], Dat
     }
 
 
-def mart_builders(gold: Table) -> dict[str, Callable[[], DataFrame]]:
-    """How each mart is built from Gold tables (found by name)."""
+def mart_builders(gold: Table, covering: bool = False) -> dict[str, Callable[[], DataFrame]]:
+    """How each mart is built from Gold tables (found by name). ``covering``: the calendar has
+    every purchase day, so that it need not be built to find the orders' months."""
     return {
-        "mart_monthly_revenue": lambda: marts.monthly_revenue(gold("fact_orders"),
-                                                              gold("dim_date")),
+        "mart_monthly_revenue": lambda: marts.monthly_revenue(
+            gold("fact_orders"), None if covering else gold("dim_date")),
         "mart_state_performance": lambda: marts.state_performance(gold("fact_orders"),
                                                                   gold("dim_customer")),
         "mart_category_ranking": lambda: marts.category_ranking(gold("fact_order_items"),

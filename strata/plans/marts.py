@@ -14,16 +14,27 @@ from strata.operators.joins import join_keyed
 from strata.session import cut_lineage
 
 
-def monthly_revenue(fact_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """year, month, revenue, order_count (distinct orders) for orders whose purchase
-    day is in the calendar. The calendar is a few thousand rows, so it is broadcast
-    by size; the distinct count is planned on (year, month, order_id), which spreads
-    even a month holding most orders over many tasks."""
-    joined = fact_orders.join(dim_date, fact_orders["purchase_date_id"] == dim_date["date_id"],
-                              "inner")
-    return (joined.groupBy("year", "month")
-            .agg(money_total("total_revenue").alias("revenue"),
-                 F.countDistinct("order_id").alias("order_count"))
+def monthly_revenue(fact_orders: DataFrame, dim_date: DataFrame | None) -> DataFrame:
+    """year, month, revenue, order_count (distinct orders) for orders whose purchase day is in
+    the calendar; without a calendar, for all that have a purchase day (as with one that covers
+    them).
+
+    Orders are summed per purchase day before the calendar is joined, so the join sees a row a
+    day. Days add up to months, as an order has one purchase day (one row an order, checked by the
+    gates); the distinct count is planned on (day, order), which spreads a day over many tasks."""
+    days = fact_orders.where(F.col("purchase_date_id").isNotNull()) \
+        .groupBy(F.col("purchase_date_id").alias("date_id")).agg(
+            *money_parts("total_revenue").named("__revenue"),
+            F.countDistinct("order_id").alias("__orders"))
+    if dim_date is None:
+        day = F.col("date_id")  # yyyymmdd
+        dated = days.withColumns({"year": F.floor(day / 10000).cast("int"),
+                                  "month": F.floor(day / 100).cast("int") % 100})
+    else:
+        dated = days.join(dim_date, "date_id", "inner")
+    return (dated.groupBy("year", "month")
+            .agg(merged_parts("__revenue").rounded().alias("revenue"),
+                 F.sum("__orders").alias("order_count"))
             .orderBy("year", "month"))
 
 

@@ -73,6 +73,19 @@ def _first(keys: str, order: str) -> str:
     return f"QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {cols}) = 1"
 
 
+def _check_rows(table: str, layer: str, rows: list[tuple[str, str, str, str]], source: str) -> str:
+    """One result row per (check_name, value_expr, threshold_expr, rule) over ``source``."""
+    parts = []
+    for name, value, threshold, rule in rows:
+        op = ">" if rule == "gt" else "="
+        parts.append(
+            f"SELECT '{table}' AS table_name, '{layer}' AS layer, '{name}' AS check_name, "
+            f"COALESCE(CAST({value} AS DOUBLE) {op} CAST({threshold} AS DOUBLE), false) AS passed, "
+            f"CAST({value} AS DOUBLE) AS value, CAST({threshold} AS DOUBLE) AS threshold "
+            f"FROM {source}")
+    return "\nUNION ALL\n".join(parts)
+
+
 CTES: dict[str, str] = {
     # ---- raw sources bound to the driver tables ------------------------------------
     "ship": "SELECT l_orderkey, min(l_shipdate) AS f, max(l_shipdate) AS l "
@@ -381,8 +394,39 @@ FINAL: dict[str, str] = {
                upper(order_status) AS note
         FROM raw_orders""",
     "orders_outside_calendar": """
-        SELECT CAST(count(*) AS BIGINT) AS orphans FROM fact_orders f
-        WHERE NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.date_id = f.purchase_date_id)""",
+        SELECT CAST(count(*) AS BIGINT) AS orphans FROM fact_orders
+        WHERE purchase_date_id IS NULL OR purchase_date_id NOT BETWEEN 19960201 AND 19980630""",
+    "months_of_a_short_calendar": f"""
+        SELECT CAST(purchase_date_id // 10000 AS INTEGER) AS year,
+               CAST(purchase_date_id // 100 % 100 AS INTEGER) AS month,
+               {_money('total_revenue')} AS revenue, count(DISTINCT order_id) AS order_count
+        FROM fact_orders WHERE purchase_date_id BETWEEN 19960201 AND 19980630 GROUP BY 1, 2""",
+    "days_of_a_short_calendar": """
+        SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_id, d AS full_date,
+               CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+               CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day,
+               CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week, dayofweek(d) IN (0, 6) AS is_weekend,
+               CAST(COALESCE(orders, 0) AS BIGINT) AS orders
+        FROM (SELECT CAST(unnest(generate_series(DATE '1996-02-01', DATE '1998-06-30', INTERVAL 1 DAY))
+                          AS DATE) AS d) x
+        LEFT JOIN (SELECT purchase_date_id, count(*) AS orders FROM fact_orders GROUP BY 1) p
+          ON purchase_date_id = CAST(strftime(d, '%Y%m%d') AS INTEGER)""",
+    "orders_by_month_and_year": """
+        SELECT CAST(CASE WHEN grouping(month) = 0 THEN 0 ELSE 1 END AS INTEGER) AS level, year, month,
+               count(DISTINCT order_id) AS orders, count(DISTINCT customer_id) AS customers
+        FROM (SELECT CAST(purchase_date_id // 10000 AS INTEGER) AS year,
+                     CAST(purchase_date_id // 100 % 100 AS INTEGER) AS month, order_id, customer_id
+              FROM fact_orders WHERE purchase_date_id IS NOT NULL) f
+        GROUP BY GROUPING SETS ((year, month), (year))""",
+    "unique_line_keys": "\nUNION ALL\n".join(
+        _check_rows(t, "raw", [(f"unique_{'_'.join(keys)}", "COALESCE(sum(n - 1), 0)", "0", "eq")],
+                    f"(SELECT count(*) AS n FROM {t} GROUP BY {', '.join(keys)}) k")
+        for t, keys in [
+            ("lineitem", ["l_orderkey", "l_linenumber"]),
+            ("lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
+                          "l_extendedprice"]),
+            ("lineitem", ["l_partkey", "l_returnflag", "l_shipdate"]),
+            ("documents", ["text"]), ("documents", ["source", "text"])]),
     "money_sums_of_odd_values": f"""
         SELECT part_group, count(*) AS items,
                CASE WHEN part_group IN (1, 2, 3, 4) THEN sum(price)
@@ -418,19 +462,6 @@ FINAL: dict[str, str] = {
 }
 
 
-def _check_rows(table: str, layer: str, rows: list[tuple[str, str, str, str]], source: str) -> str:
-    """One result row per (check_name, value_expr, threshold_expr, rule) over ``source``."""
-    parts = []
-    for name, value, threshold, rule in rows:
-        op = ">" if rule == "gt" else "="
-        parts.append(
-            f"SELECT '{table}' AS table_name, '{layer}' AS layer, '{name}' AS check_name, "
-            f"COALESCE(CAST({value} AS DOUBLE) {op} CAST({threshold} AS DOUBLE), false) AS passed, "
-            f"CAST({value} AS DOUBLE) AS value, CAST({threshold} AS DOUBLE) AS threshold "
-            f"FROM {source}")
-    return "\nUNION ALL\n".join(parts)
-
-
 def _count_if(cond: str) -> str:
     return f"count(*) FILTER (WHERE {cond})"
 

@@ -23,8 +23,9 @@ AUDIT_COLUMNS = ["_ingested_at", "_ingest_date"]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def layers(spark: SparkSession, sf_dir: str) -> Layers:
-    return Layers(spark, raw_sources(spark, sf_dir), TEST_CALENDAR, EMBEDDING_BOX)
+def layers(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = (),
+           calendar: tuple[str, str] | None = TEST_CALENDAR) -> Layers:
+    return Layers(spark, raw_sources(spark, sf_dir), calendar, EMBEDDING_BOX, keep)
 
 
 def _silver(name: str) -> Query:
@@ -43,19 +44,23 @@ def _mart(name: str) -> Query:
 
 
 def dim_date_covering_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The calendar dimension spanning every purchase day of the Silver orders."""
+    """The calendar dimension spanning every purchase day."""
     from strata.plans.dims import dim_date_covering
-    return dim_date_covering(layers(spark, sf_dir).silver("orders"), "order_purchase_timestamp")
+    return dim_date_covering(layers(spark, sf_dir).purchases(), "order_purchase_timestamp")
 
 
 def dim_date_order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The calendar dimension with the orders purchased on each day
-    (0 on days without orders). Per-day counts are combined map-side; the result
-    has one row per calendar day whatever the number of orders."""
+    """The calendar dimension with the orders purchased on each day."""
     lay = layers(spark, sf_dir)
-    per_day = (lay.gold("fact_orders").groupBy(F.col("purchase_date_id").alias("date_id"))
+    return _with_orders(lay.gold("dim_date"), lay.gold("fact_orders"))
+
+
+def _with_orders(dim_date: DataFrame, fact_orders: DataFrame) -> DataFrame:
+    """Every calendar row with its number of orders (0 on days without). Per-day counts are
+    combined map-side; the result has one row per calendar day whatever the number of orders."""
+    per_day = (fact_orders.groupBy(F.col("purchase_date_id").alias("date_id"))
                .agg(F.count(F.lit(1)).alias("orders")))
-    return (lay.gold("dim_date").join(per_day, "date_id", "left")
+    return (dim_date.join(per_day, "date_id", "left")
             .withColumn("orders", F.coalesce("orders", F.lit(0).cast("bigint"))))
 
 
@@ -73,7 +78,7 @@ def dq_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.plans.suites import gold_suite
-    lay = layers(spark, sf_dir)
+    lay = layers(spark, sf_dir, keep=("orders", "order_items"))
     return gold_suite(lay.gold("fact_orders"), lay.gold("fact_order_items"),
                       lay.gold("dim_customer"), lay.gold("dim_product"),
                       lay.gold("dim_seller"), lay.silver("orders"))
@@ -81,7 +86,7 @@ def dq_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.plans.suites import acceptance_suite
-    lay = layers(spark, sf_dir)
+    lay = layers(spark, sf_dir, keep=("orders", "order_items"))
     return acceptance_suite(lay.silver("orders"), lay.silver("order_items"),
                             lay.silver("order_reviews"), lay.gold("fact_orders"),
                             lay.gold("fact_order_items"), lay.gold("dim_customer"))
@@ -115,14 +120,54 @@ def events_with_user_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_group_total(events, "user_id", money_total("value"), "user_total")
 
 
+# a calendar that leaves out orders of the test tables at both ends
+SHORT_CALENDAR = ("1996-02-01", "1998-06-30")
+
+
 def orders_outside_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders whose purchase day has no calendar row (the monthly mart would lose them)."""
+    """Orders whose purchase day has no row in a calendar of a fixed span (the monthly mart loses
+    them)."""
     from strata.operators.joins import count_orphans
-    lay = layers(spark, sf_dir)
+    lay = layers(spark, sf_dir, calendar=SHORT_CALENDAR)
     return count_orphans(lay.gold("fact_orders"), "purchase_date_id", lay.gold("dim_date"),
                          "date_id")
 
 
+def months_of_a_short_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly mart over a calendar of a fixed span: orders outside it drop out."""
+    return layers(spark, sf_dir, calendar=SHORT_CALENDAR).mart("mart_monthly_revenue")
+
+
+def days_of_a_short_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar dimension of a fixed span, with the orders purchased on each day."""
+    lay = layers(spark, sf_dir, calendar=SHORT_CALENDAR)
+    return _with_orders(lay.gold("dim_date"), lay.gold("fact_orders"))
+
+
+def orders_by_month_and_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct orders and customers of each month and, from the same bitmaps, of each year."""
+    from strata.operators.bitmaps import distinct_counts
+    day = F.col("purchase_date_id")
+    dated = layers(spark, sf_dir).gold("fact_orders").where(day.isNotNull()).select(
+        F.floor(day / 10000).cast("int").alias("year"),
+        (F.floor(day / 100).cast("int") % 100).alias("month"),
+        F.col("order_id").cast("bigint").alias("order_id"),
+        F.col("customer_id").cast("bigint").alias("customer_id"))
+    levels = [("year", "month"), ("year",)]
+    return distinct_counts(dated, levels, {"orders": "order_id", "customers": "customer_id"})
+
+
+def unique_line_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uniqueness of keys over the order lines and texts: narrow, wide, and wide with copies."""
+    from strata.operators import quality as dq
+    lines, docs = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "documents")
+    wide = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
+    return dq.combine([
+        dq.run_checks(lines, [dq.unique("l_orderkey", "l_linenumber"), dq.unique(*wide),
+                              dq.unique("l_partkey", "l_returnflag", "l_shipdate")], "lineitem", "raw"),
+        dq.run_checks(docs, [dq.unique("text"), dq.unique("source", "text")], "documents", "raw")])
+
+
 def money_sums_of_odd_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices summed per order line number and part size, with NaN, infinities, very large
     values and five decimals put in by key: nothing is dropped, rounded or thrown."""
@@ -183,6 +228,10 @@ def queries() -> dict[str, Query]:
     out["dq_gold_suite"] = dq_gold
     out["dq_acceptance_suite"] = dq_acceptance
     out["orders_outside_calendar"] = orders_outside_calendar
+    out["months_of_a_short_calendar"] = months_of_a_short_calendar
+    out["days_of_a_short_calendar"] = days_of_a_short_calendar
+    out["orders_by_month_and_year"] = orders_by_month_and_year
+    out["unique_line_keys"] = unique_line_keys
     out["money_sums_of_odd_values"] = money_sums_of_odd_values
     out["months_in_order"] = months_in_order
     out["categories_in_order"] = categories_in_order

@@ -42,17 +42,16 @@ def gold_suite(fact_orders: DataFrame, fact_items: DataFrame, dim_customer: Data
                dim_product: DataFrame, dim_seller: DataFrame, silver_orders: DataFrame,
                prefix: str = "gold.") -> DataFrame:
     """No orphan foreign keys, dimension keys present, one fact row per Silver order."""
-    return dq.combine([
-        dq.run_checks(fact_items, [dq.no_orphans("order_id", fact_orders, "order_id"),
-                                   dq.no_orphans("product_id", dim_product, "product_id"),
-                                   dq.no_orphans("seller_id", dim_seller, "seller_id")],
-                      f"{prefix}fact_order_items", "gold"),
-        dq.run_checks(fact_orders, [dq.no_orphans("customer_id", dim_customer, "customer_id"),
-                                    dq.row_count_matches(silver_orders,
-                                                         CHECK_NAMES["silver_order_count"])],
-                      f"{prefix}fact_orders", "gold"),
-        dq.run_checks(dim_customer, [dq.not_null("customer_id")], f"{prefix}dim_customer", "gold"),
-        dq.run_checks(dim_product, [dq.not_null("product_id")], f"{prefix}dim_product", "gold"),
+    return dq.run_suite([
+        (fact_items, [dq.no_orphans("order_id", fact_orders, "order_id"),
+                      dq.no_orphans("product_id", dim_product, "product_id"),
+                      dq.no_orphans("seller_id", dim_seller, "seller_id")],
+         f"{prefix}fact_order_items", "gold"),
+        (fact_orders, [dq.no_orphans("customer_id", dim_customer, "customer_id"),
+                       dq.row_count_matches(silver_orders, CHECK_NAMES["silver_order_count"])],
+         f"{prefix}fact_orders", "gold"),
+        (dim_customer, [dq.not_null("customer_id")], f"{prefix}dim_customer", "gold"),
+        (dim_product, [dq.not_null("product_id")], f"{prefix}dim_product", "gold"),
     ])
 
 
@@ -62,23 +61,21 @@ def acceptance_suite(silver_orders: DataFrame, silver_items: DataFrame,
                      gold_prefix: str = "gold.") -> DataFrame:
     """The after-run table tests: Silver keys present and unique, review score
     1..5; Gold items without an order, negative order revenue, one fact row per
-    Silver order, customer key present. Layer ``tests``; one pass per table.
+    Silver order, customer key present. Layer ``tests``; one pass per table, one shuffle.
     ``gate(spark, "tests", ...)`` turns a failure into ``DQError``."""
-    return dq.combine([
-        dq.run_checks(silver_orders, [dq.not_null("order_id"), dq.unique("order_id")],
-                      f"{silver_prefix}orders", "tests"),
-        dq.run_checks(silver_items, [dq.unique("order_id", "order_item_id")],
-                      f"{silver_prefix}order_items", "tests"),
-        dq.run_checks(silver_reviews, [dq.between("review_score", 1, 5)],
-                      f"{silver_prefix}order_reviews", "tests"),
-        dq.run_checks(fact_items, [dq.no_orphans("order_id", fact_orders, "order_id")],
-                      f"{gold_prefix}fact_order_items", "tests"),
-        dq.run_checks(fact_orders, [dq.non_negative("total_revenue"),
-                                    dq.row_count_matches(silver_orders,
-                                                         CHECK_NAMES["silver_order_count"])],
-                      f"{gold_prefix}fact_orders", "tests"),
-        dq.run_checks(dim_customer, [dq.not_null("customer_id")],
-                      f"{gold_prefix}dim_customer", "tests"),
+    return dq.run_suite([
+        (silver_orders, [dq.not_null("order_id"), dq.unique("order_id")],
+         f"{silver_prefix}orders", "tests"),
+        (silver_items, [dq.unique("order_id", "order_item_id")],
+         f"{silver_prefix}order_items", "tests"),
+        (silver_reviews, [dq.between("review_score", 1, 5)],
+         f"{silver_prefix}order_reviews", "tests"),
+        (fact_items, [dq.no_orphans("order_id", fact_orders, "order_id")],
+         f"{gold_prefix}fact_order_items", "tests"),
+        (fact_orders, [dq.non_negative("total_revenue"),
+                       dq.row_count_matches(silver_orders, CHECK_NAMES["silver_order_count"])],
+         f"{gold_prefix}fact_orders", "tests"),
+        (dim_customer, [dq.not_null("customer_id")], f"{gold_prefix}dim_customer", "tests"),
     ])
 
 

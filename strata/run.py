@@ -32,6 +32,7 @@ def main(args: list[str] | None = None, spark=None) -> int:
     parser.add_argument("--purchase-window", nargs=2, metavar=("FROM", "TO"))
     parser.add_argument("--calendar", nargs=2, metavar=("FROM", "TO"),
                         help="without it the calendar covers the orders")
+    parser.add_argument("--run-id", help="name of the run: the same when it is tried again")
     given = parser.parse_args(args)
     spark = spark or build_session(f"strata-{given.layer}")
     raw = None
@@ -44,7 +45,7 @@ def main(args: list[str] | None = None, spark=None) -> int:
         refresh_all(spark, raw, tuple(given.calendar) if given.calendar else None,
                     namespace_prefix=given.prefix, start_at=given.layer, stop_after=given.layer,
                     purchase_window=tuple(given.purchase_window) if given.purchase_window else None,
-                    csv_dir=given.csv_dir)
+                    csv_dir=given.csv_dir, run_id=given.run_id)
     except DQError as failed:
         print(failed, file=sys.stderr)
         return 1

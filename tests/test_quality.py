@@ -66,3 +66,52 @@ def test_gate_persists_then_raises(spark):
     stored = spark.table("gate_meta.dq").orderBy("run_timestamp").collect()
     assert [r.check_name for r in stored] == ["row_count_gt_0", "a_not_null"]
     assert stored[1].passed is False and stored[1].run_timestamp is not None
+
+
+def test_gate_tried_again_under_one_run_leaves_its_rows_once(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS gate_again")
+    df = spark.createDataFrame([(1,), (None,)], "a int")
+    checks = dq.run_checks(df, [dq.row_count_gt(0), dq.positive("a")], "t", "bronze")
+    for run in ("first", "first", "second"):
+        dq.gate(spark, "bronze", checks, "gate_again.dq", run_id=run)
+    dq.gate(spark, "silver", checks, "gate_again.dq", run_id="first")
+    stored = spark.table("gate_again.dq").groupBy("run_id").count().collect()
+    assert {r.run_id: r["count"] for r in stored} == {
+        "first-bronze": 2, "second-bronze": 2, "first-silver": 2}
+
+
+def test_wide_keys_are_counted_by_prints(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    rows = [(1, "a", None), (1, "a", None), (1, "b", None), (2, "a", "x"), (None, None, None), (None, None, None)]
+    df = spark.createDataFrame(rows, "a int, b string, c string")
+    wide = dq.run_checks(df, [dq.unique("a", "b", "c")], "t", "l")
+    assert results(wide)["unique_a_b_c"] == (False, 2.0, 0.0)
+    assert results(dq.run_checks(df.distinct(), [dq.unique("b", "c", "a")], "t", "l"))["unique_b_c_a"][0]
+    # keys of one print are told apart
+    monkeypatch.setattr(dq.F, "xxhash64", lambda *c: F.lit(5).cast("bigint"))
+    assert results(dq.run_checks(df, [dq.unique("a", "b", "c")], "t", "l"))["unique_a_b_c"][1] == 2.0
+    assert results(dq.run_checks(df.limit(0), [dq.unique("a", "b", "c")], "t", "l"))["unique_a_b_c"][0]
+
+
+def test_a_suite_of_related_tables_takes_one_shuffle(spark):
+    child = spark.createDataFrame([(1, "x", 5), (2, "x", 6), (None, "y", 7), (9, None, 5)], "k int, s string, v int")
+    parent = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k bigint")
+    names = spark.createDataFrame([("x",), ("z",)], "s string")
+    suite = dq.run_suite([
+        (child, [dq.no_orphans("k", parent, "k"), dq.no_orphans("s", names, "s"), dq.not_null("k"),
+                 dq.unique("v"), dq.unique("s", "v"), dq.row_count_matches(names, "as_many"),
+                 dq.row_count_gt(3)], "child", "gold"),
+        (parent, [dq.unique("k"), dq.row_count_matches(child, "same")], "parent", "gold"),
+        (names, [dq.not_null("s")], "names", "gold")])
+    got = {(r.table_name, r.check_name): (r.passed, r.value, r.threshold) for r in suite.collect()}
+    assert got == {
+        ("child", "fk_k_in_k"): (False, 2.0, 0.0), ("child", "fk_s_in_s"): (False, 2.0, 0.0),
+        ("child", "k_not_null"): (False, 1.0, 0.0), ("child", "unique_v"): (False, 1.0, 0.0),
+        ("child", "unique_s_v"): (True, 0.0, 0.0), ("child", "as_many"): (False, 4.0, 2.0),
+        ("child", "row_count_gt_3"): (True, 4.0, 3.0), ("parent", "unique_k"): (False, 1.0, 0.0),
+        ("parent", "same"): (True, 4.0, 4.0), ("names", "s_not_null"): (True, 0.0, 0.0)}
+    plan = suite._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[2]
+    # the one by (check, key), and that of its few sums by check
+    assert plan.count("Exchange hashpartitioning") == 2
+    none = dq.run_suite([(child.limit(0), [dq.no_orphans("k", parent, "k"), dq.row_count_gt(0)], "c", "g")])
+    assert {(r.check_name, r.passed) for r in none.collect()} == {("fk_k_in_k", True), ("row_count_gt_0", False)}

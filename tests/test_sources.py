@@ -92,25 +92,72 @@ def test_write_partitioned_spreads_hot_day(spark):
     assert len(files) > 1  # the hot day was written by several tasks
 
 
+def _finished(spark, root):
+    from strata.sources import fs
+    return [v for v in fs.subdirectories(spark, root) if fs.exists(spark, f"{root}/{v}/_SUCCESS")]
+
+
 def test_replace_moves_no_data_and_keeps_two_versions(spark):
+    from strata.sources.tables import _versions_root, list_tables, published_version
     spark.sql("CREATE DATABASE IF NOT EXISTS rv")
-    spark.sql("DROP TABLE IF EXISTS rv.t")
     for n in [3, 4, 5]:
         assert replace_table(spark.range(n), "rv.t") == n
     assert spark.table("rv.t").count() == 5
-    info = spark.catalog.getTable("rv.t")
-    assert info.tableType == "EXTERNAL"
-    loc = spark.sql("DESCRIBE TABLE EXTENDED rv.t").where("col_name = 'Location'").first()[1]
-    root = loc.rsplit("/", 1)[0]
-    assert root.endswith("/t__versions")
-    kept = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
-        .load(root).select(F.regexp_extract("path", r"/(v\d+-[0-9a-f]+)/", 1).alias("v")) \
-        .distinct().count()
-    assert kept == 2
+    assert spark.catalog.getTable("rv.t").tableType == "VIEW"
+    kept = _finished(spark, _versions_root(spark, "rv.t"))
+    assert len(kept) == 2 and kept[-1] == published_version(spark, "rv.t")
+    assert [r.tableName for r in list_tables(spark, "rv").collect()] == ["t"]
+    assert spark.sql("SHOW TABLES IN rv").count() == 3
     # a managed table of the same name is replaced without touching the new data
-    spark.sql("DROP TABLE rv.t")
+    spark.sql("DROP VIEW rv.t")
     spark.range(7).write.saveAsTable("rv.t")
     assert replace_table(spark.range(2), "rv.t") == 2 and spark.table("rv.t").count() == 2
+    # other columns
+    assert replace_table(spark.range(2).selectExpr("'a' as x", "id"), "rv.t", ["x"]) == 2
+    assert spark.table("rv.t").columns == ["id", "x"]
+
+
+def test_readers_see_one_version_at_a_time(spark):
+    """A reader in a loop, while partitions and columns change, finds each version whole."""
+    import threading
+    spark.sql("CREATE DATABASE IF NOT EXISTS ra")
+
+    def version(k):
+        df = spark.range(60).selectExpr(f"{k} as version", "id", f"id % {3 + k % 4} as day")
+        return df.withColumn("extra", F.lit("x")) if k % 3 == 2 else df
+    replace_table(version(0), "ra.t", ["day"])
+    seen, errors, stop = [], [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            try:
+                rows = spark.table("ra.t").select("version", "id", "day").collect()
+                seen.append(({r.version for r in rows}, len(rows), {r.day for r in rows}))
+            except Exception as e:  # noqa: BLE001 - shown by the assertion below
+                errors.append(e)
+    readers = [threading.Thread(target=read) for _ in range(3)]
+    for r in readers:
+        r.start()
+    for k in range(1, 9):
+        replace_table(version(k), "ra.t", ["day"], keep_versions=9)
+    stop.set()
+    for r in readers:
+        r.join()
+    assert not errors and len(seen) > 3
+    for versions, rows, days in seen:
+        assert len(versions) == 1 and rows == 60
+        assert len(days) == 3 + next(iter(versions)) % 4
+
+
+def test_a_slower_refresh_does_not_bring_back_an_older_version(spark, monkeypatch):
+    from strata.sources import tables
+    spark.sql("CREATE DATABASE IF NOT EXISTS rs")
+    began = tables._new_version()
+    replace_table(spark.range(5), "rs.t")
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_new_version", lambda: began)  # began before the one above, ends after
+        replace_table(spark.range(9), "rs.t")
+    assert spark.table("rs.t").count() == 5
 
 
 def test_jdbc_text_key_split_by_predicates(spark):
@@ -127,6 +174,28 @@ def test_jdbc_text_key_split_by_predicates(spark):
     assert back.count() == 500 and back.agg(F.sum("v")).first()[0] == sum(range(500))
 
 
+def test_jdbc_text_key_split_by_quantiles(spark):
+    from strata.sources.jdbc import text_key_ranges
+    url = derby_memory_url("strata_test_quantiles")
+    props = {"driver": DERBY_DRIVER}
+    # one key holds a third of the rows, some are NULL, one has a quote
+    key = F.when(F.col("id") % 3 == 0, F.lit("it's")).when(F.col("id") % 50 == 1, None) \
+        .otherwise(F.format_string("k%04d", F.col("id") * 7919 % 1000))
+    src = spark.range(0, 900).select(key.alias("key"), F.col("id").alias("v"))
+    write_jdbc(src, url, "t", props)
+    k = 'CAST("key" AS VARCHAR(16))'        # Derby keeps Spark strings as CLOB
+    ranges = text_key_ranges(spark, url, "t", k, 6, props)
+    assert "it''s" in " ".join(ranges) and 4 <= len(ranges) <= 7
+    back = read_jdbc(spark, url, "t", props, predicates=ranges)
+    assert sorted(r.v for r in back.collect()) == list(range(900))
+    sizes = [r["count"] for r in back.where("key IS NOT NULL").groupBy(F.spark_partition_id()).count().collect()]
+    # the hot key has the least value, so nothing lies before it
+    assert len(sizes) == len(ranges) - 2 and max(sizes) <= 300 + 900 // 6
+    write_jdbc(src.limit(0), url, "e", props)
+    none = text_key_ranges(spark, url, "e", k, 6, props)
+    assert read_jdbc(spark, url, "e", props, predicates=none).count() == 0
+
+
 def test_csv_columns_follow_the_header(spark, tmp_path):
     from pyspark.sql.types import StringType, StructField, StructType
     schema = StructType([StructField(n, StringType()) for n in ("id", "name", "gone")])
@@ -147,25 +216,28 @@ def test_csv_files_with_other_headers_fail(spark, tmp_path):
         read_csv(spark, str(tmp_path), schema).collect()
 
 
-def test_partitioned_replace_keeps_table_and_unfinished_folders(spark):
+def test_partitioned_replace_keeps_odd_partitions_and_unfinished_folders(spark):
+    import time
     from strata.sources import fs
-    from strata.sources.tables import _versions_root, ensure_namespaces, replace_table
+    from strata.sources.tables import _versions_root, ensure_namespaces
     ensure_namespaces(spark, ["swap_db"])
-    name, root = "swap_db.t", None
-    first = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "x int, p string")
-    replace_table(first, name, ["p"])
+    name = "swap_db.t"
+    odd = [(1, "a"), (2, "007"), (3, None), (4, "it's"), (5, "a/b=c %")]
+    replace_table(spark.createDataFrame(odd, "x int, p string"), name, ["p"])
+    assert sorted(tuple(r) for r in spark.table(name).collect()) == odd
     root = _versions_root(spark, name)
-    # a slower refresh that is still writing: no _SUCCESS yet
-    unfinished = f"{root}/v00000000000000000001-slow"
-    spark.createDataFrame([(9,)], "x int").write.parquet(unfinished)
-    fs.delete(spark, f"{unfinished}/_SUCCESS")
+    # a slower refresh that is still writing (no _SUCCESS yet), and one lost long ago
+    unfinished = f"{root}/v{time.time_ns():020d}_00000000"
+    lost = f"{root}/v{time.time_ns() - 8 * 86_400 * 10 ** 9:020d}_00000000"
+    for folder in (unfinished, lost):
+        spark.createDataFrame([(9,)], "x int").write.parquet(folder)
+        fs.delete(spark, f"{folder}/_SUCCESS")
     for k in range(4):
         replace_table(spark.createDataFrame([(k, "a"), (k, "c")], "x int, p string"), name, ["p"])
         rows = sorted(tuple(r) for r in spark.table(name).collect())
         assert rows == [(k, "a"), (k, "c")]
-    assert fs.exists(spark, unfinished)
-    finished = [v for v in fs.subdirectories(spark, root) if fs.exists(spark, f"{root}/{v}/_SUCCESS")]
-    assert len(finished) == 2
+    assert fs.exists(spark, unfinished) and not fs.exists(spark, lost)
+    assert len(_finished(spark, root)) == 2
 
 
 def test_stream_keeps_the_session_zone(spark, tmp_path):
@@ -254,3 +326,61 @@ def test_split_csv_of_odd_files(spark, tmp_path, small_splits):
     (tmp_path / "other.csv").write_text('id,zip,msg\n1,2,"open\n')
     with pytest.raises(ValueError, match="odd number of quotes"):
         read_csv(spark, str(tmp_path), SCHEMA, parallel=True)
+
+
+def _files(spark, name):
+    from strata.sources.tables import _part_folders
+    found = {}
+    for part, folder in _part_folders(spark, name).items():
+        path = folder.replace("file:", "")
+        found[part] = len([f for f in os.listdir(path) if f.endswith(".parquet")])
+    return found
+
+
+def test_a_run_is_stored_once_and_days_become_one_file(spark):
+    import datetime as dt
+
+    from strata.sources.tables import append_run, compact_runs
+    spark.sql("CREATE DATABASE IF NOT EXISTS runs_db")
+    name, day = "runs_db.log", dt.datetime(2024, 3, 1, 12)
+    rows = lambda k, d, n=2: spark.createDataFrame(
+        [(k * 10 + i, day + dt.timedelta(days=d, hours=k)) for i in range(n)], "n int, run_timestamp timestamp")
+    for k in range(6):
+        append_run(rows(k, k // 3), name, f"run {k}/it's")
+    assert append_run(rows(2, 0, 3), name, "run 2/it's") == 3  # tried again, with one row more
+    stored = lambda: sorted(r.n for r in spark.table(name).collect())
+    want = sorted([k * 10 + i for k in range(6) for i in range(2)] + [22])
+    assert stored() == want
+    assert compact_runs(spark, name, dt.date(2024, 3, 2)) == {"day-2024-03-01": 7}
+    assert stored() == want and _files(spark, name)["day-2024-03-01"] == 1
+    assert compact_runs(spark, name, dt.date(2024, 3, 2)) == {}
+    # tried again after its rows were moved, then moved again
+    append_run(rows(1, 0, 1), name, "run 1/it's")
+    want.remove(11)
+    assert stored() == want
+    assert compact_runs(spark, name, dt.date(2030, 1, 1)) == {"day-2024-03-01": 6, "day-2024-03-02": 6}
+    assert stored() == want and _files(spark, name) == {"day-2024-03-01": 1, "day-2024-03-02": 1}
+    assert {r.run_id for r in spark.table(name).collect()} == {f"run {k}/it's" for k in range(6)}
+    with pytest.raises(ValueError):
+        append_run(spark.range(3), name, "other columns")
+
+
+def test_packing_fills_bins_up_to_the_target():
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from strata.sources.tables import pack
+
+    @settings(max_examples=100, deadline=None)
+    @given(st.lists(st.integers(0, 250), max_size=30))
+    def check(sizes):
+        items = {f"i{k}": s for k, s in enumerate(sizes)}
+        bins = pack(items, 100)
+        load = {}
+        for i, (b, n) in bins.items():
+            assert n == max(1, -(-items[i] // 100))
+            for k in range(b, b + n):
+                load.setdefault(k, []).append(items[i])
+        assert bins.keys() == items.keys() and sorted(load) == list(range(len(load)))
+        assert all(sum(v) <= 100 or sum(v) == max(v) for v in load.values())
+    check()
