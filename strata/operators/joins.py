@@ -66,6 +66,31 @@ def _salted_join(detail: DataFrame, keyed: DataFrame, keys: list[str], hot: Data
     return salted.join(repeated, keys + ["__salt"], how).drop("__salt")
 
 
+def _salts(df: DataFrame, hot_rows: int | None) -> bool:
+    """Whether hot keys are salted: if the rows of a hot key are given, here or by the session, or
+    the session does not split skewed join partitions at run time (Spark's defaults do)."""
+    conf = df.sparkSession.conf
+    split = all(conf.get(f"spark.sql.adaptive.{k}", "true").lower() == "true"
+                for k in ("enabled", "skewJoin.enabled"))
+    return hot_rows is not None or bool(conf.get(HOT_ROWS, None)) or not split
+
+
+def _split_join(detail: DataFrame, keyed: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """``detail`` joined to ``keyed`` (at most one row per key) by two plain shuffles, of which AQE
+    splits the partitions of hot keys once it has seen their sizes; no job runs before.
+
+    AQE leaves a side alone that is already partitioned by the key, as the output of an aggregate
+    or a de-duplication is. So both sides are joined on the keys put into one struct, which no
+    partitioning is known for. Rows with a NULL key match nothing: they are left out of ``keyed``,
+    and those of ``detail`` are a hot key like any other."""
+    packed = F.struct(*[F.col(k) for k in keys]).alias("__key")
+    rest = [c for c in keyed.columns if c not in keys]
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    others = [c for c in detail.columns if c not in keys]
+    return detail.select("*", packed).join(keyed.where(known).select(packed, *rest), "__key", how) \
+        .select(*keys, *others, *rest)
+
+
 # bytes per value of fixed-width types (others count 16)
 _WIDTH = {"BooleanType": 1, "ByteType": 1, "ShortType": 2, "IntegerType": 4, "FloatType": 4,
           "DateType": 4, "LongType": 8, "DoubleType": 8, "TimestampType": 8,
@@ -119,16 +144,18 @@ def join_keyed(detail: DataFrame, keyed: DataFrame, on: str | Sequence[str], how
     shuffled at all and hot keys do not matter. Use it for code tables, not for a
     side that grows with the data (the measurement is a job of its own).
 
-    Otherwise hot keys are salted. AQE's skew-join split only applies when both
-    inputs are plain shuffles; a keyed side that comes out of an aggregate or a
-    de-duplication window is not, so a hot key would stay in one task. Detail rows
-    are counted per key (combined map-side; the counts are written to the shared
-    folder, so ``detail`` is read once for them and once for the join) and every key
-    over ``hot_rows`` is salted.
+    Otherwise AQE splits the partitions of hot keys (``_split_join``), where the
+    session has it on and no ``hot_rows`` are given (here or by the session), and nothing
+    runs before the query does. Otherwise hot keys are salted: detail rows are
+    counted per key (combined map-side; the counts are written to the shared folder,
+    so ``detail`` is read once for them and once for the join) and every key over
+    ``hot_rows`` is salted.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if broadcast_rows > 0 and _fits(keyed, broadcast_rows, _broadcast_bytes(keyed.sparkSession)):
         return detail.join(F.broadcast(keyed), keys, how)
+    if not _salts(detail, hot_rows):
+        return _split_join(detail, keyed, keys, how)
     limit = _setting(detail, HOT_ROWS, hot_rows)
     counts = detail.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     hot = _hot_keys(cut_lineage(counts.where(F.col("__n") > F.lit(limit))), keys, "__n", limit)
@@ -160,12 +187,13 @@ def attach_group_total(detail: DataFrame, source: DataFrame, key: str, total: Co
     ``source`` (a left join: a NULL or unmatched key gets NULL).
 
     The totals are one row per key (combined map-side), but joining them back
-    moves every detail row to its key's reducer, and AQE cannot split a hot key
-    here (the totals side is an aggregate, not a plain shuffle). So hot keys are
-    salted as in ``join_keyed``; their row counts come with the totals (``source``
-    rows). The totals are written once to the shared folder, and both the hot keys
-    and the join read them there: ``source`` is read once, and ``detail`` once.
+    moves every detail row to its key's reducer. AQE splits the hot keys there, as in
+    ``join_keyed``; otherwise they are salted, and their row counts
+    come with the totals (``source`` rows), which are then written once to the shared
+    folder, and both the hot keys and the join read them there.
     """
+    if not _salts(detail, hot_rows):
+        return _split_join(detail, source.groupBy(key).agg(total.alias(name)), [key], "left")
     totals = cut_lineage(source.groupBy(key).agg(total.alias(name),
                                                  F.count(F.lit(1)).alias("__n")))
     hot = _hot_keys(totals, [key], "__n", _setting(detail, HOT_ROWS, hot_rows))

@@ -314,15 +314,14 @@ def run_suite(parts: Sequence[Part]) -> DataFrame:
     lost = F.when(F.col("key").isNull() | (F.col("right") == 0), F.col("left")).otherwise(F.lit(0))
     sums = by_key.groupBy("check").agg(
         F.sum("left").alias("left"), F.sum("right").alias("right"), F.count(F.lit(1)).alias("keys"),
-        F.sum(lost).alias("orphans")).groupBy().agg(F.collect_list(F.struct("*")).alias("all"))
-    # a row for each check: a check without any row has sums of 0
-    def of_check(number: int):
-        return lambda s: s["check"] == number
-
-    found = [F.get(F.filter("all", of_check(i)), F.lit(0)) for i in range(len(measures))]
+        F.sum(lost).alias("orphans"))
+    # a column for each check's sum (a row a check becomes one row); 0 for a check without any row
+    names = ("left", "right", "keys", "orphans")
+    sums = sums.agg(*[F.coalesce(F.max(F.when(F.col("check") == i, F.col(n))), F.lit(0)).alias(f"{n}{i}")
+                      for i in range(len(measures)) for n in names])
     results = []
-    for sums_of, m in zip(found, measures, strict=True):
-        parts_of = {n: F.coalesce(sums_of[n], F.lit(0)) for n in ("left", "right", "keys", "orphans")}
+    for i, m in enumerate(measures):
+        parts_of = {n: F.col(f"{n}{i}") for n in names}
         value, threshold, rule = m.sums
         value = parts_of["left"] - parts_of["keys"] if value == "left - keys" else parts_of[value]
         threshold = parts_of[threshold] if threshold in parts_of else F.lit(float(threshold))

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import merged_parts, money_parts, money_total, pct, round2
 from strata.operators.joins import join_keyed
-from strata.session import cut_lineage
 
 
 def monthly_revenue(fact_orders: DataFrame, dim_date: DataFrame | None) -> DataFrame:
@@ -107,9 +106,8 @@ def review_by_category(fact_reviews: DataFrame, fact_items: DataFrame,
         F.count("review_score").alias("__scored"),
         F.count(F.lit(1)).alias("__rows"))
     per_item = fact_items.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("__k"))
-    # counting the hot orders and joining both read the items: they are read once and kept.
-    # An order with very many products is salted, not sent to one task.
-    per_product = (join_keyed(cut_lineage(per_item), per_order, "order_id", "inner")
+    # an order with very many products is split, not sent to one task
+    per_product = (join_keyed(per_item, per_order, "order_id", "inner")
                    .groupBy("product_id")
                    .agg(F.sum(F.col("__s") * F.col("__k")).alias("__s"),
                         F.sum(F.col("__scored") * F.col("__k")).alias("__scored"),

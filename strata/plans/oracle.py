@@ -384,6 +384,22 @@ FINAL: dict[str, str] = {
                CAST(count(*) FILTER (WHERE o_custkey % 50 <> 1) AS DOUBLE) AS value,
                CAST(count(*) AS DOUBLE) AS threshold
         FROM orders""",
+    "listed_tables": "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}"
+        for t in ("customer", "nation", "orders", "supplier")),
+    "sized_session": """
+        SELECT fact, true AS holds, customers, lines
+        FROM (VALUES ('a reducer gets its bytes or less'), ('two waves of tasks or more'),
+                     ('no more than the input asks for'), ('splits are as large as asked'),
+                     ('settings are in force')) AS f(fact),
+             (SELECT count(DISTINCT o_custkey) AS customers, count(*) AS lines
+              FROM lineitem JOIN orders ON l_orderkey = o_orderkey) j""",
+    "results_stored_once_a_run": """
+        SELECT 'group ' || (user_id % 3) AS run_id, count(*) AS rows,
+               CAST(sum(event_id) AS BIGINT) AS key_sum,
+               CAST((SELECT 2 * count(*) + count(*) FILTER (WHERE user_id % 3 = 1) FROM events) AS BIGINT)
+                 AS rows_written
+        FROM events WHERE user_id IS NOT NULL GROUP BY 1""",
     "csv_documents_in_splits": """
         SELECT count(*) AS csv_records, CAST(sum(doc_id) AS BIGINT) AS key_sum,
           CAST(sum(CAST('0x' || substr(md5('"' || text || '",' || chr(10) || source), 1, 8) AS BIGINT)) AS BIGINT)

@@ -107,7 +107,7 @@ def single_partition_inputs(text: str) -> list[str]:
 
 
 def test_calendar_is_broadcast_and_single_partitions_only_get_partials(spark):
-    assert "BroadcastHashJoin" in plan(queries()["mart_monthly_revenue"](spark, SF))
+    assert "BroadcastHashJoin" in plan(queries()["months_of_a_short_calendar"](spark, SF))
     for name in ["mart_monthly_revenue", "mart_state_performance", "mart_review_by_category",
                  "mart_customer_retention", "mart_delivery_kpi", "fact_orders", "dq_silver_suite",
                  "dq_gold_suite", "silver_order_payments"]:
@@ -273,3 +273,36 @@ def test_broadcast_threshold_text_forms():
 
     for text, want in [("10485760b", 10 << 20), ("20MB", 20 << 20), ("-1", -1), ("1g", 1 << 30)]:
         assert _broadcast_bytes(Remote(text)) == want
+
+
+def test_a_skewed_join_is_split_at_run_time_without_a_job_before(spark):
+    from strata.operators import add_group_total, join_keyed
+    confs = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false",
+             "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    rows = spark.range(0, 40000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id") % 900).alias("k"), F.col("id"))
+    keyed = spark.range(500).selectExpr("id as k", "id * 2 as attr").union(
+        spark.createDataFrame([(None, -1)], "k long, attr long"))
+    sc = spark.sparkContext
+    try:
+        sc.setJobGroup("skew-build", "")
+        built = [join_keyed(rows, keyed, "k", "left"), join_keyed(rows, keyed, "k", "inner"),
+                 add_group_total(rows, "k", F.count(F.lit(1)), "n")]
+        assert list(sc.statusTracker().getJobIdsForGroup("skew-build")) == []
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        want = [rows.join(keyed, "k", "left"), rows.join(keyed, "k", "inner"),
+                rows.join(rows.where("k is not null").groupBy("k").count(), "k", "left")]
+        for got, brute in zip(built, want):
+            assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, brute.collect()), key=repr)
+            final = got._jdf.queryExecution().executedPlan().toString()
+            assert "skew=true" in final.partition("Initial Plan")[0], final[:3000]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
