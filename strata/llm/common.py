@@ -6,15 +6,19 @@ Words are ``[^\\x20\\x09-\\x0D]+`` in every operator that says "words": exactly
 
 from __future__ import annotations
 
-import tempfile
+import ctypes
+import functools
+import inspect
 import uuid
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import shared_dir
+
 # the largest piece of text handled at once inside a task
 CHUNK_BYTES = 1 << 20
 
@@ -23,22 +27,49 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; only a session without that
-    setting (tests) gets a new temporary folder."""
-    current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        conf = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(conf or tempfile.mkdtemp(prefix="llm-ckpt-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/")
+def fresh_name(name: str, taken: Collection[str]) -> str:
+    """``name``, or with underscores added if a column has it already (in any case)."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system. A Python worker lives on between tasks and stages, and
+    keeps what the allocators hold; several wait beside those at work."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def frugal(task):
+    """The Arrow task (a generator of batches, or a function of tables), giving back its memory
+    when it ends."""
+    if inspect.isgeneratorfunction(task):
+        @functools.wraps(task)
+        def run(*args):
+            try:
+                yield from task(*args)
+            finally:
+                give_back()
+    else:
+        @functools.wraps(task)
+        def run(*args):
+            try:
+                return task(*args)
+            finally:
+                give_back()
+    run.__signature__ = inspect.signature(task)
+    return run
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost
     executors, and keeps column pruning for what reads it."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

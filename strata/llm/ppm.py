@@ -17,6 +17,8 @@ empty context all remaining symbols are alike. The symbols of a context are amon
 shorter one, so the cost needs, of each context, only N, T, and E: the count its symbols have
 after the context one byte shorter.
 
+Blocks are named so that each is a task of its own.
+
 The base counts of words travel by blocks of documents: a block sends each different word once,
 and gets back the words' counts in the training part; no task holds the vocabulary.
 """
@@ -34,9 +36,10 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import (
     LOWER,
-    cell_batch,
     chunks,
     earlier,
+    frugal,
+    give_back,
     materialise,
     mix,
     row_sums,
@@ -83,15 +86,6 @@ class Trie:
             node = flat[node * np.int32(SYMBOLS) + earlier(symbols, offsets, k, END)]
         return node
 
-    def deepest(self, symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """The node of the longest context of the trie before each symbol."""
-        node = np.full(len(symbols), ROOT, np.int32)
-        best, flat = node, self.child.ravel()
-        for k in range(1, len(self.first)):
-            node = flat[node * np.int32(SYMBOLS) + earlier(symbols, offsets, k, END)]
-            best = np.maximum(best, node)  # deeper nodes have higher numbers
-        return best
-
     def grow(self, parents: np.ndarray, added: np.ndarray) -> None:
         """Add the contexts ``added[i]`` + context of ``parents[i]`` as the next depth."""
         begin = len(self.child)
@@ -103,65 +97,22 @@ class Trie:
     def size(self, depth: int) -> int:
         return (self.first + [len(self.child)])[depth + 1] - self.first[depth]
 
-    def costs(self) -> np.ndarray:
-        """log10 probability of every symbol after every node, float32 [nodes, SYMBOLS]."""
-        out = np.zeros((len(self.child), SYMBOLS), np.float32)
-        for depth, counts in enumerate(self.counts):
-            begin = self.first[depth]
-            for a in range(0, len(counts), 2048):
-                own = counts[a:a + 2048].astype(np.float64)
-                seen = own > 0
-                total, kinds = own.sum(1), seen.sum(1).astype(np.float64)
-                if depth == 0:
-                    left = SYMBOLS - kinds
-                    rest = np.where(seen, 0.0, -np.log10(np.maximum(left, 1))[:, None])
-                else:
-                    rest = self._escaped(depth, a, seen)
-                escape = np.log10(np.maximum(kinds, 1)) - np.log10(np.maximum(total + kinds, 1))
-                with np.errstate(divide="ignore"):
-                    direct = np.log10(own) - np.log10(np.maximum(total + kinds, 1))[:, None]
-                out[begin + a:begin + a + len(own)] = np.where(seen, direct, escape[:, None] + rest)
-        return out
-
-    def _escaped(self, depth: int, a: int, out_of: np.ndarray) -> np.ndarray:
-        """log10 probabilities, after an escape from the nodes a.. of ``depth``, of the symbols
-        that those nodes (out_of: their symbols) have not seen."""
-        node = self.parent[depth][a:a + len(out_of)]
-        result = np.zeros(out_of.shape)
-        spent = np.zeros(len(out_of))  # log10 of the escapes so far
-        excluded = out_of.copy()
-        for d in range(depth - 1, -1, -1):
-            counts = self.counts[d][node - self.first[d]].astype(np.float64)
-            counts[excluded] = 0
-            here = counts > 0
-            total, kinds = counts.sum(1), here.sum(1)
-            norm = np.log10(np.maximum(total + kinds, 1))
-            at, sym = np.nonzero(here)
-            result[at, sym] = np.log10(counts[at, sym]) + (spent - norm)[at]
-            spent += np.where(kinds > 0, np.log10(np.maximum(kinds, 1)) - norm, 0.0)
-            excluded |= here
-            node = self.parent[d][node - self.first[d]]
-        left = SYMBOLS - excluded.sum(1)
-        at, sym = np.nonzero(~excluded)
-        result[at, sym] = (spent - np.log10(np.maximum(left, 1)))[at]
-        return result
-
-
-def count_level(trie: Trie, depth: int, batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-    """After the nodes of ``depth``: the symbols seen, and (in the second half) the bytes that
-    stand before the context."""
-    begin, size = trie.first[depth], trie.size(depth)
-    half = size * SYMBOLS
-    out = np.zeros(2 * half, np.int64)
-    for part in chunks(batches, "text", 8 << 20):
+
+def count_level(trie: Trie, depth: int, batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+    """After the nodes of ``depth``: the symbols seen, and (in the second half of the cells) the
+    bytes that stand before the context; the cells that occur, in order, and how often."""
+    begin, half = trie.first[depth], trie.size(depth) * SYMBOLS
+    cells, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for part in chunks(batches, "text"):
         symbols, offsets = symbols_of(part.column("text"))
         node = trie.nodes(symbols, offsets, depth) - begin
         ok = node >= 0
-        base = node[ok] * np.int32(SYMBOLS)
-        out[:half] += np.bincount(base + symbols[ok], minlength=half)
+        base = node[ok].astype(np.int64) * SYMBOLS
         before = earlier(symbols, offsets, depth + 1, END)[ok]
-        out[half:] += np.bincount(base + before, minlength=half)
-    return out
+        found, times = np.unique(np.concatenate([base + symbols[ok], base + before + half]),
+                                 return_counts=True)
+        cells, n = summed(np.concatenate([cells, found]), np.concatenate([n, times]))
+    return cells, n
 
 
 def learn(trie: Trie, depth: int, counted: np.ndarray, last: bool, share: float) -> None:
@@ -193,8 +144,10 @@ def fit(rows: DataFrame, depth: int = LOW, share: float = 0.0) -> Trie:
 def _counted(rows: DataFrame, trie: Trie, depth: int) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(trie)
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield cell_batch(count_level(shared.value, depth, batches))
+        cells, n = count_level(shared.value, depth, batches)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(n)], ["cell", "n"])
 
     return rows.select("text").mapInArrow(run, "cell bigint, n bigint")
 
@@ -220,7 +173,7 @@ class GramCounts:
     """The different grams of a block with their occurrences in training rows."""
 
     def __init__(self):
-        self.pieces, self.waiting, self.most = [], 0, 4 << 20
+        self.pieces, self.waiting, self.most = [], 0, 1 << 20
 
     def add(self, grams: np.ndarray, train: np.ndarray) -> None:
         known, n = np.unique(grams[train], return_counts=True)
@@ -230,7 +183,7 @@ class GramCounts:
         if self.waiting > self.most:
             self.pieces = [self.result()]
             self.waiting = len(self.pieces[0][0])
-            self.most = 2 * self.waiting + (4 << 20)
+            self.most = self.waiting + (1 << 20)
 
     def result(self) -> tuple[np.ndarray, np.ndarray]:
         return summed(*(np.concatenate(x) for x in zip(*self.pieces, strict=True)))
@@ -258,6 +211,7 @@ def _block_grams(depth: int, parts: int):
     """(block, part, grams, n): the different grams of each block, by the parts that own them."""
     rest = BITS * (depth - min(depth, LOW + 1) + 1)
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, GramCounts] = {}
         for piece in chunks(batches, "text"):
@@ -356,6 +310,7 @@ def _tokens(text: bytes) -> list[bytes]:
     return [*text.lower().split(), b""]
 
 
+@frugal
 def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(block, word, n): each word of each block once, with its occurrences in training rows."""
     seen: dict[int, Counter] = {}
@@ -377,32 +332,16 @@ def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array([words[w] for w in some], pa.int64())], ["block", "word", "n"])
 
 
-class Scorer:
-    """Scores texts under a trie alone, by its table of costs: the same model where the trie holds
-    every context."""
-
-    def __init__(self, child: np.ndarray, first: list[int], costs: np.ndarray):
-        self.trie = Trie()
-        self.trie.child, self.trie.first = child, first
-        self.costs = costs.ravel()
-
-    def text_scores(self, table: pa.Table) -> np.ndarray:
-        out = []
-        for part in chunks(iter(table.to_batches()), "text"):
-            symbols, offsets = symbols_of(part.column("text"))
-            node = self.trie.deepest(symbols, offsets)
-            out.append(row_sums(self.costs[node * np.int32(SYMBOLS) + symbols], offsets))
-        return np.concatenate(out) if out else np.zeros(0)
-
-
 def gram_scores(docs: pa.Table, costs: pa.Table, depth: int) -> np.ndarray:
     """The score of every row, given the costs of the block's grams."""
     if docs.num_rows == 0:
         return np.zeros(0)
-    grams = np.concatenate([_unpack_grams(g) for g in costs["grams"].to_pylist()])
-    cost = np.concatenate([np.frombuffer(c, np.float32) for c in costs["costs"].to_pylist()])
+    grams = np.concatenate([_unpack_grams(g.as_py()) for g in costs["grams"]])
     order = np.argsort(grams)
-    grams, cost, out = grams[order], cost[order], []
+    grams = grams[order]
+    cost = np.concatenate([np.frombuffer(c.as_py(), np.float32) for c in costs["costs"]])[order]
+    del order
+    out = []
     for part in chunks(iter(docs.to_batches()), "text"):
         symbols, offsets = symbols_of(part.column("text"))
         asked, of = np.unique(grams_of(symbols, offsets, depth), return_inverse=True)
@@ -410,31 +349,59 @@ def gram_scores(docs: pa.Table, costs: pa.Table, depth: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def word_scores(docs: pa.Table, count: dict[bytes, int]) -> list[np.ndarray]:
+    """Of every row: tokens, known tokens, and the sum of log10(count + 1)."""
+    out = []
+    for part in chunks(iter(docs.to_batches()), "text"):
+        split = [_tokens(t) for t in texts(part.column("text"))]
+        n_tokens = np.array([len(w) for w in split], np.int64)
+        c = np.array([count[w] for words in split for w in words], np.int64)
+        offsets = np.concatenate([[0], np.cumsum(n_tokens)])
+        out.append((n_tokens, row_sums(c > 0, offsets).astype(np.int64),
+                    row_sums(np.log10(c + 1.0), offsets)))
+    return [np.concatenate(x) for x in zip(*out, strict=True)] if out else \
+        [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+
+
 def block_scores(depth: int):
     """Scores the rows of a block, given the counts of its words and the costs of its grams."""
+    @frugal
     def run(docs: pa.Table, facts: pa.Table) -> pa.Table:
         is_word = pc.is_valid(facts["word"])
-        words, costs = facts.filter(is_word), facts.filter(pc.invert(is_word))
-        count = dict(zip(words["word"].to_pylist(), words["total"].to_pylist(), strict=True))
-        split = [_tokens(t) for t in texts(docs["text"])]
-        n_tokens = np.array([len(w) for w in split], np.int64)
-        c = np.array([count[w] for w_list in split for w in w_list], np.int64)
-        offsets = np.concatenate([[0], np.cumsum(n_tokens)])
-        rows = len(split)
+        words = facts.filter(is_word)
+        n_tokens, n_known, log_counts = word_scores(
+            docs, dict(zip(words["word"].to_pylist(), words["total"].to_pylist(), strict=True)))
+        rows = docs.num_rows
         tokens, kinds = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
         if rows:  # what the block adds to the corpus totals, on its first row
             tokens[0] = np.sum(words["n"].to_numpy())
             kinds[0] = np.sum(words["first"].to_numpy(zero_copy_only=False)
                               & (words["total"].to_numpy() > 0))
+        del words
+        give_back()
         return pa.table({
-            "id": docs["id"], "train": docs["train"], "n_tokens": n_tokens,
-            "n_known": row_sums(c > 0, offsets).astype(np.int64),
-            "log_counts": row_sums(np.log10(c + 1.0), offsets),
-            "score": gram_scores(docs, costs, depth), "block_tokens": tokens, "block_kinds": kinds})
+            "id": docs["id"], "train": docs["train"], "n_tokens": n_tokens, "n_known": n_known,
+            "log_counts": log_counts,
+            "score": gram_scores(docs, facts.filter(pc.invert(is_word)), depth),
+            "block_tokens": tokens, "block_kinds": kinds})
 
     return run
 
 
+def block_names(rows: DataFrame, blocks: int) -> list[int]:
+    """``blocks`` numbers that Spark's hash partitioning puts into as many different partitions, so
+    that no task is dealt two blocks (or none)."""
+    found: dict[int, int] = {}
+    upto = 0
+    while len(found) < blocks:
+        begin, upto = upto, 2 * upto + 16 * blocks
+        part = F.pmod(F.hash("id"), F.lit(blocks))
+        for r in rows.sparkSession.range(begin, upto).groupBy(part.alias("part")).agg(
+                F.min("id").alias("name")).collect():
+            found.setdefault(r.part, r.name)
+    return [found[p] for p in range(blocks)]
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
           block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Every row of ``docs`` with its scores, learned from the rows whose id is not held out
@@ -452,8 +419,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
     low = spark.sparkContext.broadcast(Low(fit(rows.where("train"), min(depth, LOW))))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
-    blocked = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks))) \
-        .repartition(blocks, "block")
+    names = F.lit(block_names(rows, blocks)).cast("array<bigint>")
+    place = F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int")
+    blocked = rows.withColumn("block", F.get(names, place)).repartition(blocks, "block")
     # each word stands in a block once, so a frequent word has one row a block here
     words = blocked.mapInArrow(_block_words, "block bigint, word binary, n bigint").selectExpr(
         "block", "word", "n",
@@ -461,6 +429,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
            rows between unbounded preceding and unbounded following) as total""",
         "row_number() over (partition by word order by block) = 1 as first")
 
+    @frugal
     def answer(asked: pa.Table) -> pa.Table:
         return _answer(low.value, depth, asked)
 

@@ -15,10 +15,27 @@ def trained(texts, depth, share=0.0):
     trie.grow(np.full(ppm.SYMBOLS, ppm.ROOT), np.arange(ppm.SYMBOLS))
     batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
     for d in range(1, depth + 1):
-        ppm.learn(trie, d, ppm.count_level(trie, d, iter([batch])), d == depth, share)
+        counted = np.zeros(2 * trie.size(d) * ppm.SYMBOLS, np.int64)
+        cells, n = ppm.count_level(trie, d, iter([batch]))
+        counted[cells] = n
+        ppm.learn(trie, d, counted, d == depth, share)
     return trie
 
 
+def scores(texts, scored, depth):
+    """The scores that the query's functions give: grams of all texts meet, costs go back."""
+    low = ppm.Low(trained(texts, min(depth, ppm.LOW)))
+    grams = [ppm.grams_of(*ppm.symbols_of(pa.array([t])), depth) for t in [*texts, *scored]]
+    found = ppm.GramCounts()
+    for g in grams[:len(texts)]:
+        found.add(g, np.ones(len(g), bool))
+    for g in grams[len(texts):]:
+        found.add(g, np.zeros(len(g), bool))
+    known, n = found.result()
+    cost = ppm.gram_costs(low, known, n, depth)
+    return [cost[np.searchsorted(known, g)].sum() for g in grams[len(texts):]]
+
+
 def brute(texts, scored, depth):
     """PPM with method C and exclusion, symbol by symbol."""
     def symbols(t):
@@ -49,14 +66,30 @@ def brute(texts, scored, depth):
 
 def test_equals_symbol_by_symbol_ppm():
     texts = ["abracadabra", "the cat sat on the mat", "Abba", "", "ünï"]
-    for depth in (1, 2, 4):
-        trie = trained(texts, depth)
-        costs = trie.costs()
-        assert np.abs((10.0 ** costs[1:].astype(float)).sum(axis=1) - 1).max() < 1e-5
-        scorer = ppm.Scorer(trie.child, trie.first, costs)
-        for scored in ["abra", "the dog", "", "zzz", "Über CATS"]:
-            got = scorer.text_scores(pa.table({"text": [scored]}))[0]
-            assert abs(got - brute(texts, scored, depth)) < 1e-3
+    scored = ["abra", "the dog", "", "zzz", "Über CATS"]
+    for depth in (1, 2, 4, 5):
+        for text, got in zip(scored, scores(texts, scored, depth), strict=True):
+            assert abs(got - brute(texts, text, depth)) < 1e-6
+
+
+def test_costs_after_a_context_are_a_distribution():
+    texts = ["abracadabra", "the cat sat on the mat"]
+    low = ppm.Low(trained(texts, 2))
+    context = ppm.grams_of(*ppm.symbols_of(pa.array(["the c"])), 3)[4] >> ppm.BITS << ppm.BITS
+    seen = [ppm.grams_of(*ppm.symbols_of(pa.array([t])), 3) for t in texts]
+    every = np.unique(np.concatenate([*seen, context | np.arange(ppm.SYMBOLS)]))
+    n = np.array([sum((g == x).sum() for g in seen) for x in every])
+    cost = ppm.gram_costs(low, every, n, 3)[every >> ppm.BITS << ppm.BITS == context]
+    assert len(cost) == ppm.SYMBOLS and abs((10.0 ** cost).sum() - 1) < 1e-9
+
+
+def test_blocks_are_dealt_to_different_partitions(spark):
+    from pyspark.sql import functions as F
+    names = ppm.block_names(spark.range(1), 23)
+    rows = spark.range(0, 230).withColumn("block", F.get(F.lit(names).cast("array<bigint>"),
+                                                         (F.col("id") % 23).cast("int")))
+    dealt = rows.repartition(23, "block").groupBy(F.spark_partition_id()).agg(F.countDistinct("block")).collect()
+    assert len(dealt) == 23 and all(r[1] == 1 for r in dealt)
 
 
 def test_scores_of_odd_documents(spark):
