@@ -24,6 +24,8 @@ from strata.llm.common import (
     cell_batch,
     chunks,
     earlier,
+    frugal,
+    give_back,
     row_sums,
     summed_cells,
     text_buffers,
@@ -205,47 +207,55 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  float(grid[int(np.argmin(loss))]))
 
 
-def keep_known(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
-               text_col: str = "text", least: float = 0.5) -> DataFrame:
+def keep_known(docs: DataFrame, model: Model | None, text_col: str = "text",
+               least: float = 0.5) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose language is known with a score of
-    ``least`` or more."""
-    found = predict(docs, model, id_col, text_col, tuple(docs.columns), "__")
-    return found.where((F.col("__lang_pred") != UNKNOWN) & (F.col("__score") >= least)) \
-        .select(*[F.col(f"__kept{i}").alias(c) for i, c in enumerate(docs.columns)])
+    ``least`` or more (a null text's is not). Only texts go to the Python workers, and a yes or no
+    comes back. Without a model, which no row had a language to learn from, texts with a letter
+    stay."""
+    if model is None:
+        return docs.where(F.coalesce(docs[text_col], F.lit("")).rlike(r"\p{L}"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def known(column: pa.Array) -> pa.Array:
+        out = []
+        for part in chunks(iter([pa.RecordBatch.from_arrays([column], ["text"])]), "text"):
+            _, score = _scored(shared.value, part.column("text"))
+            out.append(score >= least)
+        give_back()
+        return pa.array(np.concatenate(out) if out else np.zeros(0, bool))
+
+    known.__annotations__ = {"column": pa.Array, "return": pa.Array}
+    return docs.where(F.arrow_udf(known, "boolean")(F.coalesce(docs[text_col], F.lit(""))))
+
+
+def _scored(model: Model, column) -> tuple[list[str], np.ndarray]:
+    """The language of each text and its score (``und`` and 0 without a letter)."""
+    logits, letters = model.logits(column)
+    p = _softmax(logits / model.temperature)
+    best, known = p.argmax(axis=1), letters > 0
+    score = np.where(known, p[np.arange(len(p)), best], 0.0)
+    lang = [model.languages[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist(), strict=True)]
+    return lang, score
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
-            text_col: str = "text", keep: tuple[str, ...] = (),
-            prefix: str = "") -> DataFrame:
-    """Every row of ``docs``: id, lang_pred, score (the calibrated probability of lang_pred),
-    and the columns ``keep``; with a ``prefix``, before the names of the first three, ``keep``
-    comes as prefix + "kept0" and so on, so that no names clash. Null texts and texts without a letter are ``und`` with score 0,
-    as is every text without a model. Ties go to the first language by name. Repeated rows
-    stay; other columns are not read."""
-    source = docs.select(docs[text_col].alias("__text"), docs[id_col].alias("__id"),
-                         *[docs[c].alias(f"__keep{i}") for i, c in enumerate(keep)])
-    types = [f.dataType.simpleString() for f in source.schema.fields]
-    names = [prefix + id_col, f"{prefix}lang_pred", f"{prefix}score",
-             *([f"{prefix}kept{i}" for i in range(len(keep))] if prefix else keep)]
-    schema = ", ".join(f"`{n}` {t}" for n, t in zip(
-        names, [types[1], "string", "double", *types[2:]], strict=True))
+            text_col: str = "text") -> DataFrame:
+    """Every row of ``docs``: id, lang_pred, score (the calibrated probability of lang_pred).
+    Null texts and texts without a letter are ``und`` with score 0, as is every text without a
+    model. Ties go to the first language by name. Repeated rows stay; other columns are not
+    read."""
+    source = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    kind = source.schema["id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for part in chunks(batches, "__text"):
-            lang, score = [UNKNOWN] * part.num_rows, np.zeros(part.num_rows)
-            if model:
-                logits, letters = model.logits(part.column("__text"))
-                p = _softmax(logits / model.temperature)
-                best = p.argmax(axis=1)
-                known = letters > 0
-                score[known] = p[np.arange(len(p)), best][known]
-                lang = [model.languages[b] if k else UNKNOWN
-                        for b, k in zip(best.tolist(), known.tolist(), strict=True)]
+        for part in chunks(batches, "text"):
+            lang, score = _scored(shared.value, part.column("text")) if shared.value else \
+                ([UNKNOWN] * part.num_rows, np.zeros(part.num_rows))
             yield pa.RecordBatch.from_arrays(
-                [part.column(1), pa.array(lang, pa.string()), pa.array(score),
-                 *[part.column(2 + i) for i in range(len(keep))]],
-                names)
+                [part.column("id"), pa.array(lang, pa.string()), pa.array(score)],
+                [id_col, "lang_pred", "score"])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double")

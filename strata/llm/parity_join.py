@@ -37,7 +37,8 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import LOWER, chunks, materialise, mix, spread, text_buffers, word_hashes
+from strata.llm.common import (LOWER, chunks, fresh_name, frugal, materialise, mix, spread,
+                               text_buffers, word_hashes)
 from strata.llm.components import components
 
 SHINGLE = 3
@@ -236,13 +237,15 @@ def _sent(id_type, keys, sets, buckets: int) -> pa.RecordBatch:
     return _mapped(id_type, {"bucket": numbers, "payload": payload})
 
 
+@frugal
 def _met(table: pa.Table) -> pa.Table:
     """Of one bucket: its documents as they came; each set with the centre of a key (a, b);
     links that are not to be filtered (kept)."""
     payload = table["payload"]
     docs = table.filter(pa.compute.is_null(payload)).select(["id", "text_key", "n", "print", "sketch"])
     links, kept, keys, sets, hot = np.zeros((0, 2), np.int64), [], [], [], []
-    for p in payload.drop_null().to_pylist():
+    for sent in payload.drop_null():
+        p = sent.as_py()
         if p[:1] == b"L":
             kept.append(np.frombuffer(p, np.int64, offset=1).reshape(-1, 2))
         elif p[:1] == b"H":
@@ -258,20 +261,20 @@ def _met(table: pa.Table) -> pa.Table:
             kept.append(_stars(key[among], least[among])[2])
             key, least = key[~among], least[~among]
         links = _stars(key, least)[2] if len(key) else links
-    plain = len(links)
+    plain, none = len(links), docs.num_rows
     links = np.concatenate([links, *kept])
-    none = docs.num_rows
-    out = {"id": pa.chunked_array([*docs["id"].chunks, pa.nulls(len(links), docs["id"].type)],
-                                  docs["id"].type),
-           "text_key": pa.array([*docs["text_key"].to_pylist(), *[None] * len(links)], pa.binary()),
-           "n": pa.array([*docs["n"].to_pylist(), *[None] * len(links)], pa.int64()),
-           "print": pa.array([*docs["print"].to_pylist(), *[None] * len(links)], pa.binary()),
-           "sketch": pa.array([*docs["sketch"].to_pylist(), *[None] * len(links)], pa.binary()),
-           "kept": pa.array([*[None] * none, *[False] * plain,
-                             *[True] * (len(links) - plain)], pa.bool_()),
-           "a": pa.array([*[None] * none, *links[:, 0].tolist()], pa.int64()),
-           "b": pa.array([*[None] * none, *links[:, 1].tolist()], pa.int64())}
-    return pa.table(out)
+    count = len(links)
+
+    def column(name: str) -> pa.ChunkedArray:
+        have = docs[name]
+        return pa.chunked_array([*have.chunks, pa.nulls(count, have.type)], have.type)
+
+    def linked(values: np.ndarray, kind: pa.DataType) -> pa.ChunkedArray:
+        return pa.chunked_array([pa.nulls(none, kind), pa.array(values, kind)], kind)
+
+    return pa.table({**{c: column(c) for c in ("id", "text_key", "n", "print", "sketch")},
+                     "kept": linked(np.arange(count) >= plain, pa.bool_()),
+                     "a": linked(links[:, 0], pa.int64()), "b": linked(links[:, 1], pa.int64())})
 
 
 def _near(table: pa.Table, percent: int) -> pa.Table:
@@ -321,6 +324,7 @@ def _candidates(met: DataFrame, percent: int, tile: int, buckets: int) -> DataFr
             F.pmod(F.xxhash64("centre"), F.lit(4 * buckets))).alias("place"),
         F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"))
 
+    @frugal
     def near(table: pa.Table) -> pa.Table:
         return _near(table, percent)
 
@@ -377,8 +381,9 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, percent: int, shingle:
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
 
+    @frugal
     def sketched(batches):
-        return _sketched(batches, buckets, percent, shingle)
+        yield from _sketched(batches, buckets, percent, shingle)
 
     shape = f"id {id_type}, text_key binary, n bigint, print binary, sketch binary"
     met = rows.mapInArrow(sketched, shape + ", bucket bigint, payload binary") \
@@ -395,6 +400,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, percent: int, shingle:
     found = _probably_in(rows, sets, ["text_key"])[0].groupBy("text_key") \
         .agg(F.first("text").alias("text")).join(sets, "text_key")
 
+    @frugal
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text"):
             made = shingle_sets(part.column("text"), shingle)
@@ -408,6 +414,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, percent: int, shingle:
         "other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     found = found.withColumn("x", F.least("mine", "other")).withColumn("y", F.greatest("mine", "other"))
 
+    @frugal
     def linked(table: pa.Table) -> pa.Table:
         names = table["print"].to_pylist()
         order = sorted(range(len(names)), key=names.__getitem__)
@@ -468,7 +475,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``docs``, with all their columns, without the others of their group: the row
     with the least id stays (null last; then by text), once if it is repeated. Rows
     without shingles stay, once each if they are repeated."""
-    key = "__text_key"
+    key = fresh_name("__text_key", docs.columns)
     every = _classes(docs, id_col, text_col, percent, shingle, bucket_bytes, tile)
     best = every.where("class is not null").groupBy("class").agg(F.min(F.struct(
         F.col("id").isNull().alias("none"), "id", "text_key")).alias("k")) \

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from strata.llm.common import chunks, texts
+from strata.llm.common import chunks, frugal, texts
 
 MARK = "▁"
 NONE = np.int32(2**31 - 1)
@@ -264,6 +264,7 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
     schema = f"`{id_col}` {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<int>, decoded string" if full else ""
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model_path)
         for part in chunks(batches, "text"):

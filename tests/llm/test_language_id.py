@@ -50,3 +50,7 @@ def test_without_rows_or_languages(spark):
     one = df.withColumn("lang", F.lit("xx"))
     got = language_id.predict(one, language_id.fit(one))
     assert {r.lang_pred for r in got.collect()} == {"xx", "und"}
+    # without a model a corpus is not lost
+    kept = {r.doc_id for r in language_id.keep_known(df, None).collect()}
+    assert {4, 5, 6, 11} <= kept and not kept & {1, 2, 3}
+    assert language_id.keep_known(odd.empty(spark), None).collect() == []

@@ -102,3 +102,9 @@ def test_components_of_random_graphs(spark):
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: root(x) for x in linked}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_a_column_named_like_its_own_stays(spark):
+    df = spark.createDataFrame([(1, "one two three four", "mine"), (2, "one two three four", "yours")],
+                               "doc_id int, text string, __text_key string")
+    assert [tuple(r) for r in parity_join.keep_one(df).collect()] == [(1, "one two three four", "mine")]
