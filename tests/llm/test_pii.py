@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from strata.llm import pii
 
 from . import odd
@@ -60,3 +62,41 @@ def test_redaction_keeps_columns_and_follows_the_length(spark):
     assert "<email>" in row.text and "<ip>" in row.text and "10.0.0.256" in row.text
     assert row.n_chars == len(row.text)
     assert pii.without_personal_data(odd.empty(spark)).collect() == []
+
+
+def test_running_results_of_any_length(spark):
+    import itertools
+    sizes = [0, 1, 2, 3, 4, 7, 16, 17, 63, 64, 65, 300]
+    rows = [(n, [(k * 7919) % 31 - 15 for k in range(n)]) for n in sizes]
+    df = spark.createDataFrame(rows, "n int, v array<int>")
+    for piece in (2, 4, 64, 256):
+        got = df.select("n", pii._running(F.col("v"), F.lit(0), lambda x, y: x + y, piece).alias("s"),
+                        pii._running(F.col("v"), F.lit(-99), F.greatest, piece).alias("m")).collect()
+        for r in got:
+            v = dict(rows)[r.n]
+            assert r.s == list(itertools.accumulate(v))
+            assert r.m == list(itertools.accumulate(v, max))
+
+
+def test_many_matches_in_one_text(spark):
+    import random
+    rng = random.Random(6)
+    words = ["a.b@c.de", "10.0.0.%d", "x%d", "é𝄞", "(017)", "+49 30 12345678", "4539578763621486", "%d"]
+    text = " ".join(w % rng.randrange(400) if "%" in w else w
+                    for w in (rng.choice(words) for _ in range(3000)))
+    df = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    spans = pii.find_personal_data(df).first().spans
+    assert [(s.start, s.order, s.stop, s.kind) for s in spans if s.kind != "other"] == base(text)
+    out, at = [], 0
+    for s in spans:
+        if s.start >= at:
+            out += [text[at:s.start], f"<{s.kind}>"]
+        at = max(at, s.stop)
+    assert pii.without_personal_data(df).first().text == "".join(out) + text[at:]
+
+
+def test_columns_named_like_its_own(spark):
+    df = spark.createDataFrame([(1, "to a@b.cd now", "x", "y", 13)],
+                               "doc_id int, text string, __spans string, __key string, n_chars int")
+    out = pii.without_personal_data(df)
+    assert out.columns == df.columns and tuple(out.first()) == (1, "to <email> now", "x", "y", 14)
