@@ -21,9 +21,10 @@ def read_source(spark: SparkSession, spec: SourceSpec, kind: str = "csv",
     """Read one raw source from CSV files (explicit schema unless ``infer``) or
     from a JDBC table of the same name.
 
-    CSV records may hold quoted newlines, so by default a file is parsed whole by
-    one task; ``splittable=True`` (for files known to hold none) lets Spark split
-    large files into scan-sized pieces. A JDBC read is split into
+    CSV records may hold quoted newlines, so by default the splits of a large file are
+    cut into records by their quotes first (one more reading of the file);
+    ``splittable=True`` (for files known to hold none) lets Spark split it at any
+    line. A JDBC read is split into
     ``num_partitions`` ranges of a numeric/date ``partition_column`` when one is
     given, or into one task per condition of ``predicates`` (one connection and one
     task otherwise, as the reference reads)."""
