@@ -7,8 +7,8 @@ into itself.
 Pass 1 scatters the records of each shard uniformly, by a seeded hash, into buckets of about
 ``bucket_bytes``; pass 2 gathers a bucket, puts it in a fixed order, shuffles it with Spark's
 ``shuffle`` (a Fisher-Yates shuffle with a seed) and numbers it. The slot of a record is its
-place in its bucket after the rows of the shard's earlier buckets. No task holds more than a
-bucket at a time, whatever the size of a shard.
+place in its bucket after the rows of the shard's earlier buckets. Whatever the size of a shard, a
+task holds some buckets at a time: those it gathers before Spark's aggregate falls back to sorting.
 """
 
 from __future__ import annotations
