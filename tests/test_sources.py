@@ -384,3 +384,21 @@ def test_packing_fills_bins_up_to_the_target():
         assert bins.keys() == items.keys() and sorted(load) == list(range(len(load)))
         assert all(sum(v) <= 100 or sum(v) == max(v) for v in load.values())
     check()
+
+
+def test_partitions_of_a_table_of_runs_are_written_without_a_sort(spark):
+    import datetime as dt
+
+    from strata.sources.tables import WRITERS, _dynamic_overwrite, append_run, compact_runs, pack
+    spark.sql("CREATE DATABASE IF NOT EXISTS unsorted_db")
+    name, day = "unsorted_db.log", dt.datetime(2024, 3, 1)
+    days = WRITERS + 3  # more than one task keeps open
+    for k in range(2):
+        append_run(spark.createDataFrame([(k, day + dt.timedelta(days=k))], "n int, run_timestamp timestamp"),
+                   name, f"run {k}")
+    copied = f"EXPLAIN INSERT OVERWRITE TABLE {name} PARTITION (part) SELECT n, run_timestamp, run_id, part FROM {name}"
+    with _dynamic_overwrite(spark):
+        assert "Sort" not in spark.sql(copied).first()[0]
+    assert compact_runs(spark, name, dt.date(2030, 1, 1)) == {"day-2024-03-01": 1, "day-2024-03-02": 1}
+    bins = pack({f"d{k}": 1 for k in range(days)}, 1000, WRITERS)
+    assert sorted(b for b, _ in bins.values()) == [0] * WRITERS + [1] * 3
