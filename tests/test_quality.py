@@ -115,3 +115,19 @@ def test_a_suite_of_related_tables_takes_one_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == 2
     none = dq.run_suite([(child.limit(0), [dq.no_orphans("k", parent, "k"), dq.row_count_gt(0)], "c", "g")])
     assert {(r.check_name, r.passed) for r in none.collect()} == {("fk_k_in_k", True), ("row_count_gt_0", False)}
+
+
+def test_integer_keys_of_a_suite_are_not_made_texts(spark):
+    from strata.operators import quality as dq
+    child = spark.createDataFrame([(1, 1, "1"), (1, 1, "01"), (None, 2, None), (None, 2, "x"), (7, None, "7")],
+                                  "a bigint, b int, t string")
+    parent = spark.createDataFrame([(1, "1"), (2, "x")], "a int, t string")
+    numbers = dq.run_suite([(child, [dq.unique("a", "b"), dq.unique("a"), dq.no_orphans("a", parent, "a"),
+                                     dq.row_count_matches(parent, "rows")], "c", "test")])
+    found = lambda df: [(r.check_name, r.value) for r in df.collect()]
+    assert [v for _, v in found(numbers)] == [2, 2, 3, 5]
+    plan = numbers._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(f"cast({c}#" in line and " as string)" in line for c in "ab" for line in plan.splitlines())
+    texts = dq.run_suite([(child, [dq.unique("a", "b", "t"), dq.unique("t"), dq.unique("a", "t"),
+                                   dq.no_orphans("t", parent, "t")], "c", "test")])
+    assert [v for _, v in found(texts)] == [0, 0, 0, 3]
