@@ -1,14 +1,13 @@
 """Quality rules (operator 5): a modified Kneser-Ney n-gram model of the corpus, and bands of
 perplexity by language outside which a document is rejected.
 
-The model is over bytes folded into ``CLASSES`` classes (letters without case except one class
-for capitals, digits, white space, punctuation, other bytes), of order ``ORDER``; so it has at
-most CLASSES**ORDER n-grams, whatever the corpus. Tasks count their n-grams of all documents,
-Spark sums them. The model is kept as sorted arrays of 64-bit n-gram hashes with log
-probabilities and back-off weights; a worker looks every n-gram up once and then scores bytes
-by direct address.
-
-Bands: the quartiles of the entropies (bits a byte; perplexity is its power of two) of the different
+The model is over characters as they are, of order ``ORDER``, and grows with the corpus. Tasks count
+the n-grams of a block of texts by 64-bit hashes; Spark sums them, and estimates every order by
+grouping and joining the n-grams on their contexts and suffixes. The result, a table of hashes and
+bits, stays partitioned. A block gets the rows of its own n-grams, which it sorts, and looks every
+character's n-gram up in them. The texts go to their blocks once, packed and compressed.
+
+Bands: the quartiles of the entropies (bits a character; perplexity is its power of two) of the different
 texts in each language, so that copies of a text do not move them, widened by ``SPREAD`` times their
 distance (``LEAST`` bits at least).
 """
@@ -20,76 +19,225 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import (
-    cell_batch,
     chunks,
+    earlier,
+    frugal,
     materialise,
     mix,
-    ngram_codes,
     row_sums,
     spread,
-    summed_cells,
     text_buffers,
     texts,
     word_hashes,
 )
 
-CLASSES = 48
-ORDER = 4
+ORDER = 4  # characters of an n-gram
+BLOCK_BYTES = 32 << 20  # text of a block
+PIECE_BYTES = 4 << 20  # text packed at once
+CLASSES = 48  # symbols of the dense ``Model``
 SPREAD = 3.0
 LEAST = 0.05
 SYMBOLS = b"#*$%&|<>"
 
 
-def _classes() -> np.ndarray:
-    """Class of every byte: letters 0-25, capitals 26, digits 27, white space 28-30,
-    punctuation and controls 31-39, bytes of non-ASCII characters 40-47."""
-    out = np.zeros(256, np.int32)
-    for b in range(256):
-        c = chr(b)
-        if "a" <= c <= "z":
-            out[b] = b - 97
-        elif "A" <= c <= "Z":
-            out[b] = 26
-        elif "0" <= c <= "9":
-            out[b] = 27
-        elif b in (9, 10, 11, 12, 13, 32):
-            out[b] = {32: 28, 10: 29}.get(b, 30)
-        elif b < 128:
-            out[b] = 31 + b % 9
-        else:
-            out[b] = 40 + b % 8
-    return out
+START = 10  # before a text's first character: as after a line end
+WIDTH = 4  # bytes of a character in an n-gram
+
+
+def _characters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every character as the number of its UTF-8 bytes, and the rows' offsets in characters."""
+    first = (data & 0xC0) != 0x80
+    first[offsets[:-1][offsets[1:] > offsets[:-1]]] = True
+    at = np.flatnonzero(first)
+    lengths = np.diff(np.append(at, len(data)))
+    out = data[at].astype(np.uint32)
+    for k in range(1, WIDTH):
+        more = np.flatnonzero(lengths > k)
+        out[more] |= data[at[more] + k].astype(np.uint32) << np.uint32(8 * k)
+    return out, np.searchsorted(at, offsets)
+
+
+def _window(symbols: np.ndarray, offsets: np.ndarray, order: int) -> list[np.ndarray]:
+    """The characters of the n-gram that ends at each, oldest first."""
+    return [earlier(symbols, offsets, k, START) for k in range(order - 1, 0, -1)] + [symbols]
+
 
+# an odd random number for each character of an n-gram
+_FACTORS = mix(np.arange(1, 33, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
-BYTE_CLASS = _classes()
-START = 29  # before a text's first byte: as after a line end
 
+def _hashes(window: list[np.ndarray]) -> np.ndarray:
+    """64-bit hashes of n-grams."""
+    out = np.zeros(len(window[-1]), np.uint64)
+    for symbols, factor in zip(window, _FACTORS, strict=False):
+        out += symbols * factor
+    return mix(out).view(np.int64)
 
-def _codes(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    data, offsets = text_buffers(column)
-    return ngram_codes(BYTE_CLASS[data], offsets, ORDER, CLASSES, START), data, offsets
 
+def _finder(keys: np.ndarray):
+    """A function that finds the places of hashes, all of them held, in the sorted different
+    hashes ``keys``: from the first key with the same leading bits on."""
+    bits = max(1, len(keys).bit_length())
+    leading = lambda hashes: (hashes >> (64 - bits)) + (1 << (bits - 1))
+    start = np.searchsorted(leading(keys), np.arange(1 << bits))
+
+    def find(wanted: np.ndarray) -> np.ndarray:
+        at = start[leading(wanted)]
+        left = np.flatnonzero(keys[at] != wanted)
+        while len(left):
+            at[left] += 1
+            left = left[keys[at[left]] != wanted[left]]
+        return at
+    return find
+
+
+def _different(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different hashes in order, a place of each, and how many there are of each."""
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    start = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[:len(hashes)])
+    return hashes[start], order[start], np.diff(np.append(start, len(hashes)))
+
+
+def packed(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """The rows of ``docs`` in pieces (block, piece): an Arrow stream with their id, lang, text and a
+    hash of the text (copy). A block is up to ``BLOCK_BYTES`` of text of one task."""
+    source = docs.select(docs[id_col].alias("id"), docs[lang_col].alias("lang"),
+                         docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("copy"))
 
-def count_ngrams(docs: DataFrame) -> np.ndarray:
-    """Counts of every ORDER-gram over all rows (column text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CLASSES ** ORDER, np.int64)
-        for part in chunks(batches, "text", 8 << 20):
-            counts += np.bincount(_codes(part.column("text"))[0], minlength=len(counts))
-        yield cell_batch(counts)
+        block, held, options = 0, BLOCK_BYTES, pa.ipc.IpcWriteOptions(
+            compression=pa.Codec("zstd", compression_level=9))
+        for part in chunks(batches, "text", PIECE_BYTES):
+            if held >= BLOCK_BYTES:
+                block, held = uuid.uuid4().int >> 65, 0
+            held += len(text_buffers(part.column("text"))[0])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, part.schema, options=options) as writer:
+                writer.write_batch(part)
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()),
+                                              pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                                             ["block", "piece"])
+
+    return materialise(source.mapInArrow(frugal(run), "block bigint, piece binary"), "pieces")
+
+
+def _unpacked(pieces) -> Iterator[pa.RecordBatch]:
+    for piece in pieces:
+        yield from pa.ipc.open_stream(piece.as_buffer())
+
+
+def block_ngrams(pieces: DataFrame, order: int = ORDER, grams: bool = True) -> DataFrame:
+    """The different n-grams of every block: their characters and counts (gram, n) or, without
+    ``grams``, their hashes (block, hash). A block that two tasks read gives them twice."""
+    def merged(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        keys, counts, gram = (np.concatenate(x) for x in zip(*found, strict=True))
+        if not grams:
+            keys = np.unique(keys)
+            return keys, counts[:0], gram[:0]
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+        return keys[start], np.add.reduceat(counts, start) if len(start) else counts, gram[order[start]]
+
+    def rows(block: int, found: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        keys, counts, gram = merged(found)
+        for a in range(0, len(keys), 1 << 16):
+            part = slice(a, a + (1 << 16))
+            n = len(keys[part])
+            if grams:
+                ends = pa.py_buffer((np.arange(n + 1) * WIDTH * order).astype(np.int32))
+                joined = pa.Array.from_buffers(pa.binary(), n, [None, ends, pa.py_buffer(gram[part].tobytes())])
+                yield pa.RecordBatch.from_pydict({"gram": joined, "n": pa.array(counts[part])})
+            else:
+                yield pa.RecordBatch.from_pydict({"block": pa.array(np.full(n, block)),
+                                                  "hash": pa.array(keys[part])})
 
-    return summed_cells(docs.select("text").mapInArrow(run, "cell bigint, n bigint"),
-                        CLASSES ** ORDER)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, found = None, []
+        for batch in batches:
+            for at, piece in zip(batch.column("block").to_pylist(), batch.column("piece"), strict=True):
+                if found and at != block:
+                    yield from rows(block, found)
+                    found = []
+                block = at
+                for part in chunks(_unpacked([piece]), "text"):
+                    window = _window(*_characters(*text_buffers(part.column("text"))), order)
+                    hashes = _hashes(window)
+                    if grams:
+                        keys, at_each, n = _different(hashes)
+                        found.append((keys, n, np.stack([w[at_each] for w in window], axis=1)))
+                    else:
+                        found.append((np.unique(hashes), np.zeros(0, np.int64), np.zeros((0, order), np.uint32)))
+                if len(found) > 8:
+                    found = [merged(found)]
+        if found:
+            yield from rows(block, found)
+
+    return pieces.mapInArrow(frugal(run), "gram binary, n bigint" if grams else "block bigint, hash bigint")
+
+
+def _count_levels(counted: DataFrame, order: int) -> dict[int, DataFrame]:
+    """For every order the different n-grams (gram) and their counts (n): below the highest order,
+    the number of different characters seen before them."""
+    levels = {order: materialise(counted, f"grams-{order}")}
+    for k in range(order - 1, 0, -1):
+        shorter = levels[k + 1].groupBy(F.substring("gram", WIDTH + 1, WIDTH * k).alias("gram")) \
+            .agg(F.count(F.lit(1)).alias("n"))
+        levels[k] = materialise(shorter, f"grams-{k}")
+    return levels
+
+
+def estimate(counted: DataFrame, order: int = ORDER) -> DataFrame:
+    """Modified Kneser-Ney over the n-grams (gram, n) of the highest order: their hashes and bits
+    (-log2 of the last character's probability after the others), of all orders interpolated."""
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            symbols = np.frombuffer(b"".join(batch.column("gram").to_pylist()), np.uint32).reshape(-1, order)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_hashes(list(symbols.T))), batch.column("bits")], ["hash", "bits"])
+
+    lower = None
+    for k, level in sorted(_count_levels(counted, order).items()):
+        of = level.agg(F.count(F.lit(1)), F.sum("n"), *[F.count_if(F.col("n") == c) for c in (1, 2, 3, 4)]).first()
+        if not of[0]:
+            break
+        _, d1, d2, d3 = (float(d) for d in _discounts_of(*of[2:]))
+        discount = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
+        level = level.withColumn("off", discount)
+        if lower is None:
+            off = level.agg(F.sum("off")).first()[0]
+            level = level.withColumns({"total": F.lit(of[1]), "left": F.lit(off / of[1]),
+                                       "shorter": F.lit(1.0 / of[0])})
+        else:
+            level = level.withColumns({"context": F.substring("gram", 1, WIDTH * (k - 1)),
+                                       "suffix": F.substring("gram", WIDTH + 1, WIDTH * (k - 1))})
+            alike = Window.partitionBy("context")  # as many rows as characters follow it
+            level = level.withColumns({"total": F.sum("n").over(alike),
+                                       "left": F.sum("off").over(alike) / F.sum("n").over(alike)})
+            level = level.drop("context", "off").join(
+                lower.select(F.col("gram").alias("suffix"), F.col("p").alias("shorter")), "suffix")
+        p = (F.col("n") - discount) / F.col("total") + F.col("left") * F.col("shorter")
+        lower = level.select("gram", p.alias("p"))
+    if lower is None:  # no n-grams
+        lower = counted.select("gram", F.lit(1.0).alias("p"))
+    return lower.select("gram", (-F.log2("p")).cast("float").alias("bits")) \
+        .mapInArrow(hashed, "hash bigint, bits float")
 
 
 def _discounts(counts: np.ndarray) -> np.ndarray:
     """The three discounts of modified Kneser-Ney from the counts of counts; where a corpus
     has no n-grams seen once or twice, half a count."""
-    n1, n2, n3, n4 = (float(np.count_nonzero(counts == k)) for k in (1, 2, 3, 4))
+    return _discounts_of(*(np.count_nonzero(counts == k) for k in (1, 2, 3, 4)))
+
+
+def _discounts_of(*counts_of_counts: int) -> np.ndarray:
+    """The same from the number of n-grams seen once, twice, three and four times."""
+    n1, n2, n3, n4 = (float(n) for n in counts_of_counts)
     if not (n1 and n2):
         return np.array([0.0, 0.5, 0.5, 0.5])
     y = n1 / (n1 + 2 * n2)
@@ -103,7 +251,8 @@ def _hash(order: int, codes: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Sorted hash arrays: ``grams`` (hash, log2 probability) and ``backoffs`` (hash of a
+    """The same estimate from a dense table of counts over ``CLASSES`` symbols, which ``estimate`` is
+    compared with. Sorted hash arrays: ``grams`` (hash, log2 probability) and ``backoffs`` (hash of a
     context, log2 of the weight left to the shorter context)."""
 
     def __init__(self, counts: np.ndarray):
@@ -163,15 +312,6 @@ _IS_SYMBOL[list(SYMBOLS)] = True
 _IN_WORD = np.ones(256, bool)  # bytes that begin a character of a word
 _IN_WORD[[9, 10, 11, 12, 13, 32]] = False
 _IN_WORD[0x80:0xC0] = False
-_TABLES: dict = {}
-
-
-def _worker_table(name: str, shared) -> np.ndarray:
-    """The model's table, made once in a worker process."""
-    if name not in _TABLES:
-        _TABLES.clear()
-        _TABLES[name] = shared.value.table()
-    return _TABLES[name]
 
 
 def _repeated_words(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -195,38 +335,44 @@ def _repeated_words(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.bincount(rows, covered[:len(words)], minlength=len(counts)).astype(np.int64)
 
 
-def document_statistics(docs: DataFrame, model: Model, id_col: str = "doc_id",
-                        text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                        lang_col: str = "lang", order: int = ORDER) -> DataFrame:
     """Every row of ``docs``: id, lang, a hash of its text (copy), the base counts and its entropy
-    (bits a byte; null for an empty text)."""
-    source = docs.select(docs[id_col].alias("id"), docs[lang_col].alias("lang"),
-                         docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("copy"))
-    shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
-    types = [f.dataType.simpleString() for f in source.schema.fields]
+    (bits a character; null for an empty text) under the model of all of them."""
+    pieces = packed(docs, id_col, text_col, lang_col)
+    counted = block_ngrams(pieces, order).groupBy("gram").agg(F.sum("n").alias("n"))
+    wanted = block_ngrams(pieces, order, grams=False)
+    found = wanted.join(estimate(counted, order), "hash").select("block", "hash", "bits")
+    types = dict(docs.dtypes)
     numbers = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    schema = f"id {types[0]}, lang {types[1]}, copy bigint, " + \
+    schema = f"id {types[id_col]}, lang {types[lang_col]}, copy bigint, " + \
         ", ".join(f"{n} bigint" for n in numbers) + ", entropy double"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _worker_table(name, shared)
-        for part in chunks(batches, "text"):
-            codes, data, offsets = _codes(part.column("text"))
+    def run(block: pa.Table, model: pa.Table) -> pa.Table:
+        keys, at = np.unique(model.column("hash").to_numpy(), return_index=True)
+        find, bits = _finder(keys), model.column("bits").to_numpy()[at]
+        out = []
+        for part in chunks(_unpacked(block.column("piece")), "text"):
+            data, offsets = text_buffers(part.column("text"))
+            symbols, places = _characters(data, offsets)
+            grams = _hashes(_window(symbols, places, order))
+            total = row_sums(bits[find(grams)], places)
             (words,), n_words = word_hashes(data, offsets)
             dup = []
             for t in texts(part.column("text")):
                 lines = [x for x in t.split(b"\n") if x.strip()] if b"\n" in t else []
                 dup.append(len(lines) - len(set(lines)))
-            length = np.diff(offsets)
-            bits = -row_sums(table[codes], offsets) / np.maximum(length, 1)
-            yield pa.RecordBatch.from_arrays(
+            length = np.diff(places)
+            out.append(pa.RecordBatch.from_arrays(
                 [part.column("id"), part.column("lang"), part.column("copy"), pa.array(n_words),
                  pa.array(row_sums(_IN_WORD[data], offsets).astype(np.int64)),
                  pa.array(row_sums(_IS_SYMBOL[data], offsets).astype(np.int64)),
                  pa.array(dup, pa.int64()), pa.array(_repeated_words(words, n_words)),
-                 pa.array(bits, mask=length == 0)],
-                ["id", "lang", "copy", *numbers, "entropy"])
+                 pa.array(total / np.maximum(length, 1), mask=length == 0)],
+                ["id", "lang", "copy", *numbers, "entropy"]))
+        return pa.Table.from_batches(out)
 
-    return source.mapInArrow(run, schema)
+    return pieces.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(frugal(run), schema)
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -239,9 +385,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     set per language from the different texts that pass the base rules; null languages share a band.
     Repeated rows stay and count; other columns are not read.
     """
-    text = docs.select(docs[text_col].alias("text"))
-    stats = materialise(document_statistics(docs, Model(count_ngrams(text)), id_col, text_col,
-                                            lang_col), "quality")
+    stats = materialise(document_statistics(docs, id_col, text_col, lang_col), "quality")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     stats = stats.withColumn("base_failed", failed) \
         .withColumn("band", F.coalesce(F.col("lang").cast("string"), F.lit("")))

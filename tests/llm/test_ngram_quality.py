@@ -66,3 +66,32 @@ def test_copies_of_junk_do_not_widen_the_band(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     kept = {r.doc_id for r in q.quality(df).where("kept").collect()}
     assert kept == set(range(200))
+
+
+def test_partitioned_model_equals_the_dense_one(spark):
+    rng, letters = random.Random(11), [chr(c) for c in range(0x430, 0x430 + q.CLASSES - 1)]
+    texts = ["".join(rng.choices(letters, weights=range(1, q.CLASSES), k=400)) for _ in range(60)]
+    symbol = {x: i for i, x in enumerate(["\n", *letters])}  # a line end stands before a text
+    counts = np.zeros(q.CLASSES ** q.ORDER, np.int64)
+    codes = []
+    for t in ["\n", *texts]:
+        padded = [0] * (q.ORDER - 1) + [symbol[x] for x in t]
+        codes.append([int(np.polyval(padded[i:i + q.ORDER], q.CLASSES)) for i in range(len(t))])
+        np.add.at(counts, codes[-1], 1)
+    table = q.Model(counts).table()
+    df = spark.createDataFrame(list(enumerate(["\n", *texts])), "doc_id bigint, text string") \
+        .selectExpr("doc_id", "text", "'x' AS lang")
+    found = {r.id: r.entropy for r in q.document_statistics(df.repartition(3), order=q.ORDER).collect()}
+    assert all(abs(found[i] + np.mean(table[c])) < 1e-4 for i, c in enumerate(codes))
+
+
+def test_characters_are_not_folded(spark):
+    rng = random.Random(13)
+
+    def text(letters):
+        return " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(80))
+    # junk of characters whose bytes fell into the same classes: eight code points further, capitals
+    for good, odd_ones in (("абвгде", "ийклмн"), ("ETAOIN", "QZXJKV"), ("012345", "678966")):
+        rows = [(i, text(good), "x") for i in range(200)] + [(500 + i, text(odd_ones), "x") for i in range(2)]
+        df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+        assert {r.doc_id for r in q.quality(df).where("kept").collect()} == set(range(200))
