@@ -202,16 +202,6 @@ def earlier(symbols: np.ndarray, offsets: np.ndarray, k: int, pad: int) -> np.nd
     return out
 
 
-def ngram_codes(symbols: np.ndarray, offsets: np.ndarray, order: int, base: int,
-                pad: int) -> np.ndarray:
-    """The n-gram that ends at each symbol, as a number in ``base`` (oldest symbol first)."""
-    symbols = symbols.astype(np.int32)
-    out = symbols.copy()
-    for k in range(1, order):
-        out += earlier(symbols, offsets, k, pad) * np.int32(base ** k)
-    return out
-
-
 def row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of the values of each row (0 for an empty row); values may have columns."""
     out = np.zeros((len(offsets) - 1, *values.shape[1:]), np.float64)
