@@ -149,6 +149,24 @@ def test_readers_see_one_version_at_a_time(spark):
         assert len(days) == 3 + next(iter(versions)) % 4
 
 
+def test_a_refresh_alters_the_view_and_never_drops_it(spark):
+    """Readers always find the name: a property set on the view outlives refreshes."""
+    from strata.sources.tables import _versions_root, published_version
+    spark.sql("CREATE DATABASE IF NOT EXISTS rp")
+    replace_table(spark.range(3), "rp.t")
+    spark.sql("ALTER VIEW rp.t SET TBLPROPERTIES ('kept' = 'yes')")
+    replace_table(spark.range(4).selectExpr("id", "'a' as x", "'b' as `View Text`"), "rp.t", ["x"])
+    assert replace_table(spark.table("rp.t").where("id > 0"), "rp.t", ["x"]) == 3
+    assert [r.value for r in spark.sql("SHOW TBLPROPERTIES rp.t").where("key = 'kept'").collect()] == ["yes"]
+    assert spark.table("rp.t").columns == ["id", "View Text", "x"] and spark.table("rp.t").count() == 3
+    assert _finished(spark, _versions_root(spark, "rp.t"))[-1] == published_version(spark, "rp.t")
+    # a view of the same name that names no version is replaced
+    spark.sql("DROP VIEW rp.t")
+    spark.sql("CREATE VIEW rp.t AS SELECT 1 AS one")
+    assert published_version(spark, "rp.t") is None
+    assert replace_table(spark.range(2), "rp.t") == 2 and spark.table("rp.t").columns == ["id"]
+
+
 def test_a_slower_refresh_does_not_bring_back_an_older_version(spark, monkeypatch):
     from strata.sources import tables
     spark.sql("CREATE DATABASE IF NOT EXISTS rs")
